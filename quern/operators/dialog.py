@@ -204,7 +204,7 @@ def react_flatten(messages: DataFrame, tools: Sequence[dict] = (), size: int = S
     ``messages`` has ``conv_id, turn, role, content, tool_name, tool_args``, ``turn`` increasing from 0. Output rows:
     one per user message with the merged assistant text that follows it (``is_query`` marks a last, unanswered one),
     or one row with ``invalid_reason`` for a transcript that breaks the order rules. ``part`` numbers the pieces of
-    an answer longer than ``size`` messages.
+    an answer longer than ``size`` messages; the system text stands on the first row of its transcript.
     """
     instruction = tool_instruction(tools)
     is_user = F.col("role") == "user"
@@ -216,7 +216,9 @@ def react_flatten(messages: DataFrame, tools: Sequence[dict] = (), size: int = S
         size,
     )
     lead = (F.col("turn") == 0) & (F.col("role") == "system")
-    system = rows.where(lead).select("conv_id", trimmed(F.col("content")).alias("system"))
+    system = rows.where(lead).select(
+        "conv_id", F.lit(1).cast("bigint").alias("island"), trimmed(F.col("content")).alias("system")
+    )
     rows = rows.where(~lead)
     rows = running_count(rows, KEY, "turn", is_user, "island", size=size)
     rows = previous_value(rows, KEY, "turn", F.col("role"), "_prev", size=size)
@@ -240,7 +242,11 @@ def react_flatten(messages: DataFrame, tools: Sequence[dict] = (), size: int = S
         .when(F.col("_prev") == "user", trimmed(said))
         .otherwise(F.concat(F.lit("\n"), said))
     )
-    rows = rows.select("conv_id", "turn", "role", "island", "_users", error.alias("_err"), body.alias("_body"), piece.alias("_piece"))
+    rows = rows.select(
+        "conv_id", "turn", "role", "island", "_users", "_seg", error.alias("_err"), body.alias("_body"), piece.alias("_piece")
+    )
+    first = F.min_by("_err", F.when(F.col("_err").isNotNull(), F.col("turn"))).alias("_first")
+    rows = attach_facts(rows, KEY, "turn", [first], size)
 
     by_island = ["conv_id", "island"]
     answers = joined_text(
@@ -252,7 +258,7 @@ def react_flatten(messages: DataFrame, tools: Sequence[dict] = (), size: int = S
     answers = answers.withColumn("_a", ends).select(
         *by_island, "part", starts.alias("assistant_text"), (F.row_number().over(in_order) - 1).alias("_k")
     )
-    asked = rows.where(is_user).select(*by_island, "_users", F.col("_body").alias("user_text"))
+    asked = rows.where(is_user).select(*by_island, "_users", "_first", F.col("_body").alias("user_text"))
     pairs = asked.join(answers, by_island, "left")
 
     has_answer = F.col("assistant_text").isNotNull()
@@ -267,16 +273,10 @@ def react_flatten(messages: DataFrame, tools: Sequence[dict] = (), size: int = S
         size,
     )
     unpaired = F.when(F.col("_open") % 2 == 1, "odd_messages").when(F.col("_open") > 0, "unpaired_user")
-    first_error = rows.groupBy("conv_id").agg(
-        F.min_by("_err", F.when(F.col("_err").isNotNull(), F.col("turn"))).alias("_first"), F.max("_users").alias("_u")
-    )
-    broken = first_error.select(
-        "conv_id", F.when(F.col("_u") == 0, "no_user").otherwise(F.col("_first")).alias("invalid_reason")
-    ).where(F.col("invalid_reason").isNotNull())
-    structural = (
-        pairs.where(unpaired.isNotNull()).groupBy("conv_id").agg(F.first(unpaired).alias("invalid_reason"))
-        .join(broken, "conv_id", "left_anti")
-    )
+    reason = F.when(F.col("_users") == 0, "no_user").otherwise(F.col("_first"))
+    broken = rows.where(reason.isNotNull()).groupBy("conv_id").agg(F.first(reason).alias("invalid_reason"))
+    clean = pairs.where(F.col("_first").isNull())
+    structural = clean.where(unpaired.isNotNull()).groupBy("conv_id").agg(F.first(unpaired).alias("invalid_reason"))
     invalid = broken.unionByName(structural)
 
     target = F.greatest(F.col("_last_answered"), F.lit(1))
@@ -284,7 +284,7 @@ def react_flatten(messages: DataFrame, tools: Sequence[dict] = (), size: int = S
     if instruction:
         told = F.concat(F.lit(instruction + "\n\nQuestion: "), user_text)
         user_text = F.when(F.col("island") == target, told).otherwise(user_text)
-    good = pairs.join(invalid, "conv_id", "left_anti").join(system, "conv_id", "left")
+    good = clean.where(unpaired.isNull()).join(system, by_island, "left")
     good = good.select(
         "conv_id",
         (F.col("island") - 1).alias("pair_idx"),

@@ -42,7 +42,7 @@ cut AS (SELECT *, coalesce(
   least(CASE WHEN dot1 > 0 AND lo + dot1 - 1 < hi THEN lo + dot1 END,
         CASE WHEN dot2 > 0 AND lo + dot2 - 1 < hi THEN lo + dot2 END),
   CASE WHEN nl > 0 AND lo + nl - 1 < hi THEN lo + nl - 1 END) AS nat FROM hits),
-cuts AS (SELECT *, coalesce(nat, greatest(100, trunc(length(text) * 0.2::DOUBLE)::BIGINT)) AS at FROM cut)"""
+cuts AS (SELECT *, coalesce(nat, greatest(100, trunc(length(text) * 0.2::DOUBLE)::BIGINT)) AS cut_at FROM cut)"""
 
 
 TEMPLATES_SQL = "[" + ", ".join(sql_text(t) for t in convert.WEB_TEMPLATES) + "]"
@@ -242,7 +242,7 @@ def cot_to_chat(spark, sf):
     "web_math_to_chat",
     f"""WITH {KEPT_SQL}, {split_sql('kept')}
 SELECT '{convert.WEB_ID_PREFIX}' || idx AS id,
-  replace({TEMPLATES_SQL}[(idx % 5) + 1], '{{context}}', {sql_strip('left(text, at)')}) AS human,
+  replace({TEMPLATES_SQL}[(idx % 5) + 1], '{{context}}', {sql_strip('left(text, cut_at)')}) AS human,
   {sql_strip('text')} AS gpt FROM cuts""",
 )
 def web_math_to_chat(spark, sf):
@@ -252,7 +252,7 @@ def web_math_to_chat(spark, sf):
 @query(
     "natural_split_point",
     f"""WITH d AS (SELECT doc_id, text FROM documents), {split_sql('d')}
-SELECT doc_id, nat IS NOT NULL AS is_natural, at::INTEGER AS cut, md5(left(text, at)) AS context_md5 FROM cuts""",
+SELECT doc_id, nat IS NOT NULL AS is_natural, cut_at::INTEGER AS cut, md5(left(text, cut_at)) AS context_md5 FROM cuts""",
 )
 def natural_split_point(spark, sf):
     docs = table(spark, sf, "documents")

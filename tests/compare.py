@@ -71,7 +71,7 @@ def main():
     sf_dir = sys.argv[1]
     names = sys.argv[2:]
     spark = build_session(master="local[8]", shuffle=8)
-    spark.sparkContext.setLogLevel("ERROR")
+    spark.sparkContext.setLogLevel("OFF")
     con = connect(sf_dir)
     qs, os_ = e.queries(), e.oracle_sql()
     bad = 0
