@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quern.functions.text import all_cjk, tokens
 from quern.operators.filters import IGNORE
 from quern.operators.ordering import dense_index
-from quern.session import ensure_checkpoint_dir
+from quern.session import ensure_checkpoint_dir, shuffle_width
 
 # Reserved ids and the default vocabulary size.
 UNK, BOS, EOS, PAD = 0, 1, 2, 3
@@ -75,15 +75,14 @@ def train_bpe_merges(
     aggregation of pair counts whose single winning row comes back to the driver. Ties go to the smaller pair.
     """
     ensure_checkpoint_dir(spark)
-    words = counts.select(_spaced(F.split("piece", "")).alias("w"), "freq").checkpoint()
+    spread = counts.repartition(shuffle_width(spark), "piece")
+    words = spread.select(_spaced(F.split("piece", "")).alias("w"), "freq").checkpoint()
     merges: list[tuple[int, str, str, int]] = []
     while len(merges) < n_merges:
-        symbols = F.split(F.btrim("w"), SYMBOL_GAP)
-        nexts = F.slice(symbols, F.lit(2), F.greatest(F.size(symbols) - 1, F.lit(0)))
-        heads = F.slice(symbols, F.lit(1), F.greatest(F.size(symbols) - 1, F.lit(0)))
-        pairs = words.select(
-            F.explode(F.zip_with(heads, nexts, lambda a, b: F.struct(a.alias("a"), b.alias("b")))).alias("p"), "freq"
-        )
+        symbols = words.select(F.split(F.btrim("w"), SYMBOL_GAP).alias("s"), "freq").where(F.size("s") > 1)
+        nexts = F.slice("s", F.lit(2), F.size("s") - 1)
+        pair = F.zip_with("s", nexts, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+        pairs = symbols.select(F.explode(pair).alias("p"), "freq").where("p.b is not null")
         best = (
             pairs.groupBy("p.a", "p.b").agg(F.sum("freq").alias("n")).orderBy(F.desc("n"), "a", "b").first()
         )

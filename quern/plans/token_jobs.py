@@ -10,7 +10,7 @@ from quern.operators import tokens as tok
 from quern.operators.ordering import dense_index
 from quern.plans.dialogs import RENDERED_SQL, rendered_dialogs
 from quern.plans.fixtures import sql_tokens
-from quern.plans.registry import query, table
+from quern.plans.registry import query, spread_table
 
 COUNTS_SQL = f"counts AS (SELECT piece, count(*) AS freq FROM (SELECT unnest({sql_tokens('text')}) AS piece FROM documents) GROUP BY piece)"
 VOCAB_SQL = f"""{COUNTS_SQL},
@@ -22,12 +22,16 @@ docs AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS idx, coalesce
   LEFT JOIN (SELECT doc_id, list(id ORDER BY pos) AS ids FROM enc GROUP BY doc_id) USING (doc_id))"""
 
 
+def corpus(spark, sf):
+    return spread_table(spark, sf, "documents", "doc_id")
+
+
 def vocabulary(spark, sf):
-    return tok.build_vocab(tok.piece_counts(table(spark, sf, "documents")))
+    return tok.build_vocab(tok.piece_counts(corpus(spark, sf)))
 
 
 def encoded(spark, sf):
-    docs = table(spark, sf, "documents").select("doc_id", "text")
+    docs = corpus(spark, sf).select("doc_id", "text")
     return tok.encode_column(docs, "text", vocabulary(spark, sf)).select("doc_id", "ids")
 
 
@@ -42,7 +46,7 @@ def build_vocab(spark, sf):
 
 @query("train_bpe_merges")
 def train_bpe_merges(spark, sf):
-    return tok.train_bpe_merges(spark, tok.piece_counts(table(spark, sf, "documents")), 16)
+    return tok.train_bpe_merges(spark, tok.piece_counts(corpus(spark, sf)), 16)
 
 
 @query(
@@ -57,7 +61,7 @@ u AS (SELECT piece, 0 AS stage, freq::DOUBLE AS score FROM c WHERE lang = 'en'
 SELECT piece, min(stage) AS stage, CASE WHEN min(stage) = 0 THEN max(score) ELSE 0.0::DOUBLE END AS score FROM u GROUP BY piece""",
 )
 def merge_vocab(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = corpus(spark, sf)
 
     def han(c):
         return F.decode(F.unhex(F.lpad(F.hex(F.lit(19968) + c % 20992), 4, "0")), "UTF-16BE")
@@ -201,7 +205,7 @@ SELECT quantile_cont(n, 0.5)::DOUBLE AS p50, quantile_cont(n, 0.9)::DOUBLE AS p9
 round(avg((n <= 1024)::INTEGER), 6) AS within_1024, round(avg((n <= 2048)::INTEGER), 6) AS within_2048 FROM l""",
 )
 def length_percentiles(spark, sf):
-    rows = table(spark, sf, "documents").select(F.size(tokens(F.col("text"))).alias("n"))
+    rows = corpus(spark, sf).select(F.size(tokens(F.col("text"))).alias("n"))
     return tok.length_profile(rows, "n", [1024, 2048])
 
 
@@ -215,8 +219,8 @@ def left_truncate_context(spark, sf):
     return rows.select("doc_id", F.size("t").alias("n"), F.array_join("t", " ").alias("ids"))
 
 
-SHIFT_SQL = f"""{ENC_SQL}, pr AS (SELECT doc_id, ids, list_transform(ids, lambda x, i: CASE WHEN i % 3 = 0 THEN x ELSE coalesce(ids[i + 1], 0) END) AS preds FROM docs),
-al AS (SELECT doc_id, unnest(list_transform(range(1, greatest(len(ids), 1)), lambda i: {{'p': preds[i], 'y': ids[i + 1]}})) AS q FROM pr)"""
+SHIFT_SQL = f"""{ENC_SQL}, nx AS (SELECT doc_id, pos, id, lead(id) OVER (PARTITION BY doc_id ORDER BY pos) AS y FROM enc),
+al AS (SELECT doc_id, CASE WHEN pos % 3 = 0 THEN id ELSE y END AS p, y FROM nx WHERE y IS NOT NULL)"""
 
 
 def shifted(spark, sf):
@@ -231,11 +235,11 @@ def shifted(spark, sf):
 
 @query(
     "next_token_shift",
-    f"WITH {SHIFT_SQL} SELECT doc_id, count(*)::INTEGER AS n, sum((q.p = q.y)::INTEGER)::INTEGER AS hits, sum(q.p)::BIGINT AS pred_sum, sum(q.y)::BIGINT AS label_sum FROM al GROUP BY doc_id",
+    f"""WITH {SHIFT_SQL} SELECT doc_id, count(p)::INTEGER AS n, count(CASE WHEN p = y THEN 1 END)::INTEGER AS hits,
+coalesce(sum(p), 0)::BIGINT AS pred_sum, coalesce(sum(y), 0)::BIGINT AS label_sum FROM documents LEFT JOIN al USING (doc_id) GROUP BY doc_id""",
 )
 def next_token_shift(spark, sf):
-    rows = shifted(spark, sf).where(F.size("q") > 0)
-    return rows.select(
+    return shifted(spark, sf).select(
         "doc_id", F.size("q").alias("n"), F.size(F.filter("q", lambda x: x["pred"] == x["label"])).alias("hits"),
         total(F.transform("q", lambda x: x["pred"])).alias("pred_sum"), total(F.transform("q", lambda x: x["label"])).alias("label_sum"),
     )
