@@ -145,6 +145,18 @@ def verify_path(prediction: Column, truth: Column) -> Column:
     )
 
 
+def accuracy_reward(completion: Column, answer: Column) -> Column:
+    """1.0 when a completion's answer equals the reference answer, by text or by value.
+
+    A gold-marked reference is compared with the answer tag (or the whole completion), any other with the answer the
+    completion states outright.
+    """
+    said = F.when(answer.contains(GOLD_MARK), answer_tag(completion)).otherwise(candidate_answer(completion))
+    p, g = normalize_math(said), normalize_math(truth_answer(answer))
+    same = (p == g) | numbers_agree(math_value(p), math_value(g))
+    return F.when(F.coalesce(same & (g != ""), F.lit(False)), 1.0).otherwise(0.0)
+
+
 def format_reward(c: Column) -> Column:
     """1.0 when the text is one reasoning block directly followed by one answer block, on one line each."""
     return F.when(c.rlike(FORMAT_TAGS), 1.0).otherwise(0.0)

@@ -178,6 +178,17 @@ def _query_blocks(queries: DataFrame, key: str, rows_per_block: int) -> Iterator
         yield placed.where((F.col("_q") >= at) & (F.col("_q") < at + rows_per_block)).drop("_q").toPandas()
 
 
+def _fit(block: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, list[str]]]:
+    """Halve a query block until its term-by-query matrix is small enough; with each part its sorted terms."""
+    terms = sorted({t for q in block["q"] for t in q})
+    if len(terms) * len(block) * 8 <= BLOCK_BYTES or len(block) == 1:
+        yield block, terms
+        return
+    half = len(block) // 2
+    yield from _fit(block.iloc[:half])
+    yield from _fit(block.iloc[half:])
+
+
 def _union(parts: list[DataFrame], empty: DataFrame) -> DataFrame:
     out = empty if not parts else parts[0]
     for p in parts[1:]:
@@ -201,30 +212,24 @@ def bm25_topk(
     """
     spark = docs.sparkSession
     words = docs.select(F.col(doc_key).cast("bigint").alias("doc_id"), tokens(F.col(doc_text)).alias("t"))
-    stats = words.agg(F.count(F.lit(1)).alias("n"), F.avg(F.size("t")).alias("avgdl")).first()
-    n_docs, avgdl = stats["n"], stats["avgdl"] or 1.0
     parts = []
     asked = queries.select(F.col(query_key).cast("bigint").alias("query_id"), tokens(F.col(query_text)).alias("q"))
-    for block in _query_blocks(asked, "query_id", block_queries):
-        terms = sorted({t for q in block["q"] for t in q})
+    for block, terms in (x for b in _query_blocks(asked, "query_id", block_queries) for x in _fit(b)):
         code = {t: i for i, t in enumerate(terms)}
-        if len(terms) * len(block) * 8 > BLOCK_BYTES and len(block) > 1:
-            half = F.col("query_id") <= int(np.sort(block["query_id"].to_numpy())[(len(block) - 1) // 2])
-            ids = [int(x) for x in block["query_id"]]
-            own = queries.where(F.col(query_key).isin(ids)).withColumn("query_id", F.col(query_key))
-            for side in (half, ~half):
-                parts.append(bm25_topk(docs, doc_key, doc_text, own.where(side).drop("query_id"), query_key, query_text, k, len(block)).drop("rank"))
-            continue
         vocab = spark.createDataFrame([(t, i) for t, i in code.items()], "piece string, id int")
-        table = lookup_table(vocab, 256)
-        coded = words.withColumn("_table", table).select(
+        coded = words.withColumn("_table", lookup_table(vocab, 256)).select(
             "doc_id", F.size("t").alias("n"), encode(F.col("t"), F.col("_table"), 256, -1).alias("c")
         )
         coded = coded.select("doc_id", "n", F.filter("c", lambda c: c >= 0).alias("c"))
-        seen = coded.select(F.explode(F.array_distinct("c")).alias("c")).groupBy("c").agg(F.count(F.lit(1)).alias("df"))
-        df = np.zeros(len(terms))
-        for row in seen.collect():  # at most one row per query term
-            df[row["c"]] = row["df"]
+        # One pass for all statistics: code -1 stands for the document itself.
+        marks = coded.select("n", F.explode(F.array_append(F.array_distinct("c"), F.lit(-1))).alias("c"))
+        seen = marks.groupBy("c").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("len"))
+        df, n_docs, avgdl = np.zeros(len(terms)), 0, 1.0
+        for row in seen.collect():  # at most one row per query term and one for the corpus
+            if row["c"] < 0:
+                n_docs, avgdl = row["df"], max(row["len"] / row["df"], 1e-9)
+            else:
+                df[row["c"]] = row["df"]
         idf = np.log(1 + (n_docs - df + 0.5) / (df + 0.5))
         weight = np.zeros((len(terms), len(block)))
         for j, q in enumerate(block["q"]):

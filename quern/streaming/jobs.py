@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quern.functions.text import strip
-from quern.operators import filters
+from quern.operators import convert, filters, scoring
+from quern.operators import tokens as tok
 from quern.session import scratch_dir
 
 DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
@@ -36,3 +37,82 @@ def stream_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = stream_table(spark, sf_dir, "documents", DOCUMENTS)
     kept = docs.where(filters.non_empty(F.col("text"))).select("doc_id", strip(F.col("text")).alias("text"))
     return drain(kept, "stream-text")
+
+
+def stream_web_math(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The web conversion as a stateless stream: ids and wordings follow the content's hash, not a position."""
+    docs = convert.select_web_math(stream_table(spark, sf_dir, "documents", DOCUMENTS))
+    digest = F.md5("text")
+    idx = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint")
+    ident = F.concat(F.lit(convert.WEB_ID_PREFIX), digest)
+    return drain(docs.select(*convert.web_math_row(F.col("text"), idx, ident)), "stream-web")
+
+
+def each_batch(stream: DataFrame, name: str, work) -> str:
+    """Run ``work(batch)`` on every micro-batch and write its result below the returned folder.
+
+    The folder of a batch is named by its number and replaced on a repeat, so a restarted batch is not counted twice.
+    """
+    base = scratch_dir(stream.sparkSession, name)
+
+    def write(batch: DataFrame, number: int) -> None:
+        work(batch).write.mode("overwrite").parquet(f"{base}/out/batch={number}")
+
+    q = (
+        stream.writeStream.foreachBatch(write)
+        .option("checkpointLocation", f"{base}/state")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    return f"{base}/out"
+
+
+def stream_tokenise(spark: SparkSession, sf_dir: str, vocab: DataFrame, block: int) -> DataFrame:
+    """Encoding and fixed-width padding of a text stream with a given vocabulary."""
+    docs = stream_table(spark, sf_dir, "documents", DOCUMENTS).select("doc_id", "text")
+
+    def work(batch: DataFrame) -> DataFrame:
+        ids = tok.encode_column(batch, "text", vocab)
+        return ids.select("doc_id", tok.pad_fixed(F.col("ids"), block).alias("input_ids"))
+
+    return spark.read.parquet(each_batch(docs, "stream-tokens", work)).drop("batch")
+
+
+def stream_pack(spark: SparkSession, sf_dir: str, vocab: DataFrame, block: int, group_rows: int) -> DataFrame:
+    """Packing of a text stream; groups never reach beyond their micro-batch."""
+    docs = stream_table(spark, sf_dir, "documents", DOCUMENTS).select("doc_id", "text")
+
+    def work(batch: DataFrame) -> DataFrame:
+        ids = tok.encode_column(batch, "text", vocab).select("doc_id", "ids")
+        return tok.pack_eos_blocks(tok.pack_groups(ids, "doc_id", group_rows), "ids", block)
+
+    return spark.read.parquet(each_batch(docs, "stream-pack", work))
+
+
+def stream_scores(samples: DataFrame, prediction_dir: str, schema: str) -> tuple[DataFrame, DataFrame]:
+    """Score prediction files as they arrive: ``(results, summary)``.
+
+    The file source's checkpoint makes every file count once; results are appended, the summary is a running
+    aggregate in complete mode whose latest state replaces the one before.
+    """
+    spark = samples.sparkSession
+    arriving = spark.readStream.schema(schema).option("maxFilesPerTrigger", 8).parquet(prediction_dir)
+    results = drain(scoring.score_predictions(samples, arriving), "stream-scores")
+    base = scratch_dir(spark, "stream-summary")
+    totals = scoring.score_predictions(samples, arriving).groupBy(*scoring.RUN)
+    running = totals.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("correct")).alias("correct"))
+
+    def replace(batch: DataFrame, _: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{base}/out")
+
+    q = (
+        running.writeStream.outputMode("complete")
+        .foreachBatch(replace)
+        .option("checkpointLocation", f"{base}/state")
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    share = F.bround(F.coalesce(F.try_divide(100.0 * F.col("correct"), F.col("total")), F.lit(0.0)), 2)
+    return results, spark.read.parquet(f"{base}/out").withColumn("accuracy", share)
