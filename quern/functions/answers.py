@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quern.functions.text import from_pos, strip
+from quern.functions.text import from_pos, let, strip
 
 # The answer notations. (?d): only \n ends a line; (?s): a dot crosses lines.
 THINK = r"(?s)<think>.*?</think>"
@@ -14,6 +14,7 @@ HASHES = r"####\s*([+-]?\d[\d,]*\.?\d*)"
 SPOKEN = r"[Tt]he\s+(?:final\s+)?answer\s+is[:\s]*\$?([+-]?\d[\d,]*\.?\d*)\$?"
 ANY_NUMBER = r"[+-]?\d[\d,]*\.?\d*"
 NUMBER_TEXT = r"\A[+-]?(?:(?:\d+(?:_\d+)*\.?(?:\d+(?:_\d+)*)?|\.\d+(?:_\d+)*)(?:[eE][+-]?\d+)?|(?i:inf|infinity|nan))\z"
+FLAT_BRACES = r"\A\{([^{}]*)\}"
 ANSWER_TAG = r"(?s)<answer>(.*?)</answer>"
 FORMAT_TAGS = r"(?d)^<think>.*?</think><answer>.*?</answer>$"
 GOLD_MARK = "####"
@@ -27,8 +28,8 @@ def strip_think(c: Column) -> Column:
 
 def to_number(c: Column) -> Column:
     """The number a text spells, null if it is anything else."""
-    t = strip(F.replace(c, F.lit(","), F.lit("")))
-    return F.when(t.rlike(NUMBER_TEXT), F.replace(t, F.lit("_"), F.lit("")).try_cast("double"))
+    bare = strip(F.replace(c, F.lit(","), F.lit("")))
+    return let(bare, lambda t: F.when(t.rlike(NUMBER_TEXT), F.replace(t, F.lit("_"), F.lit("")).try_cast("double")))
 
 
 def _last(c: Column, pattern: str, group: int) -> Column:
@@ -37,13 +38,8 @@ def _last(c: Column, pattern: str, group: int) -> Column:
 
 def extract_number(c: Column) -> Column:
     """Numeric answer: boxed, then after ``####``, then spoken, then the last number; null if none parses."""
-    t = strip_think(c)
-    return F.coalesce(
-        to_number(_last(t, BOXED, 1)),
-        to_number(_last(t, HASHES, 1)),
-        to_number(_last(t, SPOKEN, 1)),
-        to_number(_last(t, ANY_NUMBER, 0)),
-    )
+    ways = [(BOXED, 1), (HASHES, 1), (SPOKEN, 1), (ANY_NUMBER, 0)]
+    return let(strip_think(c), lambda t: F.coalesce(*[to_number(_last(t, p, g)) for p, g in ways]))
 
 
 def boxed_balanced(c: Column) -> Column:
@@ -52,8 +48,13 @@ def boxed_balanced(c: Column) -> Column:
     The ``\\boxed x`` form ends at the next dollar sign. An ``\\fbox{…}`` is located but, as a result, unwrapped to
     null: only the boxed form has content here.
     """
-    spaced = F.split_part(F.element_at(F.split(c, r"\\boxed "), -1), F.lit("$"), F.lit(1))
-    tail = F.element_at(F.split(c, r"\\boxed"), -1)
+    spaced = F.split_part(F.substring_index(c, "\\boxed ", -1), F.lit("$"), F.lit(1))
+    found = let(F.substring_index(c, "\\boxed", -1), _braced)
+    return F.when(c.contains("\\boxed "), spaced).when(c.contains("\\boxed"), found)
+
+
+def _braced(tail: Column) -> Column:
+    """Content of the balanced braces a text starts with; a flat pair needs no counting."""
     chars = F.split(tail, "")
     start = F.struct(
         F.lit(0).alias("depth"), F.lit(0).alias("at"), F.lit(0).alias("end"), F.lit(False).alias("done")
@@ -70,9 +71,11 @@ def boxed_balanced(c: Column) -> Column:
             (acc["done"] | closes).alias("done"),
         )
 
-    end = F.aggregate(chars, start, step)["end"]
-    braced = F.when((end > 0) & tail.startswith("{"), F.substr(tail, F.lit(2), (end - 2).cast("int")))
-    return F.when(c.contains("\\boxed "), spaced).when(c.contains("\\boxed"), braced)
+    counted = let(
+        F.aggregate(chars, start, step)["end"],
+        lambda end: F.when(end > 0, F.substr(tail, F.lit(2), (end - 2).cast("int"))),
+    )
+    return F.when(tail.rlike(FLAT_BRACES), F.regexp_extract(tail, FLAT_BRACES, 1)).when(tail.startswith("{"), counted)
 
 
 def answer_tag(c: Column) -> Column:
@@ -119,12 +122,20 @@ def math_value(c: Column) -> Column:
     return F.when(c.contains("/"), F.try_divide(top, bottom)).otherwise(to_number(c))
 
 
+def same_answer(p: Column, g: Column) -> Column:
+    """How two normalised answers agree: ``text``, ``value`` or ``differ``."""
+    return F.when(p == g, "text").when(numbers_agree(math_value(p), math_value(g)), "value").otherwise("differ")
+
+
 def candidate_answer(prediction: Column) -> Column:
     """The answer a prediction states outright (boxed, hashed or tagged); null when it states none."""
-    t = strip_think(prediction)
-    hashed = F.when(t.contains(GOLD_MARK), strip(F.regexp_extract(t, r"(?d)####[ \t]*(.*)", 1)))
-    tagged = F.when(t.rlike(ANSWER_TAG), answer_tag(t))
-    return F.coalesce(boxed_balanced(t), hashed, tagged)
+
+    def stated(t: Column) -> Column:
+        hashed = F.when(t.contains(GOLD_MARK), strip(F.regexp_extract(t, r"(?d)####[ \t]*(.*)", 1)))
+        tagged = F.when(t.rlike(ANSWER_TAG), answer_tag(t))
+        return F.coalesce(boxed_balanced(t), hashed, tagged)
+
+    return let(strip_think(prediction), stated)
 
 
 def truth_answer(truth: Column) -> Column:
@@ -136,12 +147,12 @@ def truth_answer(truth: Column) -> Column:
 
 def verify_path(prediction: Column, truth: Column) -> Column:
     """Which rule settles normalised equality: ``text``, ``value``, ``differ`` or ``unparsed``."""
-    p, g = normalize_math(candidate_answer(prediction)), normalize_math(truth_answer(truth))
-    return (
-        F.when(p.isNull() | (g == ""), "unparsed")
-        .when(p == g, "text")
-        .when(numbers_agree(math_value(p), math_value(g)), "value")
-        .otherwise("differ")
+    sides = F.struct(
+        normalize_math(candidate_answer(prediction)).alias("p"), normalize_math(truth_answer(truth)).alias("g")
+    )
+    return let(
+        sides,
+        lambda s: F.when(s["p"].isNull() | (s["g"] == ""), "unparsed").otherwise(same_answer(s["p"], s["g"])),
     )
 
 
@@ -152,15 +163,12 @@ def accuracy_reward(completion: Column, answer: Column) -> Column:
     completion states outright.
     """
     said = F.when(answer.contains(GOLD_MARK), answer_tag(completion)).otherwise(candidate_answer(completion))
-    p, g = normalize_math(said), normalize_math(truth_answer(answer))
-    same = (p == g) | numbers_agree(math_value(p), math_value(g))
-    return F.when(F.coalesce(same & (g != ""), F.lit(False)), 1.0).otherwise(0.0)
+    sides = F.struct(normalize_math(said).alias("p"), normalize_math(truth_answer(answer)).alias("g"))
+    return let(
+        sides, lambda s: F.when((s["g"] != "") & (same_answer(s["p"], s["g"]) != "differ"), 1.0).otherwise(0.0)
+    )
 
 
 def format_reward(c: Column) -> Column:
     """1.0 when the text is one reasoning block directly followed by one answer block, on one line each."""
     return F.when(c.rlike(FORMAT_TAGS), 1.0).otherwise(0.0)
-
-
-def path_score(path: Column) -> Column:
-    return F.when(path.isin("text", "value"), 1.0).when(path == "differ", 0.0)

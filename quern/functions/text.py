@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ WHITESPACE = (
 TOKEN_PATTERN = r"\p{L}+|[0-9]|[^ \t\n\f\r\p{L}0-9]"
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed once however often ``use`` refers to it."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def strip(c: Column) -> Column:
     """Trim every kind of white space from both ends."""
     return F.btrim(c, F.lit(WHITESPACE))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,6 +17,7 @@ from quern.operators.tokens import encode, lookup_table
 # Sentence ends, the characters that close a line, prompt wording and ranking constants.
 SENTENCE_BREAK = r"(?<=[.!?])\s+"
 CJK_ENDINGS = ["\n", "。", "！", "？", "；", "…"]
+CJK_UNIT = re.compile(r"[A-Za-z0-9]+|.", re.DOTALL)
 LINE_ENDINGS = [
     ".", "!", "?", "。", "！", "？", "…", ";", "；", ":", "：", "”", "’", "）", "】", "》", "」",
     "』", "〕", "〉", "》", "〗", "〞", "〟", "»", '"', "'", ")", "]", "}",
@@ -63,19 +65,28 @@ def chunk_sentences(text: Column, size: int = 250) -> Column:
 
 def chunk_cjk(text: Column, size: int = 250, overlap: int = 50) -> Column:
     """Characters (words, for Latin runs) packed into chunks, closed early at a sentence end near the limit."""
-    units = F.regexp_extract_all(text, F.lit(r"(?s)[A-Za-z0-9]+|."), 0)
 
-    def step(a: Column, u: Column) -> Column:
-        over = F.length(a["cur"]) + F.length(u) > size
-        done = F.when(over, F.array_append(a["done"], strip(a["cur"]))).otherwise(a["done"])
-        cur = F.when(over, u).otherwise(F.concat(a["cur"], u))
-        close = F.right(u, F.lit(1)).isin(CJK_ENDINGS) & (F.length(cur) > size - overlap)
-        return F.when(close, _state(F.array_append(done, strip(cur)), F.lit(""))).otherwise(_state(done, cur))
+    @F.pandas_udf("array<string>")
+    def cut(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else _cut_cjk(t, size, overlap))
 
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("cur"))
-    return F.aggregate(
-        units, start, step, lambda a: F.when(a["cur"] != "", F.array_append(a["done"], strip(a["cur"]))).otherwise(a["done"])
-    )
+    return cut(text)
+
+
+def _cut_cjk(text: str, size: int, overlap: int) -> list[str]:
+    """Chunks of one text. A fold per character in the plan copies its state at every step, hence this helper."""
+    chunks, start = [], 0
+    for unit in CJK_UNIT.finditer(text):
+        begin, end = unit.span()
+        if end - start > size:
+            chunks.append(text[start:begin].strip())
+            start = begin
+        if text[end - 1] in CJK_ENDINGS and end - start > size - overlap:
+            chunks.append(text[start:end].strip())
+            start = end
+    if start < len(text):
+        chunks.append(text[start:].strip())
+    return chunks
 
 
 def overlap_chunks(chunks: Column, overlap: int) -> Column:
@@ -92,8 +103,13 @@ def overlap_chunks(chunks: Column, overlap: int) -> Column:
 
 def chunk_documents(df: DataFrame, key: str, text: str, size: int = 250, overlap: int = 50) -> DataFrame:
     """``key, chunk_idx, chunk``: CJK texts by character, all others by sentence, with overlap."""
-    raw = F.when(has_cjk(F.col(text)), chunk_cjk(F.col(text), size, overlap)).otherwise(chunk_sentences(F.col(text), size))
-    cut = df.select(key, raw.alias("_c"))
+    is_cjk = has_cjk(F.col(text))
+    routed = df.select(
+        key,
+        chunk_cjk(F.when(is_cjk, F.col(text)), size, overlap).alias("_cjk"),
+        F.when(~is_cjk, F.col(text)).alias("_latin"),
+    )
+    cut = routed.select(key, F.coalesce("_cjk", chunk_sentences(F.col("_latin"), size)).alias("_c"))
     out = cut.select(key, F.posexplode(overlap_chunks(F.col("_c"), overlap)).alias("chunk_idx", "chunk"))
     return out.withColumn("chunk_idx", F.col("chunk_idx").cast("bigint"))
 
@@ -217,8 +233,8 @@ def bm25_topk(
     for block, terms in (x for b in _query_blocks(asked, "query_id", block_queries) for x in _fit(b)):
         code = {t: i for i, t in enumerate(terms)}
         vocab = spark.createDataFrame([(t, i) for t, i in code.items()], "piece string, id int")
-        coded = words.withColumn("_table", lookup_table(vocab, 256)).select(
-            "doc_id", F.size("t").alias("n"), encode(F.col("t"), F.col("_table"), 256, -1).alias("c")
+        coded = words.withColumn("_table", lookup_table(vocab, 4096)).select(
+            "doc_id", F.size("t").alias("n"), encode(F.col("t"), F.col("_table"), 4096, -1).alias("c")
         )
         coded = coded.select("doc_id", "n", F.filter("c", lambda c: c >= 0).alias("c"))
         # One pass for all statistics: code -1 stands for the document itself.

@@ -23,7 +23,7 @@ def score_predictions(samples: DataFrame, predictions: DataFrame) -> DataFrame:
     rows = predictions.join(samples, ["sample_id", "eval_dataset"])
     has_text = F.coalesce(F.col("ground_truth"), F.lit("")) != ""
     path = F.when(has_text, answers.verify_path(F.col("prediction"), F.col("ground_truth"))).otherwise("unparsed")
-    rows = rows.withColumn("_p", path)
+    rows = rows.withColumn("_p", path)  # used three times below, so it stays a column of its own
     equal = F.col("_p").isin("text", "value")
     by_value = ~equal & F.col("ground_truth_value").isNotNull()
     number = answers.verify_numeric(F.col("prediction"), F.col("ground_truth_value"))
@@ -125,11 +125,10 @@ def unigram_perplexity(docs: DataFrame, key: str, text: str) -> DataFrame:
     """
     words = docs.select(key, F.explode(tokens(F.col(text))).alias("piece"))
     counts = words.groupBy("piece").agg(F.count(F.lit(1)).alias("c"))
-    total = counts.select(F.sum("c")).scalar()
-    kinds = counts.select(F.count(F.lit(1))).scalar()
-    nll = -F.log((F.col("c") + 1) / (total + kinds))
+    sizes = counts.select(F.struct(F.sum("c").alias("total"), F.count(F.lit(1)).alias("kinds"))).scalar()
+    nll = -F.log((F.col("c") + 1) / (sizes["total"] + sizes["kinds"]))
     priced = counts.select("piece", "c", nll.alias("nll"))
-    limit = total * F.lit(HEAVY_SHARE)
+    limit = sizes["total"] * F.lit(HEAVY_SHARE)
     heavy = F.broadcast(priced.where(F.col("c") >= limit).select("piece", "nll"))
     light = priced.where(F.col("c") < limit).select("piece", "nll")
     common = words.join(heavy, "piece")

@@ -125,10 +125,16 @@ def encode(token_array: Column, table: Column, buckets: int = 1024, unknown: int
     )
 
 
+def encode_columns(df: DataFrame, texts: dict[str, str], vocab: DataFrame) -> DataFrame:
+    """Add the id arrays ``{name: text column}``."""
+    with_table = df.withColumn("_table", lookup_table(vocab))
+    ids = [encode(tokens(F.col(text)), F.col("_table")).alias(name) for name, text in texts.items()]
+    return with_table.select(*df.columns, *ids)
+
+
 def encode_column(df: DataFrame, text: str, vocab: DataFrame, name: str = "ids") -> DataFrame:
     """Add the id array of a text column."""
-    with_table = df.withColumn("_table", lookup_table(vocab))
-    return with_table.withColumn(name, encode(tokens(F.col(text)), F.col("_table"))).drop("_table")
+    return encode_columns(df, {name: text}, vocab)
 
 
 def encode_dialogs(

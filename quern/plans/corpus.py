@@ -18,7 +18,7 @@ from quern.plans.fixtures import (
     sql_strip,
     sql_tokens,
 )
-from quern.plans.registry import query, sql_text, table
+from quern.plans.registry import query, spread_table, sql_text, table
 from quern.session import scratch_dir
 from quern.sources import readers, writers
 from quern.streaming import jobs
@@ -100,7 +100,7 @@ TOKEN_COUNTS_SQL = f"SELECT word, count(*) AS freq FROM (SELECT unnest({sql_toke
 UNION ALL SELECT 'freq', word, freq FROM ({TOKEN_COUNTS_SQL})""",
 )
 def src_vocab_lists(spark, sf):
-    docs = table(spark, sf, "documents")
+    docs = spread_table(spark, sf, "documents", "doc_id")
     listed = scratch_dir(spark, "vocab")
     docs.select("text").write.option("lineSep", "\n").text(listed)
     counted = scratch_dir(spark, "freq")
@@ -129,7 +129,7 @@ SELECT page_id, len(l)::BIGINT AS n_lines, array_to_string(l, chr(10)) AS text F
 )
 def src_doc_lines(spark, sf):
     text = readers.document_lines(readers.html_text(F.col("html")))
-    out = table(spark, sf, "pages").select("page_id", text.alias("text"))
+    out = spread_table(spark, sf, "pages", "page_id").select("page_id", text.alias("text"))
     n = F.when(F.col("text") == "", 0).otherwise(F.size(F.split("text", "\n")))
     return out.withColumn("n_lines", n.cast("bigint"))
 
@@ -246,7 +246,7 @@ SELECT '{convert.WEB_ID_PREFIX}' || idx AS id,
   {sql_strip('text')} AS gpt FROM cuts""",
 )
 def web_math_to_chat(spark, sf):
-    return convert.web_math_to_chat(table(spark, sf, "documents"))
+    return convert.web_math_to_chat(spread_table(spark, sf, "documents", "doc_id"))
 
 
 @query(
@@ -282,7 +282,8 @@ def filter_length(spark, sf):
 
 @query("filter_math", f"SELECT doc_id FROM documents WHERE regexp_matches(text, {MATH_SQL})")
 def filter_math(spark, sf):
-    return table(spark, sf, "documents").where(filters.has_math(F.col("text"))).select("doc_id")
+    docs = spread_table(spark, sf, "documents", "doc_id")
+    return docs.where(filters.has_math(F.col("text"))).select("doc_id")
 
 
 @query("filter_nonempty", "SELECT doc_id FROM documents WHERE text IS NOT NULL AND text <> ''")

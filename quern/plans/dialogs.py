@@ -9,7 +9,7 @@ from quern.functions.text import tokens
 from quern.operators import dialog, filters, roleplay, templates
 from quern.operators.ordering import dense_index
 from quern.plans.fixtures import QA_SQL, WS_SQL, chat_turns, qa_pairs, sql_hash, sql_strip, sql_tokens
-from quern.plans.registry import query, sql_text, table
+from quern.plans.registry import query, spread_table, sql_text, table
 
 # ---------------------------------------------------------------- irregular dialogs
 
@@ -459,7 +459,7 @@ def parse_numbered_list(spark, sf):
         lambda x, i: F.concat((i + 1).cast("string"), F.when((i + 1) % 4 == 0, " ").otherwise("."), x),
     )
     items = replies.parse_numbered(F.array_join(numbered, "\n\n"))
-    rows = table(spark, sf, "documents").select("doc_id", items.alias("t"))
+    rows = spread_table(spark, sf, "documents", "doc_id").select("doc_id", items.alias("t"))
     return rows.where(F.size("t") > 0).select("doc_id", F.size("t").alias("n_items"), F.array_join("t", "|").alias("items"))
 
 

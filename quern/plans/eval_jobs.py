@@ -42,7 +42,8 @@ def completions(spark, sf):
         .when(kind % 3 == 1, say("\\boxed{", n, "}"))
         .otherwise(say("$", n, "$"))
     )
-    return table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderpriority", text.alias("text"), truth.alias("truth"))
+    orders = spread_table(spark, sf, "orders", "o_orderkey")
+    return orders.select("o_orderkey", "o_custkey", "o_orderpriority", text.alias("text"), truth.alias("truth"))
 
 
 COMP_SQL = r"""o AS (SELECT o_orderkey, o_custkey, o_orderpriority, (o_custkey % 1000)::VARCHAR AS n, o_orderkey % 8 AS kind FROM orders),
@@ -258,7 +259,7 @@ MODELS = {"base": 4, "tuned": 7, "draft": 3}
 
 def predictions(spark, sf):
     """Texts of three models, in five styles, off by one as often as the model's modulus says."""
-    orders = table(spark, sf, "orders")
+    orders = spread_table(spark, sf, "orders", "o_orderkey")
     key = F.col("o_orderkey")
     dataset = F.when(key % 3 == 2, "calc_gsm8k").otherwise("gsm8k_distilled")
     models = F.array(*[F.struct(F.lit(m).alias("model_label"), F.lit(k).alias("m")) for m, k in MODELS.items()])

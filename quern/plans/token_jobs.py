@@ -104,7 +104,7 @@ sft AS (SELECT conv_id, flatten(list(list_concat(s, t, [2]) ORDER BY pair_idx))
 def sft_rows(spark, sf):
     pairs = rendered_dialogs(spark, sf).select("conv_id", "pair_idx", "prompt_text", "response")
     vocab = vocabulary(spark, sf)
-    rows = tok.encode_column(tok.encode_column(pairs, "prompt_text", vocab, "_s"), "response", vocab, "t")
+    rows = tok.encode_columns(pairs, {"_s": "prompt_text", "t": "response"}, vocab)
     opened = F.when(F.col("pair_idx") == 0, F.concat(F.array(F.lit(tok.BOS)), "_s")).otherwise(F.col("_s"))
     return tok.encode_dialogs(rows.withColumn("s", opened), "s", "t", 512)
 
