@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # The characters Unicode counts as white space.
@@ -23,6 +23,16 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def explode_indexed(df: DataFrame, keys: list[str], array: str, idx: str, value: str) -> DataFrame:
+    """One row per element of a computed array column, numbered from 0.
+
+    The outer form is used on purpose: for the plain one the optimizer adds a size filter and pushes it below the
+    expression, which then runs twice per row.
+    """
+    out = df.select(*keys, F.posexplode_outer(array).alias(idx, value)).where(F.col(idx).isNotNull())
+    return out.withColumn(idx, F.col(idx).cast("bigint"))
+
+
 def strip(c: Column) -> Column:
     """Trim every kind of white space from both ends."""
     return F.btrim(c, F.lit(WHITESPACE))

@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quern.functions.text import lstrip_newlines, rstrip
@@ -18,9 +18,8 @@ from quern.operators.segments import (
     attach_facts,
     joined_text,
     last_before,
-    previous_value,
     running_count,
-    with_segment,
+    scan,
 )
 from quern.operators.templates import render_history, render_query
 
@@ -70,7 +69,7 @@ def dialog_pairs(turns: DataFrame, system_turns: bool = True, size: int = SEGMEN
     if not system_turns:
         return pairs
     told = turns.where((F.col("turn") == 0) & (F.col("role") == "system")).select(
-        "conv_id", F.lit(0).cast("bigint").alias("pair_idx"), F.col("text").alias("system")
+        "conv_id", F.col("turn").alias("pair_idx"), F.col("text").alias("system")
     )
     return pairs.join(told, ["conv_id", "pair_idx"], "left")
 
@@ -203,106 +202,97 @@ def react_flatten(messages: DataFrame, tools: Sequence[dict] = (), size: int = S
 
     ``messages`` has ``conv_id, turn, role, content, tool_name, tool_args``, ``turn`` increasing from 0. Output rows:
     one per user message with the merged assistant text that follows it (``is_query`` marks a last, unanswered one),
-    or one row with ``invalid_reason`` for a transcript that breaks the order rules. ``part`` numbers the pieces of
-    an answer longer than ``size`` messages; the system text stands on the first row of its transcript.
+    or one row with ``invalid_reason`` for a transcript that breaks the order rules. An answer that runs over a piece
+    border (see ``size``) comes as several rows in ``part`` order; the system text stands on the first row.
     """
     instruction = tool_instruction(tools)
     is_user = F.col("role") == "user"
-    rows = attach_facts(
+    rows = scan(
         messages,
         KEY,
         "turn",
-        [F.count_if(is_user).alias("_users"), F.max("turn").alias("_last")],
-        size,
+        counts={"island": is_user},
+        totals={"_users": is_user},
+        highest={"_last": F.col("turn")},
+        previous={"_prev": F.col("role")},
+        following={"_next": F.col("role")},
+        size=size,
     )
     lead = (F.col("turn") == 0) & (F.col("role") == "system")
-    system = rows.where(lead).select(
-        "conv_id", F.lit(1).cast("bigint").alias("island"), trimmed(F.col("content")).alias("system")
-    )
-    rows = rows.where(~lead)
-    rows = running_count(rows, KEY, "turn", is_user, "island", size=size)
-    rows = previous_value(rows, KEY, "turn", F.col("role"), "_prev", size=size)
-
-    answered = F.coalesce(F.col("_prev").isin("assistant", "function"), F.lit(False))
+    answering = ("assistant", "function")
+    answered = F.coalesce(F.col("_prev").isin(*answering), F.lit(False))
     error = (
-        F.when(~F.col("role").isin("user", "assistant", "function"), "incorrect_role")
+        F.when(lead, None)
+        .when(~F.col("role").isin("user", *answering), "incorrect_role")
         .when((F.col("role") == "function") & ~answered, "function_before_assistant")
         .when((F.col("role") == "assistant") & (F.col("island") == 0), "assistant_before_user")
     )
     body = trimmed(F.coalesce(F.col("content"), F.lit("")))
-    plain = F.concat(F.lit("Thought: I now know the final answer.\nFinal Answer: "), body) if tools else body
-    thought = F.when(body.startswith("Thought:"), body).otherwise(F.concat(F.lit("Thought: "), body))
+    plain = F.concat(F.lit("Thought: I now know the final answer.\nFinal Answer: "), "_body") if tools else F.col("_body")
+    thought = F.when(F.col("_body").startswith("Thought:"), F.col("_body")).otherwise(F.concat(F.lit("Thought: "), "_body"))
     called = F.concat(thought, F.lit("\nAction: "), "tool_name", F.lit("\nAction Input: "), "tool_args")
     said = F.when(F.col("tool_name").isNull(), plain).otherwise(called)
-    observed = F.concat(
-        F.lit("\nObservation: "), body, F.when(F.col("turn") == F.col("_last"), "\nThought:").otherwise("")
-    )
+    closing = F.when(F.col("turn") == F.col("_last"), "\nThought:").otherwise("")
     piece = (
-        F.when(F.col("role") == "function", observed)
+        F.when(F.col("role") == "function", F.concat(F.lit("\nObservation: "), "_body", closing))
         .when(F.col("_prev") == "user", trimmed(said))
-        .otherwise(F.concat(F.lit("\n"), said))
+        .when(F.col("role") == "assistant", F.concat(F.lit("\n"), said))
     )
-    rows = rows.select(
-        "conv_id", "turn", "role", "island", "_users", "_seg", error.alias("_err"), body.alias("_body"), piece.alias("_piece")
-    )
-    first = F.min_by("_err", F.when(F.col("_err").isNotNull(), F.col("turn"))).alias("_first")
-    rows = attach_facts(rows, KEY, "turn", [first], size)
+    rows = rows.withColumn("_body", body)
+    rows = rows.withColumn("_err", error).withColumn("_piece", piece).withColumn("_asked", is_user).withColumn("_lead", lead)
 
-    by_island = ["conv_id", "island"]
-    answers = joined_text(
-        rows.where(F.col("role").isin("assistant", "function")), by_island, "turn", F.col("_piece"), "_answer", size=size
+    # One row per user message and piece: its text, the answer pieces in order, the first rule it breaks.
+    texts = F.transform(
+        F.array_sort(F.collect_list(F.when(~F.col("_asked") & F.col("_piece").isNotNull(), F.struct("turn", "_piece")))),
+        lambda x: x["_piece"],
     )
-    in_order = Window.partitionBy(*by_island).orderBy("part")
-    ends = F.when(F.lead("part").over(in_order).isNull(), rstrip(F.col("_answer"))).otherwise(F.col("_answer"))
-    starts = F.when(F.row_number().over(in_order) == 1, lstrip_newlines(F.col("_a"))).otherwise(F.col("_a"))
-    answers = answers.withColumn("_a", ends).select(
-        *by_island, "part", starts.alias("assistant_text"), (F.row_number().over(in_order) - 1).alias("_k")
+    islands = rows.groupBy("conv_id", "island", F.col("_seg").alias("part")).agg(
+        F.first("_users").alias("_users"),
+        F.max(F.when(F.col("_asked"), F.col("_body"))).alias("_q"),
+        F.max(F.when(F.col("_asked"), F.coalesce(F.col("_next").isin(*answering), F.lit(False)))).alias("_answered"),
+        F.max(F.when(F.col("_lead"), F.col("_body"))).alias("_system"),
+        texts.alias("_texts"),
+        F.max_by("_next", "turn").alias("_after"),
+        F.min(F.when(F.col("_err").isNotNull(), F.struct("turn", "_err"))).alias("_broken"),
     )
-    asked = rows.where(is_user).select(*by_island, "_users", "_first", F.col("_body").alias("user_text"))
-    pairs = asked.join(answers, by_island, "left")
-
-    has_answer = F.col("assistant_text").isNotNull()
-    pairs = attach_facts(
-        with_segment(pairs, "island", size),
-        KEY,
-        "island",
-        [
-            F.count_if(~has_answer & (F.col("island") < F.col("_users"))).alias("_open"),
-            F.coalesce(F.max(F.when(has_answer, F.col("island"))), F.lit(0)).alias("_last_answered"),
-        ],
-        size,
+    open_ = ~F.col("_answered") & (F.col("island") < F.col("_users"))
+    facts = [
+        F.min("_broken").alias("_first"),
+        F.count_if(open_).alias("_open"),
+        F.coalesce(F.max(F.when(F.col("_answered"), F.col("island"))), F.lit(0)).alias("_last_answered"),
+        F.min(F.struct("island", "part")).alias("_head"),
+        F.max("_system").alias("_told"),
+    ]
+    islands = attach_facts(islands, KEY, "island", facts, size)
+    reason = (
+        F.when(F.col("_users") == 0, "no_user")
+        .when(F.col("_first").isNotNull(), F.col("_first._err"))
+        .when(F.col("_open") % 2 == 1, "odd_messages")
+        .when(F.col("_open") > 0, "unpaired_user")
     )
-    unpaired = F.when(F.col("_open") % 2 == 1, "odd_messages").when(F.col("_open") > 0, "unpaired_user")
-    reason = F.when(F.col("_users") == 0, "no_user").otherwise(F.col("_first"))
-    broken = rows.where(reason.isNotNull()).groupBy("conv_id").agg(F.first(reason).alias("invalid_reason"))
-    clean = pairs.where(F.col("_first").isNull())
-    structural = clean.where(unpaired.isNotNull()).groupBy("conv_id").agg(F.first(unpaired).alias("invalid_reason"))
-    invalid = broken.unionByName(structural)
-
-    target = F.greatest(F.col("_last_answered"), F.lit(1))
-    user_text = F.col("user_text")
+    islands = islands.withColumn("invalid_reason", reason)
+    valid = F.col("invalid_reason").isNull()
+    head = F.struct("island", "part") == F.col("_head")
+    shown = islands.where((valid & (F.col("island") > 0)) | (~valid & head))
+
+    answer = F.array_join("_texts", "")
+    answer = F.when(F.col("_q").isNotNull(), lstrip_newlines(answer)).otherwise(answer)
+    over = F.col("_after").isNull() | (F.col("_after") == "user")
+    answer = F.when(over, rstrip(answer)).otherwise(answer)
+    silent = F.coalesce(~F.col("_answered"), F.lit(False))
+    question = F.col("_q")
     if instruction:
-        told = F.concat(F.lit(instruction + "\n\nQuestion: "), user_text)
-        user_text = F.when(F.col("island") == target, told).otherwise(user_text)
-    good = clean.where(unpaired.isNull()).join(system, by_island, "left")
-    good = good.select(
-        "conv_id",
-        (F.col("island") - 1).alias("pair_idx"),
-        F.coalesce(F.col("_k"), F.lit(0)).cast("bigint").alias("part"),
-        user_text.alias("user_text"),
-        "assistant_text",
-        (~has_answer).alias("is_query"),
-        F.coalesce("system", F.lit("")).alias("system"),
-        F.lit(None).cast("string").alias("invalid_reason"),
-    )
-    bad = invalid.select(
+        target = F.greatest(F.col("_last_answered"), F.lit(1))
+        told = F.concat(F.lit(instruction + "\n\nQuestion: "), question)
+        question = F.when(F.col("island") == target, told).otherwise(question)
+    first_row = (F.col("island") == 1) & F.col("_q").isNotNull()
+    return shown.select(
         "conv_id",
-        F.lit(-1).cast("bigint").alias("pair_idx"),
-        F.lit(0).cast("bigint").alias("part"),
-        F.lit(None).cast("string").alias("user_text"),
-        F.lit(None).cast("string").alias("assistant_text"),
-        F.lit(False).alias("is_query"),
-        F.lit("").alias("system"),
+        F.when(valid, F.col("island") - 1).otherwise(F.lit(-1).cast("bigint")).alias("pair_idx"),
+        F.when(valid, F.col("part")).otherwise(F.lit(0).cast("bigint")).alias("part"),
+        F.when(valid, question).alias("user_text"),
+        F.when(valid & ~silent, answer).alias("assistant_text"),
+        (valid & silent).alias("is_query"),
+        F.when(valid & first_row, F.coalesce("_told", F.lit(""))).otherwise(F.lit("")).alias("system"),
         "invalid_reason",
     )
-    return good.unionByName(bad)

@@ -10,7 +10,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.functions.text import has_cjk, strip, tokens
+from quern.functions.text import explode_indexed, has_cjk, strip, tokens
 from quern.operators.ordering import dense_index
 from quern.operators.tokens import encode, lookup_table
 
@@ -110,8 +110,8 @@ def chunk_documents(df: DataFrame, key: str, text: str, size: int = 250, overlap
         F.when(~is_cjk, F.col(text)).alias("_latin"),
     )
     cut = routed.select(key, F.coalesce("_cjk", chunk_sentences(F.col("_latin"), size)).alias("_c"))
-    out = cut.select(key, F.posexplode(overlap_chunks(F.col("_c"), overlap)).alias("chunk_idx", "chunk"))
-    return out.withColumn("chunk_idx", F.col("chunk_idx").cast("bigint"))
+    cut = cut.select(key, overlap_chunks(F.col("_c"), overlap).alias("_c"))
+    return explode_indexed(cut, [key], "_c", "chunk_idx", "chunk")
 
 
 def merge_broken_lines(lines: Column) -> Column:

@@ -115,21 +115,6 @@ def trailing_lines(
     )
 
 
-def previous_value(
-    rows: DataFrame, keys: Sequence[str], pos: str, value: Column, name: str, size: int = SEGMENT
-) -> DataFrame:
-    """``value`` of the row just before in the group (null for the first)."""
-    rows = rows if SEG in rows.columns else with_segment(rows, pos, size)
-    rows = rows.withColumn("_v", value)
-    tail = rows.groupBy(*keys, SEG).agg(F.max_by("_v", pos).alias("_t"))
-    w = Window.partitionBy(*keys).orderBy(SEG)
-    carry = tail.select(*keys, SEG, F.lag("_t").over(w).alias("_carry")).where(F.col("_carry").isNotNull())
-    local = Window.partitionBy(*keys, SEG).orderBy(pos)
-    first = F.row_number().over(local) == 1
-    found = F.when(first, F.col("_carry")).otherwise(F.lag("_v").over(local))
-    return rows.join(carry, [*keys, SEG], "left").withColumn(name, found).drop("_v", "_carry")
-
-
 def joined_text(
     rows: DataFrame,
     keys: Sequence[str],
@@ -151,3 +136,55 @@ def joined_text(
         .agg(piece.alias("_p"))
         .select(*keys, "part", F.array_join(F.transform("_p", lambda x: x["t"]), sep).alias(name))
     )
+
+
+def scan(
+    rows: DataFrame,
+    keys: Sequence[str],
+    pos: str,
+    counts: dict[str, Column] | None = None,
+    totals: dict[str, Column] | None = None,
+    highest: dict[str, Column] | None = None,
+    previous: dict[str, Column] | None = None,
+    following: dict[str, Column] | None = None,
+    size: int = SEGMENT,
+) -> DataFrame:
+    """Several scans of the same rows for the price of one join.
+
+    ``counts`` are running counts of conditions, ``totals`` and ``highest`` aggregates of the whole group,
+    ``previous`` and ``following`` the value of the neighbouring row.
+    """
+    counts, totals, highest = counts or {}, totals or {}, highest or {}
+    previous, following = previous or {}, following or {}
+    rows = rows if SEG in rows.columns else with_segment(rows, pos, size)
+    for n, c in counts.items():
+        rows = rows.withColumn(f"_c_{n}", F.when(c, 1).otherwise(0))
+    aggs = [F.sum(f"_c_{n}").alias(f"_c_{n}") for n in counts]
+    aggs += [F.count_if(c).alias(f"_t_{n}") for n, c in totals.items()]
+    aggs += [F.max(c).alias(f"_h_{n}") for n, c in highest.items()]
+    aggs += [F.max_by(c, pos).alias(f"_p_{n}") for n, c in previous.items()]
+    aggs += [F.min_by(c, pos).alias(f"_f_{n}") for n, c in following.items()]
+    w = Window.partitionBy(*keys).orderBy(SEG)
+    before = w.rowsBetween(Window.unboundedPreceding, -1)
+    whole = w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    carry = rows.groupBy(*keys, SEG).agg(*aggs).select(
+        *keys,
+        SEG,
+        *[F.coalesce(F.sum(f"_c_{n}").over(before), F.lit(0)).alias(f"_b_{n}") for n in counts],
+        *[F.sum(f"_t_{n}").over(whole).alias(n) for n in totals],
+        *[F.max(f"_h_{n}").over(whole).alias(n) for n in highest],
+        *[F.lag(f"_p_{n}").over(w).alias(f"_p_{n}") for n in previous],
+        *[F.lead(f"_f_{n}").over(w).alias(f"_f_{n}") for n in following],
+    )
+    local = Window.partitionBy(*keys, SEG).orderBy(pos)
+    so_far = local.rowsBetween(Window.unboundedPreceding, 0)
+    out = rows.join(carry, [*keys, SEG])
+    added = [(F.sum(f"_c_{n}").over(so_far) + F.col(f"_b_{n}")).cast("bigint").alias(n) for n in counts]
+    for n, c in previous.items():
+        added.append(F.when(F.row_number().over(local) == 1, F.col(f"_p_{n}")).otherwise(F.lag(c).over(local)).alias(n))
+    for n, c in following.items():
+        # A piece's last row has no local successor; a marker tells that from a successor whose value is null.
+        nxt = F.lead(F.struct(c.alias("v"))).over(local)
+        added.append(F.when(nxt.isNull(), F.col(f"_f_{n}")).otherwise(nxt["v"]).alias(n))
+    plain = [c for c in rows.columns if not c.startswith("_c_")]
+    return out.select(*plain, *totals, *highest, *added)

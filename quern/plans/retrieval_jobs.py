@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quern.functions.text import strip_lines, tokens
+from quern.functions.text import explode_indexed, strip_lines, tokens
 from quern.operators import retrieval as ret
 from quern.plans.fixtures import sql_strip, sql_tokens
 from quern.plans.registry import query, spread_table, sql_text, table
@@ -35,15 +35,14 @@ def overlap_sql(n: int, src: str) -> str:
 @query("chunk_english", f"WITH {english_sql('text', 250, 'documents')} SELECT doc_id, i - 1 AS chunk_idx, u.c AS chunk FROM eng, unnest(chunks) WITH ORDINALITY AS u(c, i)")
 def chunk_english(spark, sf):
     cut = corpus(spark, sf).select("doc_id", ret.chunk_sentences(F.col("text"), 250).alias("c"))
-    out = cut.select("doc_id", F.posexplode("c").alias("chunk_idx", "chunk"))
-    return out.withColumn("chunk_idx", F.col("chunk_idx").cast("bigint"))
+    return explode_indexed(cut, ["doc_id"], "c", "chunk_idx", "chunk")
 
 
 @query("chunk_overlap", f"WITH {english_sql('text', 250, 'documents')} {overlap_sql(50, 'eng')}")
 def chunk_overlap(spark, sf):
     cut = corpus(spark, sf).select("doc_id", ret.chunk_sentences(F.col("text"), 250).alias("c"))
-    out = cut.select("doc_id", F.posexplode(ret.overlap_chunks(F.col("c"), 50)).alias("chunk_idx", "chunk"))
-    return out.withColumn("chunk_idx", F.col("chunk_idx").cast("bigint"))
+    cut = cut.select("doc_id", ret.overlap_chunks(F.col("c"), 50).alias("c"))
+    return explode_indexed(cut, ["doc_id"], "c", "chunk_idx", "chunk")
 
 
 def cjk_sql(text: str, size: int, overlap: int, src: str) -> str:
@@ -67,8 +66,7 @@ cjk AS (SELECT doc_id, CASE WHEN f.cur <> '' THEN list_append(f.done, {sql_strip
 def chunk_chinese(spark, sf):
     text = F.translate("text", LATIN, HAN)
     cut = corpus(spark, sf).select("doc_id", ret.chunk_cjk(text, 250, 50).alias("c"))
-    out = cut.select("doc_id", F.posexplode("c").alias("chunk_idx", "chunk"))
-    return out.withColumn("chunk_idx", F.col("chunk_idx").cast("bigint"))
+    return explode_indexed(cut, ["doc_id"], "c", "chunk_idx", "chunk")
 
 
 @query(
@@ -97,8 +95,7 @@ SELECT doc_id, island::BIGINT AS line_no, string_agg(x, '' ORDER BY i) AS line F
 def merge_broken_lines(spark, sf):
     broken = F.replace(F.col("text"), F.lit(", "), F.lit(",\n"))
     rows = corpus(spark, sf).select("doc_id", ret.merge_broken_lines(strip_lines(broken)).alias("l"))
-    out = rows.select("doc_id", F.posexplode("l").alias("line_no", "line"))
-    return out.withColumn("line_no", F.col("line_no").cast("bigint"))
+    return explode_indexed(rows, ["doc_id"], "l", "line_no", "line")
 
 
 @query(
