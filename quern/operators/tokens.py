@@ -66,31 +66,41 @@ def _spaced(symbols: Column) -> Column:
     return F.concat(F.lit(" "), F.array_join(symbols, SYMBOL_GAP), F.lit(" "))
 
 
+def _pair_counts(words: DataFrame, weight: Column) -> DataFrame:
+    """Neighbouring symbol pairs of the words with their summed weight."""
+    symbols = words.select(F.split(F.btrim("w"), SYMBOL_GAP).alias("s"), weight.alias("k")).where(F.size("s") > 1)
+    nexts = F.slice("s", F.lit(2), F.size("s") - 1)
+    pair = F.zip_with("s", nexts, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
+    pairs = symbols.select(F.explode(pair).alias("p"), "k").where("p.b is not null")
+    return pairs.groupBy("p.a", "p.b").agg(F.sum("k").alias("n"))
+
+
 def train_bpe_merges(
     spark: SparkSession, counts: DataFrame, n_merges: int, checkpoint_every: int = 8
 ) -> DataFrame:
     """``round, first, second, freq``: the most frequent neighbouring pair of each round, joined before the next.
 
-    Works on the word-frequency table, which is written once to the checkpoint folder; each round is one
-    aggregation of pair counts whose single winning row comes back to the driver. Ties go to the smaller pair.
+    Works on the word-frequency table. Pair counts are taken once; a round then only recounts the words that hold the
+    winning pair and adds the difference. Word and pair tables are cut from their lineage through the checkpoint
+    folder, and the single winning row of a round is all that reaches the driver. Ties go to the smaller pair.
     """
     ensure_checkpoint_dir(spark)
     spread = counts.repartition(shuffle_width(spark), "piece")
     words = spread.select(_spaced(F.split("piece", "")).alias("w"), "freq").checkpoint()
+    pairs = _pair_counts(words, F.col("freq")).checkpoint()
     merges: list[tuple[int, str, str, int]] = []
     while len(merges) < n_merges:
-        symbols = words.select(F.split(F.btrim("w"), SYMBOL_GAP).alias("s"), "freq").where(F.size("s") > 1)
-        nexts = F.slice("s", F.lit(2), F.size("s") - 1)
-        pair = F.zip_with("s", nexts, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-        pairs = symbols.select(F.explode(pair).alias("p"), "freq").where("p.b is not null")
-        best = (
-            pairs.groupBy("p.a", "p.b").agg(F.sum("freq").alias("n")).orderBy(F.desc("n"), "a", "b").first()
-        )
+        best = pairs.orderBy(F.desc("n"), "a", "b").first()
         if best is None:
             break
         a, b, n = best
         merges.append((len(merges), a, b, n))
-        words = words.select(F.replace("w", F.lit(f" {a}{SYMBOL_GAP}{b} "), F.lit(f" {a}{b} ")).alias("w"), "freq")
+        apart, joined = F.lit(f" {a}{SYMBOL_GAP}{b} "), F.lit(f" {a}{b} ")
+        held = words.where(F.col("w").contains(apart))
+        after = held.withColumn("w", F.replace("w", apart, joined))
+        change = _pair_counts(held, -F.col("freq")).unionByName(_pair_counts(after, F.col("freq")))
+        pairs = pairs.unionByName(change).groupBy("a", "b").agg(F.sum("n").alias("n")).where("n > 0").checkpoint()
+        words = words.withColumn("w", F.replace("w", apart, joined))
         if len(merges) % checkpoint_every == 0:
             words = words.checkpoint()
     return spark.createDataFrame(merges, "round int, first string, second string, freq bigint")
