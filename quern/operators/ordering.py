@@ -46,18 +46,26 @@ def with_bucket(df: DataFrame, key: str, bounds: Sequence[float], name: str = "_
     return b.transform(df).withColumn(name, F.col(name).cast("int"))
 
 
-def _offsets(b: DataFrame, by: Sequence[str]) -> DataFrame:
-    counts = b.groupBy(*by, "_b").agg(F.count(F.lit(1)).alias("_n"))
-    part = list(by) if by else [F.lit(0)]
-    before = Window.partitionBy(*part).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
-    out = counts.select(*by, "_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
-    return out if by else F.broadcast(out)  # without groups: at most one row per bucket
+def _bucketed(df: DataFrame, key: str, by: Sequence[str], hashed: bool, bounds_from: DataFrame | None) -> DataFrame:
+    """Rows with bucket ``_b`` and group ``_g`` (a struct, so that a null group is a group like any other)."""
+    if hashed:
+        rows = df.withColumn("_b", hash_bucket(F.col(key)))
+    else:
+        rows = with_bucket(df, key, quantile_bounds(bounds_from if bounds_from is not None else df, key))
+    return rows.withColumn("_g", F.struct(*by)) if by else rows
 
 
-def _bucketed(df, key, by, hashed, bounds_from):
-    if hashed:
-        return df.withColumn("_b", hash_bucket(F.col(key)))
-    return with_bucket(df, key, quantile_bounds(bounds_from if bounds_from is not None else df, key))
+def _placed(b: DataFrame, by: Sequence[str], order: Sequence[str], limit: Column | None = None) -> DataFrame:
+    """Add ``_pos``; with ``limit``, buckets that start beyond it are left out before any sorting."""
+    on = ["_g", "_b"] if by else ["_b"]
+    counts = b.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy("_g" if by else F.lit(0)).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    offs = counts.select(*on, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    rows = b.join(offs if by else F.broadcast(offs), on)  # without groups: one row per bucket
+    if limit is not None:
+        rows = rows.where(F.col("_off") < limit)
+    inside = F.row_number().over(Window.partitionBy(*on).orderBy(*order))
+    return rows.withColumn("_pos", (inside - 1 + F.col("_off")).cast("bigint"))
 
 
 def dense_index(
@@ -74,11 +82,8 @@ def dense_index(
     ``key`` is numeric, or a hex hash with ``hashed=True``; ``(key, *ties)`` must be unique within ``by``.
     ``bounds_from`` may name a cheaper table holding the same key, used only to place the splitters.
     """
-    b = _bucketed(df, key, by, hashed, bounds_from)
-    on = [*by, "_b"]
-    w = Window.partitionBy(*on).orderBy(key, *ties)
-    pos = (F.row_number().over(w) - 1 + F.col("_off")).cast("bigint")
-    return b.join(_offsets(b, by), on).withColumn(name, pos).select(*df.columns, name)
+    rows = _placed(_bucketed(df, key, by, hashed, bounds_from), by, [key, *ties])
+    return rows.withColumnRenamed("_pos", name).select(*df.columns, name)
 
 
 def first_n(
@@ -91,14 +96,7 @@ def first_n(
     hashed: bool = False,
     bounds_from: DataFrame | None = None,
 ) -> DataFrame:
-    """The first ``n`` rows in ``key`` order (per group), with their position in ``name``.
-
-    Buckets that start at or after ``n`` are dropped before anything is sorted or shuffled by bucket.
-    """
+    """The first ``n`` rows in ``key`` order (per group), with their position in ``name``."""
     n = F.lit(n) if isinstance(n, int) else n
-    b = _bucketed(df, key, by, hashed, bounds_from)
-    on = [*by, "_b"]
-    w = Window.partitionBy(*on).orderBy(key, *ties)
-    pos = (F.row_number().over(w) - 1 + F.col("_off")).cast("bigint")
-    head = b.join(_offsets(b, by), on).where(F.col("_off") < n)
-    return head.withColumn(name, pos).where(F.col(name) < n).select(*df.columns, name)
+    rows = _placed(_bucketed(df, key, by, hashed, bounds_from), by, [key, *ties], n)
+    return rows.withColumnRenamed("_pos", name).where(F.col(name) < n).select(*df.columns, name)

@@ -40,6 +40,12 @@ def test_first_n_is_the_head_of_the_sort(skewed):
     assert got == sorted(r[0] for r in rows)[:137]
 
 
+def test_a_null_group_is_a_group(spark):
+    df = spark.createDataFrame([(1, None), (2, None), (3, "a")], "k bigint, g string")
+    got = sorted((r["k"], r["idx"]) for r in dense_index(df, "k", by=["g"]).collect())
+    assert got == [(1, 0), (2, 1), (3, 0)]
+
+
 def test_empty_table(spark):
     df = spark.createDataFrame([], "k bigint")
     assert dense_index(df, "k").count() == 0
