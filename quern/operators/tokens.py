@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quern.functions.text import all_cjk, tokens
 from quern.operators.filters import IGNORE
 from quern.operators.ordering import dense_index
-from quern.session import ensure_checkpoint_dir, shuffle_width
+from quern.session import scratch_dir, shuffle_width
 
 # Reserved ids and the default vocabulary size.
 UNK, BOS, EOS, PAD = 0, 1, 2, 3
@@ -66,28 +66,41 @@ def _spaced(symbols: Column) -> Column:
     return F.concat(F.lit(" "), F.array_join(symbols, SYMBOL_GAP), F.lit(" "))
 
 
-def _pair_counts(words: DataFrame, weight: Column) -> DataFrame:
-    """Neighbouring symbol pairs of the words with their summed weight."""
-    symbols = words.select(F.split(F.btrim("w"), SYMBOL_GAP).alias("s"), weight.alias("k")).where(F.size("s") > 1)
-    nexts = F.slice("s", F.lit(2), F.size("s") - 1)
-    pair = F.zip_with("s", nexts, lambda a, b: F.struct(a.alias("a"), b.alias("b")))
-    pairs = symbols.select(F.explode(pair).alias("p"), "k").where("p.b is not null")
-    return pairs.groupBy("p.a", "p.b").agg(F.sum("k").alias("n"))
+def _symbols(w: Column) -> Column:
+    return F.split(F.btrim(w), SYMBOL_GAP)
 
 
-def train_bpe_merges(
-    spark: SparkSession, counts: DataFrame, n_merges: int, checkpoint_every: int = 8
-) -> DataFrame:
+def _pairs(symbols: str, weight: Column) -> Column:
+    """Neighbouring symbols of a symbol column with the word's weight, as an array."""
+    return F.zip_with(
+        symbols,
+        F.slice(symbols, F.lit(2), F.greatest(F.size(symbols) - 1, F.lit(0))),
+        lambda a, b: F.struct(a.alias("a"), b.alias("b"), weight.alias("k")),
+    )
+
+
+def _pair_sums(found: DataFrame) -> DataFrame:
+    """Summed weights of the exploded pairs; a word's last symbol has no neighbour and is left out."""
+    return found.where("p.b is not null").groupBy("p.a", "p.b").agg(F.sum("p.k").alias("n"))
+
+
+def train_bpe_merges(spark: SparkSession, counts: DataFrame, n_merges: int, rewrite_every: int = 8) -> DataFrame:
     """``round, first, second, freq``: the most frequent neighbouring pair of each round, joined before the next.
 
     Works on the word-frequency table. Pair counts are taken once; a round then only recounts the words that hold the
-    winning pair and adds the difference. Word and pair tables are cut from their lineage through the checkpoint
-    folder, and the single winning row of a round is all that reaches the driver. Ties go to the smaller pair.
+    winning pair and adds the difference. Word and pair tables are written to the shared folder, which cuts their
+    lineage, and the single winning row of a round is all that reaches the driver. Ties go to the smaller pair.
     """
-    ensure_checkpoint_dir(spark)
+    base = scratch_dir(spark, "merges")
+
+    def settled(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{base}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{base}/{name}")
+
     spread = counts.repartition(shuffle_width(spark), "piece")
-    words = spread.select(_spaced(F.split("piece", "")).alias("w"), "freq").checkpoint()
-    pairs = _pair_counts(words, F.col("freq")).checkpoint()
+    words = settled(spread.select(_spaced(F.split("piece", "")).alias("w"), "freq"), "words-0")
+    every = words.select(_symbols(F.col("w")).alias("s"), "freq")
+    pairs = settled(_pair_sums(every.select(F.explode(_pairs("s", F.col("freq"))).alias("p"))), "pairs-0")
     merges: list[tuple[int, str, str, int]] = []
     while len(merges) < n_merges:
         best = pairs.orderBy(F.desc("n"), "a", "b").first()
@@ -96,13 +109,16 @@ def train_bpe_merges(
         a, b, n = best
         merges.append((len(merges), a, b, n))
         apart, joined = F.lit(f" {a}{SYMBOL_GAP}{b} "), F.lit(f" {a}{b} ")
-        held = words.where(F.col("w").contains(apart))
-        after = held.withColumn("w", F.replace("w", apart, joined))
-        change = _pair_counts(held, -F.col("freq")).unionByName(_pair_counts(after, F.col("freq")))
-        pairs = pairs.unionByName(change).groupBy("a", "b").agg(F.sum("n").alias("n")).where("n > 0").checkpoint()
+        held = words.where(F.col("w").contains(apart)).select(
+            "freq", _symbols(F.col("w")).alias("s"), _symbols(F.replace("w", apart, joined)).alias("t")
+        )
+        change = F.concat(_pairs("s", -F.col("freq")), _pairs("t", F.col("freq")))
+        delta = _pair_sums(held.select(F.explode(change).alias("p")))
+        summed = pairs.unionByName(delta).groupBy("a", "b").agg(F.sum("n").alias("n")).where("n > 0")
+        pairs = settled(summed, f"pairs-{len(merges)}")
         words = words.withColumn("w", F.replace("w", apart, joined))
-        if len(merges) % checkpoint_every == 0:
-            words = words.checkpoint()
+        if len(merges) % rewrite_every == 0:
+            words = settled(words, f"words-{len(merges)}")
     return spark.createDataFrame(merges, "round int, first string, second string, freq bigint")
 
 

@@ -41,7 +41,7 @@ def test_bpe_merges(spark):
     rng = random.Random(3)
     freqs = {"".join(rng.choices("aab", k=rng.randrange(1, 9))): rng.randrange(1, 30) for _ in range(60)}
     counts = spark.createDataFrame(list(freqs.items()), "piece string, freq bigint")
-    got = [tuple(r) for r in tok.train_bpe_merges(spark, counts, 9, checkpoint_every=3).collect()]
+    got = [tuple(r) for r in tok.train_bpe_merges(spark, counts, 9, rewrite_every=3).collect()]
     assert sorted(got) == brute_merges(freqs, 9)
 
 
