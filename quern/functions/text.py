@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import unicodedata
 from collections.abc import Callable
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -71,6 +73,16 @@ def strip_lines(c: Column) -> Column:
     return F.filter(F.transform(F.split(c, "\n"), strip), lambda x: F.length(x) > 0)
 
 
+def nfkc(c: Column) -> Column:
+    """Unicode compatibility form. Plain ASCII is its own form and never leaves the JVM."""
+
+    @F.pandas_udf("string")
+    def compose(texts: pd.Series) -> pd.Series:
+        return texts.map(lambda t: None if t is None else unicodedata.normalize("NFKC", t))
+
+    return F.coalesce(compose(F.when(c.rlike(r"[^\x00-\x7f]"), c)), c)
+
+
 def tokens(c: Column) -> Column:
     """Lower-cased token array; digits stand alone."""
     return F.regexp_extract_all(F.lower(c), F.lit(TOKEN_PATTERN), 0)

@@ -5,14 +5,14 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quern.functions.text import all_cjk, tokens
+from quern.functions.text import all_cjk, nfkc, tokens
 from quern.operators.filters import IGNORE
 from quern.operators.ordering import dense_index
 from quern.session import scratch_dir, shuffle_width
 
 # Reserved ids and the default vocabulary size.
 UNK, BOS, EOS, PAD = 0, 1, 2, 3
-RESERVED = 4
+RESERVED, BYTES = 4, 256
 VOCAB_SIZE = 2236
 
 MAX_LOOKUP = 200_000  # largest vocabulary that is shipped to every task
@@ -21,18 +21,23 @@ MAX_LOOKUP = 200_000  # largest vocabulary that is shipped to every task
 # ---------------------------------------------------------------- vocabularies
 
 
-def piece_counts(df: DataFrame, text: str = "text") -> DataFrame:
-    """Frequency of every token of a corpus; counts are combined before the exchange."""
-    return df.select(F.explode(tokens(F.col(text))).alias("piece")).groupBy("piece").agg(F.count(F.lit(1)).alias("freq"))
+def piece_counts(df: DataFrame, text: str = "text", normalize: bool = False) -> DataFrame:
+    """Frequency of every token of a corpus, in compatibility form if asked; counts are combined before the exchange."""
+    c = nfkc(F.col(text)) if normalize else F.col(text)
+    return df.select(F.explode(tokens(c)).alias("piece")).groupBy("piece").agg(F.count(F.lit(1)).alias("freq"))
 
 
-def build_vocab(counts: DataFrame, size: int = VOCAB_SIZE) -> DataFrame:
-    """The ``size`` most frequent pieces with ids after the reserved ones; ties in piece order."""
+def build_vocab(counts: DataFrame, size: int = VOCAB_SIZE, byte_fallback: bool = False) -> DataFrame:
+    """The ``size`` most frequent pieces with ids after the reserved ones; ties in piece order.
+
+    With ``byte_fallback`` the 256 ids after the reserved ones stand for single bytes, see :func:`encode_or_bytes`.
+    """
     if size > MAX_LOOKUP:
         raise ValueError(f"a vocabulary holds at most {MAX_LOOKUP} pieces")
+    first = RESERVED + (BYTES if byte_fallback else 0)
     top = counts.orderBy(F.desc("freq"), "piece").limit(size)
     rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc("freq"), "piece"))
-    return top.select((rank + RESERVED - 1).alias("id"), "piece", "freq")
+    return top.select((rank + first - 1).alias("id"), "piece", "freq")
 
 
 def merge_vocab(
@@ -151,6 +156,21 @@ def encode(token_array: Column, table: Column, buckets: int = 1024, unknown: int
     )
 
 
+def byte_ids(token: Column) -> Column:
+    """Ids of a token's UTF-8 bytes."""
+    digits = F.hex(F.encode(token, "UTF-8"))
+    starts = F.sequence(F.lit(1), F.greatest(F.length(digits) - 1, F.lit(1)), F.lit(2))
+    return F.transform(starts, lambda i: F.conv(F.substr(digits, i, F.lit(2)), 16, 10).cast("int") + RESERVED)
+
+
+def encode_or_bytes(token_array: Column, table: Column, buckets: int = 1024) -> Column:
+    """Ids of a token array where an unknown token becomes the ids of its bytes."""
+    found = F.transform(
+        token_array, lambda t: F.struct(t.alias("t"), encode(F.array(t), table, buckets, -1)[0].alias("id"))
+    )
+    return F.flatten(F.transform(found, lambda x: F.when(x["id"] >= 0, F.array(x["id"])).otherwise(byte_ids(x["t"]))))
+
+
 def encode_columns(df: DataFrame, texts: dict[str, str], vocab: DataFrame) -> DataFrame:
     """Add the id arrays ``{name: text column}``."""
     with_table = df.withColumn("_table", lookup_table(vocab))

@@ -131,6 +131,21 @@ def test_encode_and_pad(spark):
     assert tuple(padded.first()) == ([7, 8, 3, 3], [3, 3, 7, 8], [7])
 
 
+def test_unknown_tokens_fall_back_to_bytes(spark):
+    df = spark.createDataFrame([("ab é",)], "text string")
+    vocab = tok.build_vocab(spark.createDataFrame([("ab", 5)], "piece string, freq bigint"), 9, byte_fallback=True)
+    rows = df.withColumn("_t", tok.lookup_table(vocab)).select(
+        tok.encode_or_bytes(F.split("text", " "), F.col("_t")).alias("ids")
+    )
+    assert rows.first()["ids"] == [4 + 256, *[4 + b for b in "é".encode()]]
+
+
+def test_compatibility_forms_are_counted_together(spark):
+    df = spark.createDataFrame([("ﬁn Ａ",), ("fin a",), (None,)], "text string")
+    got = {r["piece"]: r["freq"] for r in tok.piece_counts(df, normalize=True).collect()}
+    assert got == {"fin": 2, "a": 2}
+
+
 def test_vocabulary_size_is_checked(spark):
     with pytest.raises(ValueError):
         tok.build_vocab(spark.createDataFrame([("a", 1)], "piece string, freq bigint"), tok.MAX_LOOKUP + 1)
