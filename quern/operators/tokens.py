@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from quern.functions.text import all_cjk, nfkc, tokens
 from quern.operators.filters import IGNORE
 from quern.operators.ordering import dense_index
-from quern.session import scratch_dir, shuffle_width
+from quern.session import ensure_checkpoint_dir, shuffle_width
 
 # Reserved ids and the default vocabulary size.
 UNK, BOS, EOS, PAD = 0, 1, 2, 3
@@ -93,19 +93,14 @@ def train_bpe_merges(spark: SparkSession, counts: DataFrame, n_merges: int, rewr
     """``round, first, second, freq``: the most frequent neighbouring pair of each round, joined before the next.
 
     Works on the word-frequency table. Pair counts are taken once; a round then only recounts the words that hold the
-    winning pair and adds the difference. Word and pair tables are written to the shared folder, which cuts their
-    lineage, and the single winning row of a round is all that reaches the driver. Ties go to the smaller pair.
+    winning pair and adds the difference. Word and pair tables are cut from their lineage through the checkpoint
+    folder, and the single winning row of a round is all that reaches the driver. Ties go to the smaller pair.
     """
-    base = scratch_dir(spark, "merges")
-
-    def settled(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{base}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{base}/{name}")
-
+    ensure_checkpoint_dir(spark)
     spread = counts.repartition(shuffle_width(spark), "piece")
-    words = settled(spread.select(_spaced(F.split("piece", "")).alias("w"), "freq"), "words-0")
+    words = spread.select(_spaced(F.split("piece", "")).alias("w"), "freq").checkpoint()
     every = words.select(_symbols(F.col("w")).alias("s"), "freq")
-    pairs = settled(_pair_sums(every.select(F.explode(_pairs("s", F.col("freq"))).alias("p"))), "pairs-0")
+    pairs = _pair_sums(every.select(F.explode(_pairs("s", F.col("freq"))).alias("p"))).checkpoint()
     merges: list[tuple[int, str, str, int]] = []
     while len(merges) < n_merges:
         best = pairs.orderBy(F.desc("n"), "a", "b").first()
@@ -120,10 +115,10 @@ def train_bpe_merges(spark: SparkSession, counts: DataFrame, n_merges: int, rewr
         change = F.concat(_pairs("s", -F.col("freq")), _pairs("t", F.col("freq")))
         delta = _pair_sums(held.select(F.explode(change).alias("p")))
         summed = pairs.unionByName(delta).groupBy("a", "b").agg(F.sum("n").alias("n")).where("n > 0")
-        pairs = settled(summed, f"pairs-{len(merges)}")
+        pairs = summed.checkpoint()
         words = words.withColumn("w", F.replace("w", apart, joined))
         if len(merges) % rewrite_every == 0:
-            words = settled(words, f"words-{len(merges)}")
+            words = words.checkpoint()
     return spark.createDataFrame(merges, "round int, first string, second string, freq bigint")
 
 

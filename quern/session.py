@@ -45,5 +45,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{scratch_root(spark)}/{name}-{uuid.uuid4().hex}"
 
 
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Point ``checkpoint()`` at the shared folder where the session has not done so."""
+    if spark.sparkContext.getCheckpointDir() is None:
+        root = scratch_root(spark)
+        if spark.sparkContext.getCheckpointDir() is None:
+            spark.sparkContext.setCheckpointDir(root)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
