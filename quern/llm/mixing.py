@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.llm.common import key_of, lookup_join, replaced, running_totals, written
+from quern.llm.common import key_of, lookup_join, replaced, running_totals, size_level, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Weights of the sources in the order of their names, repeating.
@@ -22,12 +22,6 @@ def word_count(text: str = "text") -> Column:
     return F.coalesce(F.regexp_count(F.col(text), F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def size_level(size: Column) -> Column:
-    """Bit length and the four leading bits: sizes of one level differ by an eighth at most."""
-    bits = F.length(F.bin(size)).cast("int")
-    return bits * 16 + F.call_function("shiftright", size, F.greatest(bits - 4, F.lit(0))).cast("int")
-
-
 def offset_of(seed: int) -> float:
     """The one random offset, from the seed."""
     return int(hashlib.md5(f"offset {seed}".encode()).hexdigest()[:12], 16) / 16**12

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import mixing, pieces, pii, quality_rules, simhash
+from quern.llm import language, mixing, pieces, pii, quality_model, quality_rules, resharding, simhash, topk, warc
 from quern.llm.common import map_rows
 from quern.llm.registry import ORACLES, QUERIES, query, table
 
@@ -66,3 +66,38 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept",
         F.array_join("failed_rules", ",").alias("failed_rules"),
     )
+
+
+@query("op2_warc", warc.ORACLE)
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    read = warc.read_pages(*warc.archive_pages(pages))
+    return read.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@query("op3_reshard")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = resharding.reshard_files(spark, f"{sf_dir}/documents.parquet", 40)
+    crc = F.crc32(F.coalesce(F.encode("text", "UTF-8"), F.lit(b"")))
+    return moved.select(
+        "doc_id", "size", crc.alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"), "old_shard",
+    )
+
+
+@query("op9_topk", topk.ORACLE)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.exact_topk(table(spark, sf_dir, "embeddings"), F.col("vec_id") % topk.EVERY == 0)
+
+
+@query("op6_quality_model")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = quality_model.score_quality(docs, table(spark, sf_dir, "labels"))
+    return out.select("doc_id", "held_out", "score", "predicted")
+
+
+@query("op7_language")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return language.identify_languages(docs).select("doc_id", "held_out", "lang_pred", "score")
