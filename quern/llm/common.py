@@ -18,7 +18,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 from quern.session import scratch_dir
 
 #: Rows of an incoming Arrow batch worked on at a time.
-SLICE_ROWS = 512
+SLICE_ROWS = 256
 #: A lookup of at most this many narrow rows may be broadcast; the number is counted before.
 MAX_BROADCAST_ROWS = 50_000
 #: A key is hot above this share of the rows, so there are at most this many hot keys.
@@ -35,8 +35,8 @@ def map_rows(
 ) -> DataFrame:
     """Add the columns ``outputs`` (DDL), computed in Python from the columns ``inputs`` of the same row.
 
-    ``make`` runs once per task and returns the function of one row, or with ``batch`` that of a slice of rows. All
-    other columns pass through as Arrow data.
+    ``make`` runs once per task and returns the function of one row, or with ``batch`` that of a slice of rows, which
+    returns a list or Arrow array per output. All other columns pass through as Arrow data.
     """
     added = T.StructType.fromDDL(outputs)
     base = replaced(df, added.names)
@@ -51,8 +51,9 @@ def map_rows(
             for start in range(0, whole.num_rows, SLICE_ROWS):
                 b = whole.slice(start, SLICE_ROWS)
                 cols = [b.column(i).to_pylist() for i in at]
-                rows = list(fn(*cols)) if batch else [fn(*r) for r in zip(*cols, strict=True)]
-                made = [pa.array([r[k] for r in rows], kind) for k, kind in enumerate(kinds)]
+                rows = None if batch else [fn(*r) for r in zip(*cols, strict=True)]
+                outs = fn(*cols) if batch else [[r[k] for r in rows] for k in range(len(kinds))]
+                made = [x if isinstance(x, pa.Array) else pa.array(x, k) for x, k in zip(outs, kinds, strict=True)]
                 yield pa.RecordBatch.from_arrays([*b.columns, *made], names=names)
 
     return base.mapInArrow(run, schema)

@@ -185,7 +185,7 @@ def identify_languages(docs: DataFrame, folds: int = 4, fold: int = 2) -> DataFr
 
     def make():
         langs, network = shared.value
-        return lambda texts: pooled_languages(texts, langs, network)
+        return lambda texts: zip(*pooled_languages(texts, langs, network), strict=True)
 
     out = map_rows(replaced(docs, ["held_out"]), ["text"], "lang_pred string, score double", make, batch=True)
     return out.withColumn("held_out", out_fold)

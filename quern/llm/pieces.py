@@ -8,14 +8,15 @@ import re
 from array import array
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame
 
 from quern.llm.common import map_rows
 
 SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 #: Stretches between spaces whose ids each task remembers before it starts anew.
-REMEMBERED = 400_000
+REMEMBERED = 200_000
 LONGEST = 40
 NONE = 1 << 60
 
@@ -342,9 +343,14 @@ def encode_documents(docs: DataFrame, model_path: str) -> DataFrame:
         model = PieceModel(blob)
 
         def rows(texts):
-            for text, (ids, source) in zip(texts, model.encode_many(texts), strict=True):
-                spans = [{"begin": a, "end": b} for a, b in model.spans(text, ids, source).tolist()]
-                yield ids.astype(np.int64), spans, model.decode(ids)
+            coded = model.encode_many(texts)
+            spans = [model.spans(t, ids, source) for t, (ids, source) in zip(texts, coded, strict=True)]
+            begins = pa.array(np.cumsum([0, *(len(ids) for ids, _ in coded)]), pa.int32())
+            flat = np.concatenate([ids for ids, _ in coded]).astype(np.int32)
+            begin, end = np.concatenate(spans).astype(np.int32).T
+            both = pa.StructArray.from_arrays([pa.array(begin), pa.array(end)], names=["begin", "end"])
+            decoded = [model.decode(ids) for ids, _ in coded]
+            return pa.ListArray.from_arrays(begins, pa.array(flat)), pa.ListArray.from_arrays(begins, both), decoded
 
         return rows
 
@@ -367,11 +373,13 @@ def digest_documents(docs: DataFrame, model_path: str) -> DataFrame:
 
         sha = lambda b: hashlib.sha256(b).hexdigest()
 
+        def row(text, ids, source):
+            spans = model.spans(text, ids, source)
+            decoded = sha(model.decode(ids).encode())
+            return len(ids), sha(ids.tobytes()), decoded, sha(spans.astype("<u4").tobytes()), int(spans[-1, 1])
+
         def rows(texts):
-            for text, (ids, source) in zip(texts, model.encode_many(texts), strict=True):
-                spans = model.spans(text, ids, source)
-                decoded = sha(model.decode(ids).encode())
-                yield len(ids), sha(ids.tobytes()), decoded, sha(spans.astype("<u4").tobytes()), int(spans[-1, 1])
+            return zip(*(row(t, *c) for t, c in zip(texts, model.encode_many(texts), strict=True)), strict=True)
 
         return rows
 

@@ -221,7 +221,7 @@ def score_quality(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
         def rows(texts):
             scores = network.score(np.stack([pooled(t, vectors, units) for t in texts]))
-            return [(s, int(s >= LEAST_SCORE)) for s in scores.tolist()]
+            return scores.tolist(), [int(s >= LEAST_SCORE) for s in scores.tolist()]
 
         return rows
 

@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import MAX_BROADCAST_ROWS, components, lookup_join, map_rows, written
+from quern.llm.common import MAX_BROADCAST_ROWS, components, key_of, lookup_join, map_rows, written
 
 SHINGLE = 4
 RADIUS = 4
@@ -172,10 +172,10 @@ def first_of_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIU
     """
     printed = written(with_fingerprint(docs, shingle), "fingerprints")
     roots = written(fingerprint_roots(printed, radius), "roots")
-    least = printed.groupBy("_q_fp").agg(F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id")).alias("_q_least"))
+    printed = printed.withColumn("_q_id", key_of("doc_id"))
+    first_id = F.min(F.struct(F.col("doc_id").isNull().alias("n"), "doc_id", "_q_id"))
+    least = printed.groupBy("_q_fp").agg(first_id.alias("_q_least"))
     named = least.join(roots, "_q_fp", "left").withColumn("root", F.coalesce("root", "_q_fp"))
     first = named.groupBy("root").agg(F.min(F.struct("_q_least", "_q_fp")).alias("k"))
-    keep = first.select(F.col("k._q_fp").alias("_k_fp"), F.col("k._q_least.doc_id").alias("_k_id"))
-    one = printed.dropDuplicates(["doc_id", "_q_fp"])
-    kept = one.join(keep, F.col("doc_id").eqNullSafe(F.col("_k_id")) & (F.col("_q_fp") == F.col("_k_fp")), "left_semi")
-    return kept.select(*docs.columns)
+    keep = first.select(F.col("k._q_least._q_id").alias("_q_id"), F.col("k._q_fp").alias("_q_fp"))
+    return printed.dropDuplicates(["_q_id", "_q_fp"]).join(keep, ["_q_id", "_q_fp"], "left_semi").select(*docs.columns)
