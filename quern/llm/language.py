@@ -13,7 +13,7 @@ STRETCH = 64
 HIDDEN = 8
 #: The network is fitted on at most this many documents of each of at most this many languages, the most frequent ones.
 MAX_PER_LANG, MAX_LANGS = 400, 32
-STEPS, BATCH, RATE = 320, 256, 0.02
+STEPS, BATCH, RATE = 150, 128, 0.02
 SEED = 42
 #: Stretches worked on at a time.
 WIDE = 4096

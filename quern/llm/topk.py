@@ -125,10 +125,10 @@ def exact_topk(vectors: DataFrame, is_query: Column, k: int = K, scale: int = SC
 
 ORACLE = f"""
 WITH v AS (
-  SELECT vec_id, list_transform(embedding, x -> floor({SCALE} * CAST(x AS DOUBLE))) AS v
+  SELECT vec_id, list_transform(embedding, lambda x: floor({SCALE} * CAST(x AS DOUBLE))) AS v
   FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
-    AND len(list_filter(embedding, x -> x IS NULL OR isnan(x) OR isinf(x))) = 0),
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0),
 scored AS (
   SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.v, c.v) AS BIGINT) AS score
   FROM v q, v c WHERE q.vec_id % {EVERY} = 0 AND c.vec_id <> q.vec_id),

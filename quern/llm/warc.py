@@ -279,7 +279,7 @@ ORACLE = """
 WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS h FROM pages),
 d AS (
   SELECT page_id, html, CAST(strlen(html) AS BIGINT) AS payload_bytes, max(page_id) OVER (PARTITION BY html) AS top,
-         array_to_string(list_transform(range(32), i -> substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+         array_to_string(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
            1 + CAST((CAST('0x' || substr(h, CAST(1 + 5 * (i // 4) AS INT), 5) AS BIGINT) >> (5 * (3 - i % 4))) & 31 AS INT), 1)), '') AS payload_digest
   FROM p)
 SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = top THEN 'response' ELSE 'revisit' END AS record_type,
