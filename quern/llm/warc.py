@@ -170,10 +170,10 @@ CHUNKS = (
 )
 
 
-def read_chunks(archives: DataFrame, root: str, data: bool = False) -> DataFrame:
+def read_chunks(archives: DataFrame, root: str, data: bool = False, chunk: int = CHUNK) -> DataFrame:
     """The records of archives as rows of record and chunk number, each with the digest of the payload up to its end.
 
-    A payload comes in chunks of at most ``CHUNK`` bytes (``data`` adds them as ``chunk``); a record without payload has
+    A payload comes in chunks of at most ``chunk`` bytes (``data`` adds them in a column of that name); a record without payload has
     one chunk of none. The last chunk's running digest is checked against the record's; ``payload_bytes`` and
     ``payload_digest`` of a revisit are those of the payload it stands for. Archives are dealt out over the tasks.
     """
@@ -185,10 +185,10 @@ def read_chunks(archives: DataFrame, root: str, data: bool = False) -> DataFrame
             for name in b.column(0).to_pylist():
                 rows, size = [], 0
                 with fs.open_input_stream(f"{base}/{name}", compression=None) as stream:
-                    for row in records(Unzipped(stream), name, data):
+                    for row in records(Unzipped(stream), name, data, chunk):
                         rows.append(row)
                         size += row[9]
-                        if len(rows) >= 2048 or data and size >= 16 * CHUNK:
+                        if len(rows) >= 2048 or data and size >= 16 * chunk:
                             yield batch(rows)
                             rows, size = [], 0
                 yield batch(rows)
@@ -202,7 +202,7 @@ def read_chunks(archives: DataFrame, root: str, data: bool = False) -> DataFrame
     return archives.select("archive").repartition("archive").mapInArrow(run, schema)
 
 
-def records(source: Unzipped, archive: str, data: bool) -> Iterator[tuple]:
+def records(source: Unzipped, archive: str, data: bool, chunk: int = CHUNK) -> Iterator[tuple]:
     no = 0
     while head := source.until(END):
         lines = head.decode().split("\r\n")
@@ -216,7 +216,7 @@ def records(source: Unzipped, archive: str, data: bool) -> Iterator[tuple]:
         fixed = (archive, no, fields["WARC-Record-ID"], page, kind, refers, int(fields["X-Payload-Length"]), digest)
         left, k, sha = int(fields["Content-Length"]), 0, hashlib.sha1()
         while True:
-            piece = source.some(min(left, CHUNK)) if left else b""
+            piece = source.some(min(left, chunk)) if left else b""
             sha.update(piece)
             left -= len(piece)
             if not left and kind == "response" and base32(sha) != digest:

@@ -27,8 +27,7 @@ def test_query_equals_its_sql(spark, name):
 # WARC
 
 
-def test_archives_are_standard_and_chunked(spark, monkeypatch):
-    monkeypatch.setattr(warc, "CHUNK", 1000)
+def test_archives_are_standard_and_chunked(spark):
     big = "é" * 3333
     rows = [(1, "http://a/\n", big), (2, None, ""), (3, "u", None), (7, "u", big), (7, "u", big), (None, "u", big), (None, "u", "own"), (-5, "u", "neg")]
     pages = spark.createDataFrame(rows, "page_id long, url string, html string").withColumn("is_response", F.lit(1)).coalesce(1)
@@ -41,7 +40,7 @@ def test_archives_are_standard_and_chunked(spark, monkeypatch):
         (1, "revisit", 7, n, d): 1, (7, "response", None, n, d): 2, (None, "revisit", 7, n, d): 1, (None, "response", None, 3, sha("own")): 1,
         (2, "revisit", 3, 0, sha("")): 1, (3, "response", None, 0, sha("")): 1, (-5, "response", None, 3, sha("neg")): 1,
     })
-    chunks = warc.read_chunks(archives, root, data=True).filter("page_id = 7").collect()
+    chunks = warc.read_chunks(archives, root, data=True, chunk=1000).filter("page_id = 7").collect()
     by = defaultdict(list)
     for c in chunks:
         by[c["archive"], c["record_no"]].append(c)
