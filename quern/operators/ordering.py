@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 
 from quern.session import shuffle_width
 
-MAX_BUCKETS = 1024
-HASH_DIGITS = 3  # 16**3 ordered hash buckets
+BUCKET_ROWS = 100_000  # rows a bucket holds about, once a table has more than MIN_BUCKETS of them
+MIN_BUCKETS, MAX_BUCKETS = 64, 16_384  # the latter bounds the splitters of a numeric key, not the hash buckets
 
 
 def hash_key(seed: int | str, *cols: Column) -> Column:
@@ -24,14 +24,15 @@ def hash_key(seed: int | str, *cols: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[c.cast("string") for c in cols]))
 
 
-def hash_bucket(h: Column) -> Column:
-    """Bucket of a hex hash that keeps the order of the hashes."""
-    return F.conv(F.substring(h, 1, HASH_DIGITS), 16, 10).cast("int")
+def hash_bucket(h: Column, rows: Column) -> Column:
+    """Bucket of a hex hash that keeps the order of the hashes; their number follows the number of rows."""
+    n = F.greatest(F.lit(MIN_BUCKETS), F.ceil(rows / F.lit(float(BUCKET_ROWS)))).cast("bigint")
+    return F.shiftright(F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") * n, 32)
 
 
 def quantile_bounds(df: DataFrame, key: str, buckets: int | None = None) -> list[float]:
-    """At most ``MAX_BUCKETS`` splitters of a numeric key, from one approximate-percentile aggregate."""
-    n = buckets or min(MAX_BUCKETS, max(4, 2 * shuffle_width(df.sparkSession)))
+    """Splitters of a numeric key, in number after the rows, from one approximate-percentile aggregate."""
+    n = buckets or min(MAX_BUCKETS, max(4, 2 * shuffle_width(df.sparkSession), df.count() // BUCKET_ROWS))
     probs = [i / n for i in range(1, n)]
     row = df.agg(F.percentile_approx(F.col(key).cast("double"), probs, 20 * n).alias("b")).first()
     return sorted(set(row["b"] or []))
@@ -43,13 +44,13 @@ def with_bucket(df: DataFrame, key: str, bounds: Sequence[float], name: str = "_
         return df.withColumn(name, F.lit(0))
     splits = [float("-inf"), *[float(b) for b in bounds], float("inf")]
     b = Bucketizer(splits=splits, inputCol=key, outputCol=name, handleInvalid="keep")
-    return b.transform(df).withColumn(name, F.col(name).cast("int"))
+    return b.transform(df).withColumn(name, F.coalesce(F.col(name).cast("int"), F.lit(-1)))  # nulls come first
 
 
 def _bucketed(df: DataFrame, key: str, by: Sequence[str], hashed: bool, bounds_from: DataFrame | None) -> DataFrame:
     """Rows with bucket ``_b`` and group ``_g`` (a struct, so that a null group is a group like any other)."""
     if hashed:
-        rows = df.withColumn("_b", hash_bucket(F.col(key)))
+        rows = df.withColumn("_b", F.coalesce(hash_bucket(F.col(key), df.select(F.count(F.lit(1))).scalar()), F.lit(-1)))
     else:
         rows = with_bucket(df, key, quantile_bounds(bounds_from if bounds_from is not None else df, key))
     return rows.withColumn("_g", F.struct(*by)) if by else rows
@@ -79,7 +80,8 @@ def dense_index(
 ) -> DataFrame:
     """Append the gap-free 0-based position of each row in ``key`` order (within ``by``, if given).
 
-    ``key`` is numeric, or a hex hash with ``hashed=True``; ``(key, *ties)`` must be unique within ``by``.
+    ``key`` is numeric, or a hex hash with ``hashed=True``; ``(key, *ties)`` must be unique within ``by``. Null keys
+    come first.
     ``bounds_from`` may name a cheaper table holding the same key, used only to place the splitters.
     """
     rows = _placed(_bucketed(df, key, by, hashed, bounds_from), by, [key, *ties])

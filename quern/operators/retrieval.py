@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -17,7 +16,6 @@ from quern.operators.tokens import encode, lookup_table
 # Sentence ends, the characters that close a line, prompt wording and ranking constants.
 SENTENCE_BREAK = r"(?<=[.!?])\s+"
 CJK_ENDINGS = ["\n", "。", "！", "？", "；", "…"]
-CJK_UNIT = re.compile(r"[A-Za-z0-9]+|.", re.DOTALL)
 LINE_ENDINGS = [
     ".", "!", "?", "。", "！", "？", "…", ";", "；", ":", "：", "”", "’", "）", "】", "》", "」",
     "』", "〕", "〉", "》", "〗", "〞", "〟", "»", '"', "'", ")", "]", "}",
@@ -34,6 +32,7 @@ RAG_PROMPT = """基于以下已知信息，简洁和专业的来回答用户的
 NO_HITS = "没有提供足够的相关信息"
 K1, B = 1.5, 0.75
 FUSION_WEIGHTS, FUSION_C = (0.5, 0.5), 2
+FUSION_DEPTH = 50
 
 
 # ---------------------------------------------------------------- chunks
@@ -64,29 +63,26 @@ def chunk_sentences(text: Column, size: int = 250) -> Column:
 
 
 def chunk_cjk(text: Column, size: int = 250, overlap: int = 50) -> Column:
-    """Characters (words, for Latin runs) packed into chunks, closed early at a sentence end near the limit."""
+    """Characters (words, for Latin runs) packed into chunks, closed early at a sentence end near the limit.
 
-    @F.pandas_udf("array<string>")
-    def cut(texts: pd.Series) -> pd.Series:
-        return texts.map(lambda t: None if t is None else _cut_cjk(t, size, overlap))
-
-    return cut(text)
+    One pattern describes a chunk: up to the first sentence end beyond ``size - overlap``, else as much as fits without
+    cutting a Latin run, else a Latin run that is longer than a chunk. Where such a run follows a closed chunk, the
+    chunk that was open by then is empty.
+    """
+    ends = "[" + "".join(CJK_ENDINGS) + "]"
+    near = max(size - overlap, 0)
+    closed = rf".{{{near},{size - 1}}}?{ends}" if near < size else rf"(?!){ends}"
+    whole = rf".{{1,{size}}}(?:(?<![A-Za-z0-9])|(?![A-Za-z0-9]))"
+    pattern = rf"(?s){closed}|{whole}|[A-Za-z0-9]+"
+    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
 
+    def chunk(c: Column, i: Column) -> Column:
+        before = F.get(found, i - 1)
+        shut = (F.length(before) > near) & F.right(before, F.lit(1)).isin(CJK_ENDINGS)
+        lone = (F.length(c) > size) & ((i == 0) | F.coalesce(shut, F.lit(False)))
+        return F.when(lone, F.array(F.lit(""), strip(c))).otherwise(F.array(strip(c)))
 
-def _cut_cjk(text: str, size: int, overlap: int) -> list[str]:
-    """Chunks of one text. A fold per character in the plan copies its state at every step, hence this helper."""
-    chunks, start = [], 0
-    for unit in CJK_UNIT.finditer(text):
-        begin, end = unit.span()
-        if end - start > size:
-            chunks.append(text[start:begin].strip())
-            start = begin
-        if text[end - 1] in CJK_ENDINGS and end - start > size - overlap:
-            chunks.append(text[start:end].strip())
-            start = end
-    if start < len(text):
-        chunks.append(text[start:].strip())
-    return chunks
+    return F.flatten(F.transform(found, chunk))
 
 
 def overlap_chunks(chunks: Column, overlap: int) -> Column:
@@ -276,12 +272,12 @@ def dense_topk(
     """``query_id, doc_id, score, rank``: the ``k`` nearest vectors per query by cosine.
 
     The query block is sent to the tasks after a check of its size; a larger query set is scored block by block. Each
-    task returns ``k`` rows per query.
+    task returns ``k`` rows per query. Null vectors take no part.
     """
     spark = vectors.sparkSession
     asked = queries.select(F.col(query_key).cast("bigint").alias("query_id"), F.col(query_vector).alias("q"))
     width = asked.select(F.max(F.size("q"))).first()[0] or 1
-    rows = vectors.select(F.col(key).cast("bigint").alias("doc_id"), F.col(vector).alias("v"))
+    rows = vectors.select(F.col(key).cast("bigint").alias("doc_id"), F.col(vector).alias("v")).where("v is not null")
     parts = []
     for block in _query_blocks(asked, "query_id", max(1, BLOCK_BYTES // (8 * width))):
         q = np.stack(block["q"].to_numpy()).astype(float)
@@ -309,7 +305,10 @@ def group_centroids(df: DataFrame, group: str, vector: str) -> DataFrame:
 
 
 def fuse_ranks(lists: list[DataFrame], weights: tuple[float, ...] = FUSION_WEIGHTS, c: float = FUSION_C, k: int = 5) -> DataFrame:
-    """Weighted reciprocal-rank fusion of ranked lists: sum of ``w / (c + rank)``, re-ranked."""
+    """Weighted reciprocal-rank fusion of ranked lists: sum of ``w / (c + rank)``, re-ranked.
+
+    The lists should be much deeper than ``k`` (see ``FUSION_DEPTH``): a document in the middle of both can win.
+    """
     parts = [
         hits.select("query_id", "doc_id", (F.lit(float(w)) / (F.lit(float(c)) + F.col("rank"))).alias("s"))
         for hits, w in zip(lists, weights, strict=True)
@@ -324,7 +323,7 @@ def context_prompts(
 ) -> DataFrame:
     """``query_id, prompt``: the numbered hits in the prompt template, cut to the context length.
 
-    Without a corpus the prompt is the bare query; a query without hits gets the fixed reply.
+    Without a corpus, or with an empty one, the prompt is the bare query; a query without hits gets the fixed reply.
     """
     asked = queries.select(F.col(query_key).alias("query_id"), F.col(query_text).alias("_q"))
     if docs is None or hits is None:
@@ -338,6 +337,6 @@ def context_prompts(
     head, rest = RAG_PROMPT.split("{context_str}")
     middle, tail = rest.split("{query_str}")
     prompt = F.concat(F.lit(head), context, F.lit(middle), F.col("_q"), F.lit(tail))
-    return asked.join(found, "query_id", "left").select(
-        "query_id", F.when(F.col("_h").isNull(), NO_HITS).otherwise(prompt).alias("prompt")
-    )
+    empty = texts.limit(1).select(F.count(F.lit(1)) == 0).scalar()
+    reply = F.when(empty, F.col("_q")).when(F.col("_h").isNull(), NO_HITS).otherwise(prompt)
+    return asked.join(found, "query_id", "left").select("query_id", reply.alias("prompt"))

@@ -88,13 +88,14 @@ def rank_by_value(df: DataFrame, value: str, key: str, name: str = "idx") -> Dat
     """Position in ``(value, key)`` order where ``value`` has a bounded set of values (such as a text length).
 
     Each value is indexed in key buckets, so a value shared by very many rows is spread out; the offsets of the
-    values come from one row per value, which is broadcast: as many rows as there are distinct values.
+    values come from one row per value. Rows without a value come first.
     """
     inner = dense_index(df, key, by=[value], name="_in")
     totals = df.groupBy(value).agg(F.count(F.lit(1)).alias("_n"))
-    before = Window.partitionBy(F.lit(0)).orderBy(value).rowsBetween(Window.unboundedPreceding, -1)
-    offs = totals.select(value, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
-    return inner.join(F.broadcast(offs), value).withColumn(name, (F.col("_in") + F.col("_o")).cast("bigint")).drop("_in", "_o")
+    before = Window.partitionBy(F.lit(0)).orderBy(F.col(value).asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
+    offs = totals.select(F.col(value).alias("_v"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_o"))
+    placed = inner.join(offs, F.col(value).eqNullSafe(F.col("_v")))
+    return placed.withColumn(name, (F.col("_in") + F.col("_o")).cast("bigint")).drop("_in", "_o", "_v")
 
 
 def length_batches(df: DataFrame, key: str, text: str, batch: int) -> DataFrame:

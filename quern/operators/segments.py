@@ -115,27 +115,11 @@ def trailing_lines(
     )
 
 
-def joined_text(
-    rows: DataFrame,
-    keys: Sequence[str],
-    pos: str,
-    text: Column,
-    name: str,
-    sep: str = "",
-    size: int = SEGMENT,
-) -> DataFrame:
-    """Concatenate the texts of a group in order, one output row per piece of at most ``size`` positions.
-
-    Groups shorter than a piece (any real record) give exactly one row, ``part`` 0. Longer ones give their parts
-    in order instead of one string that no task could hold.
-    """
-    rows = with_segment(rows, pos, size)
+def joined_text(rows: DataFrame, keys: Sequence[str], pos: str, text: Column, name: str, sep: str = "") -> DataFrame:
+    """Concatenate the texts of a group in order: one row per group, which must fit a value."""
     piece = F.array_sort(F.collect_list(F.struct(F.col(pos).alias("p"), text.alias("t"))))
-    return (
-        rows.groupBy(*keys, F.col(SEG).alias("part"))
-        .agg(piece.alias("_p"))
-        .select(*keys, "part", F.array_join(F.transform("_p", lambda x: x["t"]), sep).alias(name))
-    )
+    joined = F.array_join(F.transform("_p", lambda x: x["t"]), sep)
+    return rows.groupBy(*keys).agg(piece.alias("_p")).select(*keys, joined.alias(name))
 
 
 def scan(

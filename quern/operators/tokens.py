@@ -43,10 +43,11 @@ def build_vocab(counts: DataFrame, size: int = VOCAB_SIZE, byte_fallback: bool =
 def merge_vocab(
     base: DataFrame, domain: DataFrame, listed: DataFrame, frequent: DataFrame, top_n: int = 20_000
 ) -> DataFrame:
-    """``piece, stage, score``: the base vocabulary, then what each further list adds to it.
+    """``id, piece, stage, score``: the base vocabulary, then what each further list adds to it.
 
     A piece belongs to the first list that has it: base, domain, the CJK-only pieces of ``listed``, the ``top_n`` most
-    frequent of ``frequent``. Added pieces score zero, base pieces keep their score.
+    frequent of ``frequent``. Added pieces score zero, base pieces keep their score. Ids follow the reserved ones: the
+    base in the order of its scores, then the added pieces list by list, so base ids stay when lists are added.
     """
     top = frequent.orderBy(F.desc("freq"), "piece").limit(top_n)
     none = F.lit(None).cast("double")
@@ -60,7 +61,9 @@ def merge_vocab(
     for p in parts[1:]:
         pieces = pieces.unionByName(p)
     merged = pieces.groupBy("piece").agg(F.min("stage").alias("stage"), F.max("score").alias("_s"))
-    return merged.select("piece", "stage", F.when(F.col("stage") == 0, F.col("_s")).otherwise(0.0).alias("score"))
+    scored = merged.select("piece", "stage", F.when(F.col("stage") == 0, F.col("_s")).otherwise(0.0).alias("score"))
+    order = Window.partitionBy(F.lit(0)).orderBy("stage", F.desc("score"), "piece")  # a vocabulary fits a task
+    return scored.select((F.row_number().over(order) + RESERVED - 1).alias("id"), "piece", "stage", "score")
 
 
 SYMBOL_GAP = "  "
@@ -125,17 +128,21 @@ def train_bpe_merges(spark: SparkSession, counts: DataFrame, n_merges: int, rewr
 # ---------------------------------------------------------------- encoding
 
 
-def lookup_table(vocab: DataFrame, buckets: int = 1024) -> Column:
-    """The vocabulary as one small hash table (an array of maps), read by every task as a scalar.
+def lookup_table(vocab: DataFrame, buckets: int = 1024, kind: str = "int") -> Column:
+    """The vocabulary (``piece, id``) as one small hash table (an array of maps), read by every task as a scalar.
 
-    Its size is bounded by ``MAX_LOOKUP`` pieces. Looking a token up costs one array access and a map of a few
-    entries, so texts are encoded in place, without exploding or shuffling tokens.
+    More than ``MAX_LOOKUP`` pieces are an error, raised before they are gathered. Looking a token up costs one array
+    access and a map of a few entries, so texts are encoded in place, without exploding or shuffling tokens.
     """
     b = F.pmod(F.xxhash64("piece"), F.lit(buckets)).cast("int")
-    entries = vocab.select(b.alias("b"), "piece", F.col("id").cast("int").alias("id"))
+    n = vocab.select(F.count(F.lit(1))).scalar()
+    few = F.when(n <= MAX_LOOKUP, F.col("id").cast(kind)).otherwise(
+        F.raise_error(F.lit(f"a vocabulary of more than {MAX_LOOKUP} pieces")).cast(kind)
+    )
+    entries = vocab.select(b.alias("b"), "piece", few.alias("id"))
     filled = entries.groupBy("b").agg(F.array_sort(F.collect_list(F.struct("piece", "id"))).alias("e"))
     every = vocab.sparkSession.range(buckets).select(F.col("id").cast("int").alias("b"))
-    none = F.array().cast("array<struct<piece:string,id:int>>")
+    none = F.array().cast(f"array<struct<piece:string,id:{kind}>>")
     rows = every.join(filled, "b", "left").select("b", F.coalesce("e", none).alias("e"))
     table = rows.agg(F.array_sort(F.collect_list(F.struct("b", "e"))).alias("t"))
     return table.select(F.transform("t", lambda x: F.map_from_entries(x["e"])).alias("t")).scalar()
@@ -184,7 +191,7 @@ def encode_dialogs(
     """``conv_id, input_ids, attention_mask, labels`` of dialogs given as encoded pairs.
 
     Each pair is cut in proportion to its two lengths, an end mark follows each answer, and the dialog ends before
-    the first pair that would exceed ``max_length``. Every pair takes at least one place, so only the first
+    the first pair that would exceed ``max_length``; a dialog whose first pair does has empty arrays. Every pair takes at least one place, so only the first
     ``max_length`` pairs of a dialog can be part of the result; nothing longer is ever gathered.
     """
     src, tgt = F.col(source_ids), F.col(target_ids)
@@ -202,11 +209,11 @@ def encode_dialogs(
     t = F.when(F.get(t, F.size(t) - 1) == EOS, F.slice(t, F.lit(1), F.greatest(F.size(t) - 1, F.lit(0)))).otherwise(t)
     rows = rows.select("conv_id", "pair_idx", s.alias("s"), t.alias("t"))
     w = Window.partitionBy("conv_id").orderBy("pair_idx").rowsBetween(Window.unboundedPreceding, 0)
-    rows = rows.withColumn("_used", F.sum(F.size("s") + F.size("t") + 1).over(w)).where(F.col("_used") <= max_length)
+    rows = rows.withColumn("_used", F.sum(F.size("s") + F.size("t") + 1).over(w))
     end = F.array(F.lit(EOS))
     ids = F.concat("s", "t", end)
     learn = ids if train_on_inputs else F.concat(F.array_repeat(F.lit(IGNORE), F.size("s")), F.col("t"), end)
-    piece = F.struct("pair_idx", ids.alias("i"), learn.alias("l"))
+    piece = F.when(F.col("_used") <= max_length, F.struct("pair_idx", ids.alias("i"), learn.alias("l")))
     out = rows.groupBy("conv_id").agg(F.array_sort(F.collect_list(piece)).alias("p"))
     return out.select(
         "conv_id",

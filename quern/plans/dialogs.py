@@ -18,7 +18,8 @@ def rough_turns(spark, sf):
     """The dialogs with some speakers replaced, so that skipping, stopping and dropping all occur."""
     c, t = F.col("conv_id"), F.col("turn")
     role = F.when((c * 7 + t) % 23 == 5, "robot").when((c + t) % 11 == 3, "human").otherwise(F.col("role"))
-    return chat_turns(spark, sf).withColumn("role", role)
+    own = F.when(c % 4 == 1, F.concat(F.lit("Record "), c.cast("string")))
+    return chat_turns(spark, sf).withColumn("role", role).withColumn("system_prompt", own)
 
 
 ROUGH_SQL = """rough AS (
@@ -29,7 +30,8 @@ ROUGH_SQL = """rough AS (
 
 def pairs_sql(system_turns: bool) -> str:
     lead = "CASE WHEN r0 = 'system' THEN 1 ELSE 0 END" if system_turns else "0"
-    told = "CASE WHEN r0 = 'system' THEN t0 END" if system_turns else "CAST(NULL AS VARCHAR)"
+    own = "CASE WHEN conv_id % 4 = 1 THEN 'Record ' || conv_id END"
+    told = f"coalesce(CASE WHEN r0 = 'system' THEN nullif(t0, '') END, {own}, CASE WHEN r0 = 'system' THEN t0 END)" if system_turns else own
     return (
         ROUGH_SQL
         + f""", f AS (SELECT conv_id, count(*) AS n, arg_min(role, turn) AS r0, arg_min(text, turn) AS t0,
@@ -94,8 +96,8 @@ def chat_template_dialog(spark, sf):
 
 @query(
     "chat_template_prompt",
-    f"""WITH {RENDERED_SQL} SELECT conv_id, pair_idx * 2 // 4096 AS part, string_agg(prompt_text || response, '' ORDER BY pair_idx) AS prompt
-FROM rendered GROUP BY ALL""",
+    f"""WITH {RENDERED_SQL} SELECT conv_id, string_agg(prompt_text || response, '' ORDER BY pair_idx) AS prompt
+FROM rendered GROUP BY conv_id""",
 )
 def chat_template_prompt(spark, sf):
     return dialog.dialog_prompt(rendered_dialogs(spark, sf))
@@ -118,7 +120,7 @@ def template_registry(spark, sf):
 
 RL_SQL = (
     pairs_sql(False)
-    + f""", {REGISTRY_SQL} SELECT conv_id, pair_idx, {render_sql('pair_idx', 'query', "''")} AS prompt
+    + f""", {REGISTRY_SQL} SELECT conv_id, pair_idx, {render_sql('pair_idx', 'query', 'system')} AS prompt
 FROM pairs JOIN reg ON name = 'qwen' """
 )
 
@@ -126,7 +128,7 @@ FROM pairs JOIN reg ON name = 'qwen' """
 @query("dialog_prompts_rl", f"WITH {RL_SQL}")
 def dialog_prompts_rl(spark, sf):
     pairs = dialog.dialog_pairs(rough_turns(spark, sf), system_turns=False)
-    rows = dialog.render_pairs(templates.with_named_template(pairs, "qwen"), F.lit(""))
+    rows = dialog.render_pairs(templates.with_named_template(pairs, "qwen"), F.col("system"))
     return rows.select("conv_id", "pair_idx", F.col("prompt_text").alias("prompt"))
 
 
@@ -150,7 +152,7 @@ def flatten_chat_pairs(spark, sf):
 
 
 def preferences(spark, sf):
-    """Good and bad documents of a language matched by rank, as answers to a question about both."""
+    """Every good document of a language with a bad one, ranks taken in turns, as answers to a question about both."""
     docs = table(spark, sf, "documents").select("doc_id", "lang", "source", "text")
     rated = docs.join(table(spark, sf, "labels").select("doc_id", "quality"), "doc_id")
 
@@ -158,7 +160,10 @@ def preferences(spark, sf):
         d = dense_index(rated.where(F.col("quality") == quality), "doc_id", by=["lang"], name="rank")
         return d.select("lang", "rank", F.col("doc_id").alias(f"{name}_id"), F.col("text").alias(f"response_{name}"), F.col("source").alias(f"{name}_source"))
 
-    both = side(1, "chosen").join(side(0, "rejected"), ["lang", "rank"])
+    bad = side(0, "rejected")
+    counts = rated.where(F.col("quality") == 0).groupBy("lang").agg(F.count(F.lit(1)).alias("n_bad"))  # a row per language
+    good = side(1, "chosen").join(F.broadcast(counts), "lang").withColumn("rank", F.pmod("rank", F.col("n_bad")))
+    both = good.join(bad, ["lang", "rank"])
     asked = F.concat(F.lit("Write a text in "), "lang", F.lit(" as in "), "chosen_source", F.lit("."))
     before = F.when(F.col("chosen_id") % 2 == 1, F.array(F.array("chosen_source", "rejected_source")))
     system = F.when(F.col("lang") != "en", F.concat(F.lit("Answer in "), "lang"))
@@ -168,12 +173,12 @@ def preferences(spark, sf):
     )
 
 
-PREF_SQL = f"""rated AS (SELECT d.*, quality, row_number() OVER (PARTITION BY lang, quality ORDER BY doc_id) AS rank
-  FROM documents d JOIN labels USING (doc_id)),
+PREF_SQL = f"""rated AS (SELECT d.*, quality, row_number() OVER (PARTITION BY lang, quality ORDER BY doc_id) - 1 AS rank,
+  count(CASE WHEN quality = 0 THEN 1 END) OVER (PARTITION BY lang) AS n_bad FROM documents d JOIN labels USING (doc_id)),
 pref AS (SELECT c.doc_id AS chosen_id, r.doc_id AS rejected_id, CASE WHEN c.lang <> 'en' THEN 'Answer in ' || c.lang END AS system,
   c.doc_id % 2 = 1 AS has_history, c.source AS hq, r.source AS ha,
   'Write a text in ' || c.lang || ' as in ' || c.source || '.' AS question, c.text AS chosen, r.text AS rejected
-  FROM rated c JOIN rated r ON c.lang = r.lang AND c.rank = r.rank AND c.quality = 1 AND r.quality = 0),
+  FROM rated c JOIN rated r ON c.lang = r.lang AND c.n_bad > 0 AND c.rank % c.n_bad = r.rank AND c.quality = 1 AND r.quality = 0),
 {REGISTRY_SQL},
 prompts AS (SELECT pref.*, CASE WHEN has_history THEN {render_sql('0', 'hq', 'system')} || ha || {render_sql('1', 'question', 'system')}
   ELSE {render_sql('0', 'question', 'system')} END AS prompt_text FROM pref JOIN reg ON name = 'vicuna')"""
@@ -260,6 +265,27 @@ TOOLS = [
 ]
 
 
+# Fixed value: what the instruction for these tools must read.
+TOOLS_TEXT = """Answer the following questions as best you can. You have access to the following APIs:
+
+search: Call this tool to interact with the search API. What is the search API useful for? Find pages. Parameters: {"q": "text"}
+
+calc: Call this tool to interact with the Calculator API. What is the Calculator API useful for? Do sums. Parameters: {}
+
+Use the following format:
+
+Question: the input question you must answer
+Thought: you should always think about what to do
+Action: the action to take, should be one of [search, calc]
+Action Input: the input to the action
+Observation: the result of the action
+... (this Thought/Action/Action Input/Observation can be repeated zero or more times)
+Thought: I now know the final answer
+Final Answer: the final answer to the original input question
+
+Begin!"""
+
+
 def tool_messages(spark, sf):
     """The dialogs as tool transcripts: half of the answers become call, observation and answer; some are broken."""
     c, t = F.col("conv_id"), F.col("turn")
@@ -326,11 +352,11 @@ shape AS (SELECT conv_id, count(CASE WHEN answer IS NULL AND island < users THEN
   coalesce(max(CASE WHEN answer IS NOT NULL THEN island END), 0) AS last_answered FROM asked GROUP BY conv_id),
 verdict AS (SELECT conv_id, coalesce(reason, CASE WHEN open % 2 = 1 THEN 'odd_messages' WHEN open > 0 THEN 'unpaired_user' END) AS reason,
   last_answered FROM reasons LEFT JOIN shape USING (conv_id))
-SELECT conv_id, island - 1 AS pair_idx, 0::BIGINT AS part, CASE WHEN island = greatest(last_answered, 1) THEN
-    {sql_text(dialog.tool_instruction(TOOLS))} || chr(10) || chr(10) || 'Question: ' || user_text ELSE user_text END AS user_text,
+SELECT conv_id, island - 1 AS pair_idx, CASE WHEN island = greatest(last_answered, 1) THEN
+    {sql_text(TOOLS_TEXT)} || chr(10) || chr(10) || 'Question: ' || user_text ELSE user_text END AS user_text,
   answer AS assistant_text, answer IS NULL AS is_query, CASE WHEN island = 1 THEN coalesce(system, '') ELSE '' END AS system, CAST(NULL AS VARCHAR) AS invalid_reason
 FROM asked JOIN verdict USING (conv_id) LEFT JOIN sys USING (conv_id) WHERE reason IS NULL
-UNION ALL SELECT conv_id, -1, 0, NULL, NULL, false, '', reason FROM verdict WHERE reason IS NOT NULL"""
+UNION ALL SELECT conv_id, -1, NULL, NULL, false, '', reason FROM verdict WHERE reason IS NOT NULL"""
 
 
 @query("react_flatten", f"WITH {REACT_SQL}")

@@ -29,13 +29,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def spread_table(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
-    """A table for row-heavy work: rows are dealt out by ``key`` when it lies in fewer files than there are cores.
+    """A table for row-heavy work: rows are dealt out by ``key`` when it is read by fewer tasks than there are cores.
 
-    A single small file is read by one task however many cores wait. A table of many files is left as it is, so
-    nothing is shuffled where size already gives parallelism.
+    A single small file is read by one task however many cores wait. Large files are split by row group, so a large
+    table is left as it is and nothing is shuffled where size already gives parallelism.
     """
     df = table(spark, sf_dir, name)
-    if len(df.inputFiles()) < spark.sparkContext.defaultParallelism:
+    if df.rdd.getNumPartitions() < spark.sparkContext.defaultParallelism:
         return df.repartition(spark.sparkContext.defaultParallelism, key)
     return df
 

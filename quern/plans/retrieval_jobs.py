@@ -115,11 +115,12 @@ dfs AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
 qt AS (SELECT item_id, term, count(*) AS qtf FROM (SELECT item_id, unnest({sql_tokens('text')}) AS term FROM benchmark) GROUP BY ALL),
 sc AS (SELECT item_id AS query_id, doc_id, round(sum(qtf * ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.5 / (tf + 1.5 * (0.25 + 0.75 * dl / avgdl))), 9) AS score
   FROM qt JOIN tf USING (term) JOIN dfs USING (term) JOIN dl USING (doc_id), st GROUP BY ALL),
-lex AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM sc) WHERE rank <= 5)"""
+lexall AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM sc),
+lex AS (SELECT * FROM lexall WHERE rank <= 5)"""
 
 
-def lexical(spark, sf):
-    return ret.bm25_topk(corpus(spark, sf), "doc_id", "text", table(spark, sf, "benchmark"), "item_id", "text", 5)
+def lexical(spark, sf, k=5):
+    return ret.bm25_topk(corpus(spark, sf), "doc_id", "text", table(spark, sf, "benchmark"), "item_id", "text", k)
 
 
 @query("bm25_topk", f"WITH {BM25_SQL} SELECT query_id, doc_id, round(score, 6) AS score, rank::INTEGER AS rank FROM lex")
@@ -146,21 +147,37 @@ def dense_topk(spark, sf):
     return hits.withColumn("score", F.round("score", 6))
 
 
+# A document's vector is the share of each hash bucket among its tokens; so is a query's.
+VEC = 32
+VEC_SQL = f"""tv AS (SELECT 'd' AS side, doc_id AS id, unnest({sql_tokens('text')}) AS x FROM documents UNION ALL SELECT 'q', item_id, unnest({sql_tokens('text')}) FROM benchmark),
+cells AS (SELECT side, id, CAST('0x' || substr(md5(x), 1, 4) AS BIGINT) % {VEC} AS d, count(*) AS n FROM tv GROUP BY ALL),
+norms AS (SELECT side, id, sqrt(sum(n * n)) AS norm FROM cells GROUP BY ALL),
+dots AS (SELECT q.id AS query_id, d.id AS doc_id, sum(q.n * d.n) AS dot FROM cells q JOIN cells d ON q.d = d.d AND q.side = 'q' AND d.side = 'd' GROUP BY ALL),
+ds AS (SELECT query_id, doc_id, round(dot / (a.norm * b.norm), 9) AS score FROM dots JOIN norms a ON a.side = 'q' AND a.id = query_id JOIN norms b ON b.side = 'd' AND b.id = doc_id),
+deep AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM ds) WHERE rank <= {ret.FUSION_DEPTH})"""
+
+
+def hashed_vectors(df):
+    """Token counts in ``VEC`` hash buckets, counted inside the row."""
+    bucket = F.transform(tokens(F.col("text")), lambda t: F.conv(F.substring(F.md5(t), 1, 4), 16, 10).cast("int") % VEC)
+    held = df.withColumn("_s", bucket)
+    n = F.transform(F.sequence(F.lit(0), F.lit(VEC - 1)), lambda d: F.size(F.filter("_s", lambda x: x == d)).cast("double"))
+    return held.withColumn("v", n).drop("_s")
+
+
 @query(
     "ensemble_rank",
-    f"""WITH {BM25_SQL}, q AS (SELECT item_id AS query_id, embedding AS q FROM benchmark JOIN embeddings ON vec_id = item_id),
-ds AS (SELECT query_id, vec_id AS doc_id, round(list_cosine_similarity(embedding::DOUBLE[], q::DOUBLE[]), 9) AS score FROM embeddings, q),
-dense AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM ds) WHERE rank <= 5),
-f AS (SELECT query_id, doc_id, round(sum(0.5 / (2 + rank)), 9) AS score FROM (SELECT query_id, doc_id, rank FROM dense UNION ALL SELECT query_id, doc_id, rank FROM lex) GROUP BY ALL),
+    f"""WITH {BM25_SQL}, {VEC_SQL},
+f AS (SELECT query_id, doc_id, round(sum(0.5 / (2 + rank)), 9) AS score FROM (SELECT query_id, doc_id, rank FROM deep UNION ALL SELECT query_id, doc_id, rank FROM lexall WHERE rank <= {ret.FUSION_DEPTH}) GROUP BY ALL),
 r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, doc_id) AS rank FROM f)
 SELECT query_id, doc_id, round(score, 6)::DOUBLE AS score, rank::INTEGER AS rank FROM r WHERE rank <= 5""",
 )
 def ensemble_rank(spark, sf):
-    vectors = table(spark, sf, "embeddings")
-    items = table(spark, sf, "benchmark").select(F.col("item_id").alias("vec_id"))
-    asked = items.join(vectors, "vec_id").select("vec_id", F.col("embedding").alias("q"))
-    dense = ret.dense_topk(vectors, "vec_id", "embedding", asked, "vec_id", "q", 5)
-    return ret.fuse_ranks([dense, lexical(spark, sf)]).withColumn("score", F.round("score", 6))
+    docs = hashed_vectors(corpus(spark, sf).select("doc_id", "text"))
+    asked = hashed_vectors(table(spark, sf, "benchmark"))
+    dense = ret.dense_topk(docs, "doc_id", "v", asked, "item_id", "v", ret.FUSION_DEPTH)
+    lists = [dense, lexical(spark, sf, ret.FUSION_DEPTH)]
+    return ret.fuse_ranks(lists).withColumn("score", F.round("score", 6))
 
 
 HEAD, _REST = ret.RAG_PROMPT.split("{context_str}")

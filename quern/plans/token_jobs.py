@@ -57,8 +57,9 @@ u AS (SELECT piece, 0 AS stage, freq::DOUBLE AS score FROM c WHERE lang = 'en'
   UNION ALL SELECT piece, 1, NULL FROM c WHERE lang = 'fr'
   UNION ALL SELECT piece, 2, NULL FROM (SELECT piece FROM c WHERE lang = 'de' UNION ALL SELECT piece FROM made)
     WHERE regexp_matches(piece, '^[\\x{{4e00}}-\\x{{9fa5}}]*$')
-  UNION ALL (SELECT piece, 3, NULL FROM c WHERE lang = 'es' ORDER BY freq DESC, piece LIMIT 20000))
-SELECT piece, min(stage) AS stage, CASE WHEN min(stage) = 0 THEN max(score) ELSE 0.0::DOUBLE END AS score FROM u GROUP BY piece""",
+  UNION ALL (SELECT piece, 3, NULL FROM c WHERE lang = 'es' ORDER BY freq DESC, piece LIMIT 20000)),
+m AS (SELECT piece, min(stage) AS stage, CASE WHEN min(stage) = 0 THEN max(score) ELSE 0.0::DOUBLE END AS score FROM u GROUP BY piece)
+SELECT (row_number() OVER (ORDER BY stage, score DESC, piece) + 3)::INTEGER AS id, piece, stage, score FROM m""",
 )
 def merge_vocab(spark, sf):
     docs = corpus(spark, sf)
@@ -85,7 +86,10 @@ def encode_tokens(spark, sf):
     )
 
 
-SFT_SQL = f"""WITH d AS (WITH {RENDERED_SQL} SELECT * FROM rendered), {VOCAB_SQL},
+# Some dialogs get a prompt that fills the width and an empty answer, so that their first pair does not fit.
+LONG = "conv_id % 17 = 3"
+SFT_SQL = f"""WITH d AS (WITH {RENDERED_SQL} SELECT conv_id, pair_idx, CASE WHEN {LONG} THEN repeat(prompt_text, 60) ELSE prompt_text END AS prompt_text,
+  CASE WHEN {LONG} THEN '' ELSE response END AS response FROM rendered), {VOCAB_SQL},
 sides AS (SELECT conv_id, pair_idx, 's' AS side, {sql_tokens('prompt_text')} AS t FROM d UNION ALL SELECT conv_id, pair_idx, 't', {sql_tokens('response')} FROM d),
 tk AS (SELECT conv_id, pair_idx, side, unnest(t) AS piece, generate_subscripts(t, 1) AS pos FROM sides),
 ids AS (SELECT conv_id, pair_idx, side, list(coalesce(id, 0) ORDER BY pos) AS ids FROM tk LEFT JOIN vocab USING (piece) GROUP BY ALL),
@@ -97,12 +101,15 @@ lim AS (SELECT *, len(s) + len(t) AS tot, trunc(512::DOUBLE * (len(s)::DOUBLE /
 cutp AS (SELECT conv_id, pair_idx, CASE WHEN len(s) > ms THEN s[:ms] ELSE s END AS s,
   CASE WHEN len(t) > mt THEN CASE WHEN mt >= 0 THEN list_slice(t, 1, mt) ELSE list_slice(t, 1, greatest(len(t) + mt, 0)) END ELSE t END AS t FROM lim),
 run AS (SELECT *, sum(len(s) + len(t) + 1) OVER (PARTITION BY conv_id ORDER BY pair_idx) AS used FROM cutp),
-sft AS (SELECT conv_id, flatten(list(list_concat(s, t, [2]) ORDER BY pair_idx)) AS input_ids,
-  flatten(list(list_concat(list_transform(s, lambda x: -100), t, [2]) ORDER BY pair_idx)) AS labels FROM run WHERE used <= 512 GROUP BY conv_id)"""
+sft AS (SELECT conv_id, coalesce(flatten(list(list_concat(s, t, [2]) ORDER BY pair_idx) FILTER (used <= 512)), []) AS input_ids,
+  coalesce(flatten(list(list_concat(list_transform(s, lambda x: -100), t, [2]) ORDER BY pair_idx) FILTER (used <= 512)), []) AS labels FROM run GROUP BY conv_id)"""
 
 
 def sft_rows(spark, sf):
-    pairs = rendered_dialogs(spark, sf).select("conv_id", "pair_idx", "prompt_text", "response")
+    long = F.expr(LONG)
+    prompt = F.when(long, F.repeat("prompt_text", F.lit(60))).otherwise(F.col("prompt_text"))
+    answer = F.when(long, "").otherwise(F.col("response"))
+    pairs = rendered_dialogs(spark, sf).select("conv_id", "pair_idx", prompt.alias("prompt_text"), answer.alias("response"))
     vocab = vocabulary(spark, sf)
     rows = tok.encode_columns(pairs, {"_s": "prompt_text", "t": "response"}, vocab)
     opened = F.when(F.col("pair_idx") == 0, F.concat(F.array(F.lit(tok.BOS)), "_s")).otherwise(F.col("_s"))
@@ -111,7 +118,7 @@ def sft_rows(spark, sf):
 
 @query(
     "encode_sft",
-    f"""{SFT_SQL} SELECT conv_id, len(input_ids)::INTEGER AS n, list_sum(input_ids)::BIGINT AS id_sum, list_sum(labels)::BIGINT AS label_sum,
+    f"""{SFT_SQL} SELECT conv_id, len(input_ids)::INTEGER AS n, coalesce(list_sum(input_ids), 0)::BIGINT AS id_sum, coalesce(list_sum(labels), 0)::BIGINT AS label_sum,
 array_to_string(labels, ' ') AS labels FROM sft""",
 )
 def encode_sft(spark, sf):

@@ -35,6 +35,8 @@ def scratch_root(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
     root = tempfile.mkdtemp(prefix="quern-")
     spark.sparkContext.setCheckpointDir(root)
     return root

@@ -12,8 +12,11 @@ MIB = 1 << 20
 
 
 def read_jsonl_dir(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """Every ``*.json`` / ``*.jsonl`` file below ``path``, with a declared schema (no inference pass)."""
-    reader = spark.read.schema(schema).option("recursiveFileLookup", True)
+    """Every ``*.json`` / ``*.jsonl`` file below ``path``, with a declared schema (no inference pass).
+
+    A line that is not a JSON object of that schema fails the read.
+    """
+    reader = spark.read.schema(schema).option("recursiveFileLookup", True).option("mode", "FAILFAST")
     return reader.option("pathGlobFilter", "*.{json,jsonl}").json(path)
 
 

@@ -16,5 +16,6 @@ def write_results(df: DataFrame, path: str, resume: bool) -> None:
 
 
 def write_summary(summary: DataFrame, path: str) -> None:
-    """One summary object per model and dataset, in folders named after them."""
-    summary.write.mode("overwrite").option("ignoreNullFields", False).partitionBy("model_label", "eval_dataset").json(path)
+    """One summary object per model and dataset, in folders named after them; only the folders of these are replaced."""
+    out = summary.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("ignoreNullFields", False)
+    out.partitionBy("model_label", "eval_dataset").json(path)

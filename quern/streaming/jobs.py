@@ -14,13 +14,18 @@ DOCUMENTS = "doc_id bigint, text string, lang string, source string, n_chars big
 
 
 def stream_table(spark: SparkSession, sf_dir: str, name: str, schema: str) -> DataFrame:
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf_dir)
+    """A table as a stream, be it one file or a folder of files; a missing table is an error."""
+    spark.read.schema(schema).parquet(f"{sf_dir}/{name}.parquet")
+    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{name}.parque[t]")
 
 
-def drain(stream: DataFrame, name: str) -> DataFrame:
-    """Run the stream to the end of its input into a parquet folder and read that folder back."""
+def drain(stream: DataFrame, name: str, base: str | None = None) -> DataFrame:
+    """Run the stream to the end of its input into a parquet folder and read that folder back.
+
+    With a ``base`` folder of its own a later call goes on where the last one ended.
+    """
     spark = stream.sparkSession
-    base = scratch_dir(spark, name)
+    base = base or scratch_dir(spark, name)
     q = (
         stream.writeStream.format("parquet")
         .option("path", f"{base}/out")
@@ -48,12 +53,13 @@ def stream_web_math(spark: SparkSession, sf_dir: str) -> DataFrame:
     return drain(docs.select(*convert.web_math_row(F.col("text"), idx, ident)), "stream-web")
 
 
-def each_batch(stream: DataFrame, name: str, work) -> str:
+def each_batch(stream: DataFrame, name: str, work, base: str | None = None) -> str:
     """Run ``work(batch)`` on every micro-batch and write its result below the returned folder.
 
     The folder of a batch is named by its number and replaced on a repeat, so a restarted batch is not counted twice.
+    With a ``base`` folder of its own a later call goes on where the last one ended.
     """
-    base = scratch_dir(stream.sparkSession, name)
+    base = base or scratch_dir(stream.sparkSession, name)
 
     def write(batch: DataFrame, number: int) -> None:
         work(batch).write.mode("overwrite").parquet(f"{base}/out/batch={number}")
@@ -90,29 +96,14 @@ def stream_pack(spark: SparkSession, sf_dir: str, vocab: DataFrame, block: int,
     return spark.read.parquet(each_batch(docs, "stream-pack", work))
 
 
-def stream_scores(samples: DataFrame, prediction_dir: str, schema: str) -> tuple[DataFrame, DataFrame]:
+def stream_scores(samples: DataFrame, prediction_dir: str, schema: str, base: str | None = None) -> tuple[DataFrame, DataFrame]:
     """Score prediction files as they arrive: ``(results, summary)``.
 
-    The file source's checkpoint makes every file count once; results are appended, the summary is a running
-    aggregate in complete mode whose latest state replaces the one before.
+    ``base`` holds the checkpoint and the results. Called again with the same folder, only files that have come since
+    are scored; the summary is that of all results so far.
     """
     spark = samples.sparkSession
     arriving = spark.readStream.schema(schema).option("maxFilesPerTrigger", 8).parquet(prediction_dir)
-    results = drain(scoring.score_predictions(samples, arriving), "stream-scores")
-    base = scratch_dir(spark, "stream-summary")
-    totals = scoring.score_predictions(samples, arriving).groupBy(*scoring.RUN)
-    running = totals.agg(F.count(F.lit(1)).alias("total"), F.count_if(F.col("correct")).alias("correct"))
-
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{base}/out")
-
-    q = (
-        running.writeStream.outputMode("complete")
-        .foreachBatch(replace)
-        .option("checkpointLocation", f"{base}/state")
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    share = F.bround(F.coalesce(F.try_divide(100.0 * F.col("correct"), F.col("total")), F.lit(0.0)), 2)
-    return results, spark.read.parquet(f"{base}/out").withColumn("accuracy", share)
+    out = each_batch(arriving, "stream-scores", lambda batch: scoring.score_predictions(samples, batch), base)
+    results = spark.read.parquet(out).drop("batch")
+    return results, scoring.accuracy_summary(results)

@@ -89,14 +89,35 @@ def test_turn_prompts_see_only_the_last_lines(spark, size):
             assert got[c, i] == want + ("患者:" if human else "护士:")
 
 
-def test_parts_join_to_the_whole(spark):
+def test_a_dialog_is_one_text(spark):
     dialogs = random_dialogs(4)
     rows = turn_table(spark, dialogs)
-    parts = segments.joined_text(rows, ["conv_id"], "turn", F.col("text"), "t", size=3).collect()
-    for c, turns in dialogs.items():
-        mine = sorted((r["part"], r["t"]) for r in parts if r["conv_id"] == c)
-        assert "".join(t for _, t in mine) == "".join(t for _, t in turns)
-        assert len(mine) == -(-len(turns) // 3)
+    got = {r["conv_id"]: r["t"] for r in segments.joined_text(rows, ["conv_id"], "turn", F.col("text"), "t").collect()}
+    assert got == {c: "".join(t for _, t in turns) for c, turns in dialogs.items()}
+
+
+def test_turn_numbers_only_give_the_order(spark):
+    rows = [(1, 2 * i + 5, r, t) for i, (r, t) in enumerate([("human", "q"), ("gpt", "a"), ("human", "q2"), ("gpt", "a2")])]
+    df = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    got = sorted((r["query"], r["response"]) for r in dialog.dialog_pairs(df).collect())
+    assert got == [("q", "a"), ("q2", "a2")]
+
+
+def test_record_level_system_prompts(spark):
+    turns = {1: [("system", "told"), ("human", "q"), ("gpt", "a")], 2: [("human", "q"), ("gpt", "a")], 3: [("system", ""), ("human", "q"), ("gpt", "a"), ("human", "r"), ("gpt", "b")]}
+    df = turn_table(spark, turns).withColumn("system_prompt", F.lit("own"))
+    told = {(r["conv_id"], r["pair_idx"]): r["system"] for r in dialog.dialog_pairs(df).collect()}
+    assert told == {(1, 0): "told", (2, 0): "own", (3, 0): "own", (3, 1): None}
+    rl = {r["conv_id"]: r["system"] for r in dialog.dialog_pairs(df, system_turns=False).where("pair_idx = 0").collect()}
+    assert rl == {1: "own", 2: "own", 3: "own"}
+
+
+def test_tool_fields_fall_back_to_general_ones(spark):
+    tools = [{"name": "n"}, {"name": "m", "name_for_model": "mm", "name_for_human": "mh", "description": "d", "description_for_model": "dm", "parameters": {"ü": [1, 2]}}]
+    text = spark.range(1).select(dialog.tool_instruction(dialog.tool_array(tools)).alias("t")).first()["t"]
+    assert "\n\nn: Call this tool to interact with the n API. What is the n API useful for?  Parameters: {}\n\n" in text
+    assert 'mm: Call this tool to interact with the mh API. What is the mh API useful for? dm Parameters: {"ü": [1, 2]}' in text
+    assert "one of [n, mm]" in text
 
 
 def transcripts(spark, seed):
@@ -123,7 +144,7 @@ def test_transcripts_do_not_depend_on_the_piece_size(spark):
 
     def by_pair(out):
         merged = {}
-        for r in sorted(out, key=lambda r: (r["conv_id"], r["pair_idx"], r["part"])):
+        for r in sorted(out, key=lambda r: (r["conv_id"], r["pair_idx"])):
             m = merged.setdefault((r["conv_id"], r["pair_idx"]), ["", "", False, "", None])
             m[0] += r["user_text"] or ""
             m[1] += r["assistant_text"] or ""

@@ -6,7 +6,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from quern.operators import sampling
+from quern.operators import ordering, sampling
 from quern.operators.ordering import dense_index, first_n
 
 
@@ -76,6 +76,27 @@ def test_rank_by_value_with_few_values(skewed):
     assert got == {k: i for i, (_, k) in enumerate(order)}
 
 
+def test_null_keys_come_first_and_keep_positions_gapless(spark):
+    df = spark.createDataFrame([(1, "a"), (None, "b"), (3, "c"), (None, "d")], "k bigint, t string")
+    got = {r["t"]: r["idx"] for r in ordering.dense_index(df, "k", ties=["t"]).collect()}
+    assert got == {"b": 0, "d": 1, "a": 2, "c": 3}
+    hashed = df.withColumn("h", F.when(F.col("k").isNotNull(), ordering.hash_key(1, F.col("k"))))
+    assert sorted(r["idx"] for r in ordering.dense_index(hashed, "h", ties=["t"], hashed=True).collect()) == [0, 1, 2, 3]
+
+
+def test_positions_do_not_depend_on_the_number_of_buckets(skewed, monkeypatch):
+    _, df = skewed
+    once = {r["k"]: r["shuffle_pos"] for r in sampling.seeded_shuffle(df, "k").collect()}
+    monkeypatch.setattr(ordering, "BUCKET_ROWS", 7)
+    assert once == {r["k"]: r["shuffle_pos"] for r in sampling.seeded_shuffle(df, "k").collect()}
+
+
+def test_rows_without_a_length_stay(spark):
+    df = spark.createDataFrame([(1, "abc"), (2, None), (3, "a")], "k bigint, t string")
+    got = {r["k"]: (r["batch_id"], r["padding"]) for r in sampling.length_batches(df, "k", "t", 2).collect()}
+    assert got == {2: (0, None), 3: (0, 0), 1: (1, 0)}
+
+
 def test_mix_takes_whole_small_sources(skewed):
     rows, df = skewed
     out = sampling.mix_sources(df, "g", "k", {"hot": 50, "g1": 10_000})

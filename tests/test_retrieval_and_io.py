@@ -34,11 +34,28 @@ def test_sentence_chunks(spark, text):
     assert got == brute_sentences(text, 12)
 
 
-def test_cjk_chunks():
-    assert ret._cut_cjk("中文句子。还有一句！", 5, 2) == ["中文句子。", "还有一句！"]
-    assert ret._cut_cjk("中" * 7, 3, 0) == ["中中中", "中中中", "中"]
-    assert ret._cut_cjk("abcdef中", 3, 0) == ["", "abcdef", "中"]
-    assert ret._cut_cjk("", 3, 0) == []
+def brute_cjk(text, size, overlap):
+    """Units one by one: a chunk is closed before a unit that does not fit and after a sentence end near the limit."""
+    chunks, cur = [], ""
+    for unit in re.findall(r"(?s)[A-Za-z0-9]+|.", text):
+        if len(cur + unit) > size:
+            chunks.append(cur.strip())
+            cur = ""
+        cur += unit
+        if unit in ret.CJK_ENDINGS and len(cur) > size - overlap:
+            chunks.append(cur.strip())
+            cur = ""
+    return [*chunks, cur.strip()] if cur else chunks
+
+
+@pytest.mark.parametrize(("size", "overlap"), [(5, 2), (3, 0), (4, 3), (6, 6), (4, 9)])
+def test_cjk_chunks(spark, size, overlap):
+    rng = random.Random(size)
+    texts = ["中文句子。还有一句！", "中" * 7, "abcdef中", "", "a", "。", "abcdefgh", "中abcdefg。xyzxyzxyz"]
+    texts += ["".join(rng.choices("中文。！\n ab1", k=rng.randrange(1, 30))) for _ in range(300)]
+    df = spark.createDataFrame(list(enumerate(texts)), "k int, t string")
+    got = {r["k"]: r["c"] for r in df.select("k", ret.chunk_cjk(F.col("t"), size, overlap).alias("c")).collect()}
+    assert got == {i: brute_cjk(t, size, overlap) for i, t in enumerate(texts)}
 
 
 def test_overlap_and_router(spark):
@@ -118,8 +135,9 @@ def test_dense_and_fusion(spark):
 def test_prompts_without_hits_or_corpus(spark):
     q = spark.createDataFrame([(1, "why")], "q bigint, t string")
     hits = spark.createDataFrame([], "query_id bigint, doc_id bigint, rank int")
-    docs = spark.createDataFrame([], "d bigint, t string")
+    docs = spark.createDataFrame([(1, "x")], "d bigint, t string")
     assert ret.context_prompts(q, "q", "t", hits, docs, "d", "t").first()["prompt"] == ret.NO_HITS
+    assert ret.context_prompts(q, "q", "t", hits, docs.limit(0), "d", "t").first()["prompt"] == "why"
     assert ret.context_prompts(q, "q", "t", None, None, "d", "t").first()["prompt"] == "why"
 
 
@@ -166,6 +184,55 @@ def test_resume_is_idempotent(spark):
     assert tuple(scoring.accuracy_summary(twice).first()) == ("m", "d", 6, 3, 50.0)
 
 
+def test_broken_json_lines_fail_the_read(spark):
+    path = scratch_dir(spark, "t")
+    spark.createDataFrame([('{"a": 1}',), ('{"a": ',)], "value string").coalesce(1).write.text(path)
+    spark.range(1).select(F.lit(1).alias("a")).write.json(f"{path}/ok")
+    assert readers.read_jsonl_dir(spark, f"{path}/ok", "a int").count() == 1
+    bad = scratch_dir(spark, "t") + "/x.jsonl"
+    from pathlib import Path
+
+    Path(bad).parent.mkdir(parents=True, exist_ok=True)
+    Path(bad).write_text('{"a": 1}\n{"a": \n')
+    with pytest.raises(Exception, match="MALFORMED"):
+        readers.read_jsonl_dir(spark, bad, "a int").collect()
+
+
+def test_streams_of_a_folder_of_files_equal_batch(spark):
+    folder = scratch_dir(spark, "sf")
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
+    docs.repartition(5).write.parquet(f"{folder}/documents.parquet")
+    assert jobs.stream_text(spark, folder).count() == docs.where("text <> ''").count()
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        jobs.stream_text(spark, scratch_dir(spark, "none"))
+
+
+def test_resumed_streams_score_each_file_once(spark):
+    samples = spark.createDataFrame([(i, "d", "q", "#### 1", 1.0) for i in range(6)], "sample_id bigint, eval_dataset string, question string, ground_truth string, ground_truth_value double")
+    schema = "sample_id bigint, model_label string, eval_dataset string, prediction string"
+    path, state = scratch_dir(spark, "p"), scratch_dir(spark, "s")
+    for part in ([0, 1, 2], [3, 4, 5]):
+        spark.createDataFrame([(i, "m", "d", "it is 1") for i in part], schema).write.mode("append").parquet(path)
+        results, summary = jobs.stream_scores(samples, path, schema, state)
+        assert results.count() == part[-1] + 1
+    assert tuple(summary.first()) == ("m", "d", 6, 6, 100.0)
+    assert jobs.stream_scores(samples, path, schema, state)[0].count() == 6
+
+
+def test_a_cluster_without_a_shared_folder_is_refused():
+    cluster = SimpleNamespace(conf={}, sparkContext=SimpleNamespace(
+        master="spark://x", getConf=lambda: {}, getCheckpointDir=lambda: None))
+    with pytest.raises(ValueError, match="checkpoint.dir"):
+        scratch_root(cluster)
+
+
+def test_perplexity_of_documents_without_words(spark):
+    df = spark.createDataFrame([(1, "a a b"), (2, ""), (3, None)], "k bigint, t string")
+    got = {r["k"]: (r["n_tokens"], r["nll"]) for r in scoring.unigram_perplexity(df, "k", "t").collect()}
+    nll = (2 * -math.log(3 / 5) - math.log(2 / 5)) / 3
+    assert got[2] == got[3] == (0, None) and got[1][0] == 3 and abs(got[1][1] - nll) < 1e-12
+
+
 def test_stream_packing_equals_batch(spark):
     from quern.operators import tokens as tok
     from quern.plans import token_jobs as tj

@@ -115,7 +115,7 @@ def test_dialog_encoding(spark):
     got = {r["conv_id"]: (r["input_ids"], r["labels"]) for r in tok.encode_dialogs(df, "s", "t", 64).collect()}
     for c, ps in dialogs.items():
         ids, labels = brute_dialog(ps, 64)
-        assert got.get(c, ([], [])) == (ids, labels)
+        assert got[c] == (ids, labels)
 
 
 def test_encode_and_pad(spark):
