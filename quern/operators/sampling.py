@@ -8,6 +8,10 @@ from pyspark.sql import functions as F
 from quern.operators.ordering import dense_index, first_n, hash_key
 
 
+#: How far on either side of a wanted percentile its key is looked for, as a share of the rows.
+MARGIN = 5e-4
+
+
 def row_total(df: DataFrame) -> Column:
     """The row count as a scalar subquery."""
     return df.select(F.count(F.lit(1))).scalar()
@@ -26,10 +30,21 @@ def buffered_shuffle(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
 
 
 def split_head_percent(df: DataFrame, key: str, percent: int = 1) -> DataFrame:
-    """``validation`` for the first ``percent`` % in key order (half up), else ``train``."""
+    """``validation`` for the first ``percent`` % in key order (half up), else ``train``. Keys are numbers, unique.
+
+    Two approximate percentiles enclose the last key of the head; only the few keys between them are sorted, and rows
+    are compared with that key where they are. Null keys come first.
+    """
     cut = F.floor(row_total(df) * percent / F.lit(100.0) + F.lit(0.5))
-    side = F.when(F.col("_i") < cut, "validation").otherwise("train")
-    return dense_index(df, key, name="_i").withColumn("split", side).drop("_i")
+    keys = df.select(F.coalesce(F.col(key).cast("double"), F.lit(float("-inf"))).alias("_k"))
+    near = [min(1.0, max(0.0, percent / 100 + d)) for d in (-MARGIN, MARGIN)]
+    lo, hi = (keys.select(F.percentile_approx("_k", p, int(4 / MARGIN))).scalar() for p in near)
+    below = keys.select(F.count_if(F.col("_k") < lo)).scalar()
+    middle = keys.where((F.col("_k") >= lo) & (F.col("_k") <= hi))
+    rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("_k"))
+    last = middle.withColumn("_n", rank + below).where(F.col("_n") == cut).select(F.max("_k")).scalar()
+    head = F.coalesce(F.coalesce(F.col(key).cast("double"), F.lit(float("-inf"))) <= last, F.lit(False))
+    return df.withColumn("split", F.when(head, "validation").otherwise("train"))
 
 
 def split_random_percent(df: DataFrame, key: str, percent: float, seed: int = 42) -> DataFrame:
@@ -39,16 +54,20 @@ def split_random_percent(df: DataFrame, key: str, percent: float, seed: int = 42
 
 
 def split_tail_holdout(df: DataFrame, key: str, holdout: int = 100) -> DataFrame:
-    """The last ``holdout`` rows are ``eval``, the rest ``train``."""
-    side = F.when(F.col("_i") >= row_total(df) - holdout, "eval").otherwise("train")
-    return dense_index(df, key, name="_i").withColumn("split", side).drop("_i")
+    """The last ``holdout`` rows are ``eval``, the rest ``train``: rows are compared with the first key held out."""
+    last = df.select(F.col(key).alias("_k")).orderBy(F.col("_k").desc_nulls_last()).limit(holdout)
+    first = last.select(F.min(F.struct(F.col("_k").isNotNull().alias("is"), "_k"))).scalar()
+    held = F.struct(F.col(key).isNotNull().alias("is"), F.col(key).alias("_k")) >= first
+    return df.withColumn("split", F.when(F.coalesce(held, F.lit(False)), "eval").otherwise("train"))
 
 
 def cap_samples(df: DataFrame, key: str, cap: int | None) -> DataFrame:
-    """First ``cap`` rows in key order; no cap or a cap below one keeps all."""
+    """First ``cap`` rows in key order; no cap or a cap below one keeps all. Only keys are sorted."""
     if cap is None or cap <= 0:
         return df
-    return first_n(df, cap, key, name="_i").drop("_i")
+    keys = df.select(F.struct(F.col(key).isNotNull().alias("is"), F.col(key).alias("_k")).alias("_k"))
+    last = keys.orderBy("_k").limit(cap).select(F.max("_k")).scalar()
+    return df.where(F.struct(F.col(key).isNotNull().alias("is"), F.col(key).alias("_k")) <= last)
 
 
 def shuffle_then_cap(df: DataFrame, key: str, cap: int, seed: int = 42) -> DataFrame:
@@ -71,9 +90,16 @@ def source_shares(mixed: DataFrame, source: str) -> DataFrame:
 
 
 def sample_until_quota(df: DataFrame, key: str, accept: Column, quota: int, seed: int = 42) -> DataFrame:
-    """The first ``quota`` accepted rows of a seeded scan, with their place in the scan and among the accepted."""
-    scanned = seeded_shuffle(df, key, seed, "scan_pos")
-    return first_n(scanned.where(accept), quota, "scan_pos", name="pick")
+    """The first ``quota`` accepted rows of a seeded scan, with their place in the scan and among the accepted.
+
+    The hash of the last accepted row bounds the scan, so only the rows up to there are placed.
+    """
+    hashed = df.withColumn("_h", hash_key(seed, F.col(key)))
+    taken = hashed.where(accept).select("_h").orderBy("_h").limit(quota)
+    scanned = hashed.where(F.col("_h") <= taken.select(F.max("_h")).scalar())
+    placed = dense_index(scanned, "_h", name="scan_pos", ties=[key], hashed=True)
+    accepted = dense_index(placed.where(accept), "_h", name="pick", ties=[key], hashed=True)
+    return accepted.where(F.col("pick") < quota).drop("_h")
 
 
 def scan_counters(sample: DataFrame) -> DataFrame:
