@@ -306,17 +306,26 @@ class PieceModel:
     # decoding
 
     def decode(self, ids: np.ndarray) -> str:
-        """The text of ids: one leading space, that of the prefix, goes, and bytes that are not UTF-8 become U+FFFD each."""
+        """The text of ids: one leading space, that of the prefix, goes, and bytes that are not UTF-8 become U+FFFD each.
+
+        A control id between two bytes keeps them apart.
+        """
+        ids = np.asarray(ids)
         size = self.raw_lengths[ids]
         ends = np.cumsum(size)
         at = np.repeat(self.raw_starts[ids] - (ends - size), size)
         raw = self.raw[at + np.arange(len(at))].tobytes()
-        if (self.dummy or self.squeeze) and raw.startswith(b" ") and self.kind[ids[np.flatnonzero(size)[0]]] == NORMAL:
-            raw = raw[1:]
-        try:
-            return raw.decode()
-        except UnicodeDecodeError:
-            return raw.decode("utf-8", "surrogateescape").translate(NOT_UTF8)
+        drop = raw.startswith(b" ") and (self.dummy or self.squeeze) and self.kind[ids[np.flatnonzero(size)[0]]] == NORMAL
+        silent = np.flatnonzero(size[1:-1] == 0) + 1
+        borders = [int(drop), *np.maximum(ends[silent], int(drop)).tolist(), len(raw)]
+        return "".join(read_utf8(raw[a:b]) for a, b in zip(borders, borders[1:], strict=False))
+
+
+def read_utf8(raw: bytes) -> str:
+    try:
+        return raw.decode()
+    except UnicodeDecodeError:
+        return raw.decode("utf-8", "surrogateescape").translate(NOT_UTF8)
 
 
 STRETCH = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")

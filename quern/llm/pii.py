@@ -18,7 +18,7 @@ NEARBY = 48
 LOCAL = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-"
 DOMAIN = re.compile(r"@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)+")
 IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
-CARD = re.compile(r"[0-9](?:[ -]?[0-9])++")
+CARD = re.compile(r"[0-9](?:[ -]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:[ ]?[A-Z0-9]){11,30}(?![A-Za-z0-9])")
 SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
@@ -42,7 +42,7 @@ WORDS = re.compile(r"[a-z][a-z-]*")
 
 def luhn(digits: str) -> bool:
     """Every second digit from the right is doubled, less 9 if above 9; the sum ends in 0."""
-    total = sum(map(int, digits[-1::-2])) + sum("0246813579".index(d) for d in digits[-2::-2])
+    total = sum(map(int, digits[-1::-2])) + sum(int("0246813579"[int(d)]) for d in digits[-2::-2])
     return total % 10 == 0
 
 

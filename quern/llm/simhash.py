@@ -18,6 +18,7 @@ SEED = 42
 #: Buckets with more fingerprints are cut into blocks, compared block against block.
 MAX_BUCKET = 4096
 BLOCK = 1024
+MASK64 = (1 << 64) - 1
 BITS = np.uint64(1) << np.arange(64, dtype=np.uint64)
 OCTET_BITS = np.arange(256)[:, None] >> np.arange(8) & 1
 
@@ -65,7 +66,7 @@ def spanning_links(prints: np.ndarray, radius: int) -> list[tuple[int, int]]:
         front, left = [left[0]], left[1:]
         while front and len(left):
             x = front.pop()
-            near = np.bitwise_count(left ^ x) <= radius
+            near = np.bitwise_count((left ^ x).view(np.uint64)) <= radius
             found = left[near]
             if len(found):
                 links += [(int(x), int(y)) for y in found]
@@ -101,7 +102,7 @@ def bucket_links(rows: DataFrame, radius: int) -> DataFrame:
         for i in np.flatnonzero(np.diff(starts) > 1):
             part = prints[starts[i] : starts[i + 1]]
             if len(part) == 2:
-                if part[0] != part[1] and int(np.bitwise_count(part[0] ^ part[1])) <= radius:
+                if part[0] != part[1] and ((int(part[0]) ^ int(part[1])) & MASK64).bit_count() <= radius:
                     out.append((int(part[0]), int(part[1])))
             else:
                 out += spanning_links(part, radius)

@@ -73,11 +73,12 @@ def test_character_map_follows_the_longest_prefix_and_keeps_the_alignment():
     proto.ParseFromString(rule.serialized_model_proto())
     charmap = pieces.CharacterMap(proto.normalizer_spec.precompiled_charsmap)
     own = pieces.PieceModel.__new__(pieces.PieceModel)
-    own.map, own.dummy, own.squeeze = charmap, False, False
+    spec = proto.normalizer_spec
+    own.map, own.dummy, own.squeeze = charmap, spec.add_dummy_prefix, spec.remove_extra_whitespaces
     for text in ["ﬁne ①②", "ｶﾞ x", "é", "ＡＢＣ", "㌔", "a​b", "plain"]:
         form, source = own.normalize(text)
         want = rule.normalize(text)
-        assert form.replace("▁", " ") == want
+        assert form == want
         assert len(source) == len(form.encode()) + 1 and source[-1] == len(text.encode())
         assert list(source) == sorted(source)
     own.squeeze = own.dummy = True
@@ -141,7 +142,7 @@ def test_long_runs_take_time_in_proportion():
 def test_checksums_and_context():
     assert pii.mod97("GB82 WEST 1234 5698 7654 32") and not pii.mod97("GB82 WEST 1234 5698 7654 33")
     kinds = lambda t: [pii.KINDS[x[1]] for x in pii.spans_of(t)]
-    assert kinds("account GB82 WEST 1234 5698 7654 32 now") == ["iban"]
+    assert "iban" in kinds("account GB82 WEST 1234 5698 7654 32 now") and "iban" not in kinds("account GB82 WEST 1234 5698 7654 33")
     assert kinds("ssn 123-45-6789") == ["ssn"] and kinds("part 123-45-6789") == []
     near, far = pii.spans_of("call +1 212 555 0100")[0][3], pii.spans_of("version +1 212 555 0100")[0][3]
     assert near > far
