@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from quern.operators.ordering import dense_index, first_n, hash_key
@@ -102,6 +102,27 @@ def sample_until_quota(df: DataFrame, key: str, accept: Column, quota: int, seed
     return accepted.where(F.col("pick") < quota).drop("_h")
 
 
+def watched(df: DataFrame, accept: Column, name: str = "scan") -> tuple[DataFrame, Observation]:
+    """``df`` with counters that fill while an action reads it: rows ``scanned`` and ``collected``, ``first`` and
+    ``last`` microsecond of the scan. :func:`throughput` reads them."""
+    seen = Observation(name)
+    now = F.unix_micros(F.timestamp_micros(F.reflect(F.lit("java.lang.System"), F.lit("currentTimeMillis")).cast("bigint") * 1000))
+    timed = df.withColumn("_at", now)
+    out = timed.observe(
+        seen, F.count(F.lit(1)).alias("scanned"), F.count_if(accept).alias("collected"),
+        F.min("_at").alias("first"), F.max("_at").alias("last"),
+    )
+    return out.drop("_at"), seen
+
+
+def throughput(seen: Observation) -> dict[str, float]:
+    """Counters of a finished scan with the share collected in percent and the rows scanned per second."""
+    got = seen.get
+    seconds = max((got["last"] or 0) - (got["first"] or 0), 1) / 1e6
+    share = 100.0 * got["collected"] / got["scanned"] if got["scanned"] else 0.0
+    return {"scanned": got["scanned"], "collected": got["collected"], "yield_pct": share, "rows_per_second": got["scanned"] / seconds}
+
+
 def scan_counters(sample: DataFrame) -> DataFrame:
     """Rows scanned until the quota was met, rows collected, and the yield."""
     scanned = F.coalesce(F.max("scan_pos") + 1, F.lit(0))

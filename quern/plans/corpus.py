@@ -152,6 +152,14 @@ def file_fingerprint(spark, sf):
     return docs.select("doc_id", readers.fingerprint(F.col("text").cast("binary")).alias("fingerprint"))
 
 
+@query(
+    "file_set_fingerprint",
+    "SELECT md5(string_agg(left(text, 1048576), '' ORDER BY doc_id)) AS fingerprint, count(*) AS n FROM documents",
+)
+def file_set_fingerprint(spark, sf):
+    return readers.set_fingerprint(table(spark, sf, "documents"), "doc_id", "text")
+
+
 @query("src_stream_text", f"SELECT doc_id, {sql_strip('text')} AS text FROM documents WHERE text IS NOT NULL AND text <> ''")
 def src_stream_text(spark, sf):
     return jobs.stream_text(spark, sf)

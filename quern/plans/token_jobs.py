@@ -49,18 +49,18 @@ def train_bpe_merges(spark, sf):
     return tok.train_bpe_merges(spark, tok.piece_counts(corpus(spark, sf)), 16)
 
 
-@query(
-    "merge_vocab",
-    f"""WITH c AS (SELECT lang, piece, count(*) AS freq FROM (SELECT lang, unnest({sql_tokens('text')}) AS piece FROM documents) GROUP BY ALL),
+MERGED_SQL = f"""c AS (SELECT lang, piece, count(*) AS freq FROM (SELECT lang, unnest({sql_tokens('text')}) AS piece FROM documents) GROUP BY ALL),
 made AS (SELECT concat(chr((19968 + doc_id % 20992)::INTEGER), chr((19968 + doc_id * 7 % 20992)::INTEGER)) AS piece FROM documents),
 u AS (SELECT piece, 0 AS stage, freq::DOUBLE AS score FROM c WHERE lang = 'en'
   UNION ALL SELECT piece, 1, NULL FROM c WHERE lang = 'fr'
   UNION ALL SELECT piece, 2, NULL FROM (SELECT piece FROM c WHERE lang = 'de' UNION ALL SELECT piece FROM made)
     WHERE regexp_matches(piece, '^[\\x{{4e00}}-\\x{{9fa5}}]*$')
   UNION ALL (SELECT piece, 3, NULL FROM c WHERE lang = 'es' ORDER BY freq DESC, piece LIMIT 20000)),
-m AS (SELECT piece, min(stage) AS stage, CASE WHEN min(stage) = 0 THEN max(score) ELSE 0.0::DOUBLE END AS score FROM u GROUP BY piece)
-SELECT (row_number() OVER (ORDER BY stage, score DESC, piece) + 3)::INTEGER AS id, piece, stage, score FROM m""",
-)
+m AS (SELECT piece, min(stage) AS stage, CASE WHEN min(stage) = 0 THEN max(score) ELSE 0.0::DOUBLE END AS score FROM u GROUP BY piece),
+merged AS (SELECT (row_number() OVER (ORDER BY stage, score DESC, piece) + 3)::INTEGER AS id, piece, stage, score FROM m)"""
+
+
+@query("merge_vocab", f"WITH {MERGED_SQL} SELECT id, piece, stage, score FROM merged")
 def merge_vocab(spark, sf):
     docs = corpus(spark, sf)
 
@@ -76,6 +76,20 @@ def merge_vocab(spark, sf):
     return tok.merge_vocab(base, counts("fr"), listed, counts("es"))
 
 
+@query(
+    "encode_merged",
+    f"""WITH {MERGED_SQL}, w AS (SELECT doc_id, unnest({sql_tokens('text')}) AS piece FROM documents)
+SELECT doc_id, count(w.piece) AS n, coalesce(sum(coalesce(id, 0)) FILTER (w.piece IS NOT NULL), 0)::BIGINT AS id_sum, count(CASE WHEN stage > 0 THEN 1 END) AS n_added
+FROM documents LEFT JOIN w USING (doc_id) LEFT JOIN merged USING (piece) GROUP BY doc_id""",
+)
+def encode_merged(spark, sf):
+    merged = merge_vocab(spark, sf)
+    first_added = merged.where("stage > 0").select(F.min("id")).scalar()
+    ids = tok.encode_column(corpus(spark, sf).select("doc_id", "text"), "text", merged).withColumn("_first", first_added)
+    added = F.size(F.filter("ids", lambda i: i >= F.col("_first")))
+    return ids.select("doc_id", F.size("ids").cast("bigint").alias("n"), total(F.col("ids")).alias("id_sum"), added.cast("bigint").alias("n_added"))
+
+
 @query(
     "encode_tokens",
     f"""WITH {ENC_SQL} SELECT doc_id, len(ids)::INTEGER AS n, list_sum(ids)::BIGINT AS id_sum, array_to_string(ids, ' ') AS ids FROM docs""",

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -90,10 +94,80 @@ def fingerprint(content: Column) -> Column:
     return F.md5(F.substring(content, 1, MIB))
 
 
+def _heads(spark: SparkSession, path: str) -> DataFrame:
+    """``path, head``: the first MiB of every file below ``path``."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
+    return files.select("path", F.substring("content", 1, MIB).alias("head"))
+
+
 def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
     """Fingerprint of every file below ``path``."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select("path", fingerprint(F.col("content")).alias("fingerprint"))
+    return _heads(spark, path).select("path", fingerprint(F.col("head")).alias("fingerprint"))
+
+
+def set_fingerprint(heads: DataFrame, order: str, head: str) -> DataFrame:
+    """``fingerprint, n``: one MD5 over the first MiB of every row's content, joined in the order of ``order``.
+
+    A digest over a sequence is taken from front to back: the heads pass one task in order, one at a time.
+    """
+
+    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        md5, n = hashlib.md5(), 0
+        for b in batches:
+            for value in b.column(1):
+                md5.update(value.as_py() or b"")
+                n += 1
+        yield pa.RecordBatch.from_arrays([pa.array([md5.hexdigest()]), pa.array([n], pa.int64())], ["fingerprint", "n"])
+
+    rows = heads.select(order, F.substring(F.col(head).cast("binary"), 1, MIB).alias("_h"))
+    return rows.repartition(1).sortWithinPartitions(order).mapInArrow(digest, "fingerprint string, n bigint")
+
+
+def file_set_fingerprint(spark: SparkSession, path: str) -> DataFrame:
+    """The fingerprint of the files below ``path`` as a set in the order of their names."""
+    return set_fingerprint(_heads(spark, path), "path", "head")
+
+
+#: Marks of a text in Markdown that are not part of its words: heading signs, emphasis, quotes, list bullets, fences.
+MARKDOWN_MARKS = [r"(?m)^\s{0,3}#{1,6}\s+", r"(?m)^\s{0,3}>\s?", r"(?m)^\s*[-*+]\s+", r"(?m)^```.*$", r"\*\*|__|`"]
+LINKS = r"!?\[([^\]]*)\]\([^)]*\)"
+BLOCK_END = r"(?i)</?(?:p|div|br|li|ul|ol|tr|table|h[1-6]|section|article|blockquote|pre)\b[^>]*>"
+
+
+def markdown_text(text: Column) -> Column:
+    """Markdown without its marks; links keep their text."""
+    out = F.regexp_replace(text, LINKS, "$1")
+    for mark in MARKDOWN_MARKS:
+        out = F.regexp_replace(out, mark, "")
+    return out
+
+
+def numeric_references(text: Column) -> Column:
+    """``&#65;`` and ``&#x41;`` as the characters they name; numbers that name none stay."""
+    parts = F.regexp_extract_all(text, F.lit(r"(?s)&#x?[0-9A-Fa-f]{1,6};|[^&]+|&"), F.lit(0))
+
+    def char(p: Column) -> Column:
+        hexed = F.lower(F.substring(p, 3, 1)) == "x"
+        digits = F.regexp_replace(p, "^&#x?|;$", "")
+        code = F.when(hexed, F.conv(digits, 16, 10).cast("bigint")).otherwise(digits.try_cast("bigint"))
+        named = F.startswith(p, F.lit("&#")) & code.between(1, 0x10FFFF) & ~code.between(0xD800, 0xDFFF)
+        return F.when(named, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")).otherwise(p)
+
+    return F.array_join(F.transform(parts, char), "")
+
+
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """``path, text`` of every text, Markdown and HTML file below ``path``, one row per file, by its extension.
+
+    Lines are stripped and empty ones left out. Block tags of HTML end a line; character references are decoded.
+    """
+    reader = spark.read.option("wholetext", True).option("recursiveFileLookup", True)
+    raw = reader.option("pathGlobFilter", "*.{txt,md,html,htm}").text(path)
+    rows = raw.select(F.col("_metadata.file_path").alias("path"), "value")
+    page = numeric_references(html_text(F.regexp_replace("value", BLOCK_END, "\n$0")))
+    kind = F.lower(F.regexp_extract("path", r"\.([A-Za-z]+)$", 1))
+    text = F.when(kind == "md", markdown_text(F.col("value"))).when(kind == "txt", F.col("value")).otherwise(page)
+    return rows.select("path", document_lines(text).alias("text"))
 
 
 def normalize_eval(df: DataFrame, key: str, dataset: str) -> DataFrame:

@@ -160,6 +160,42 @@ def test_fingerprint_uses_the_first_mebibyte(spark):
     assert df.select(readers.fingerprint(F.col("b")).alias("f")).distinct().count() == 1
 
 
+def test_files_as_a_set_have_one_fingerprint(spark):
+    import hashlib
+
+    df = spark.createDataFrame([(2, b"b"), (1, b"a" * (readers.MIB + 5)), (3, None)], "k int, c binary").repartition(3)
+    want = hashlib.md5(b"a" * readers.MIB + b"b").hexdigest()
+    assert tuple(readers.set_fingerprint(df, "k", "c").first()) == (want, 3)
+
+
+def test_document_files_by_extension(spark):
+    from pathlib import Path
+
+    folder = Path(scratch_dir(spark, "docs").removeprefix("file:"))
+    folder.mkdir(parents=True)
+    (folder / "a.md").write_text("# Head\n\n* a [link](http://x) **bold**\n> said\n")
+    (folder / "b.html").write_text("<p>One &#65;&#x42; &amp; two</p><p>Three</p><script>x</script>&#9999999;")
+    (folder / "c.txt").write_text("  plain # text \n\n end")
+    got = {r["path"].rsplit("/", 1)[1]: r["text"] for r in readers.read_documents(spark, str(folder)).collect()}
+    assert got == {"a.md": "Head\na link bold\nsaid", "b.html": "One AB & two\nThree\n&#9999999;", "c.txt": "plain # text\nend"}
+
+
+def test_counters_of_a_watched_scan(spark):
+    from quern.operators import sampling
+
+    df, seen = sampling.watched(spark.range(100).repartition(3), F.col("id") % 4 == 0)
+    df.write.format("noop").mode("overwrite").save()
+    got = sampling.throughput(seen)
+    assert (got["scanned"], got["collected"], got["yield_pct"]) == (100, 25, 25.0) and got["rows_per_second"] > 0
+
+
+def test_summaries_of_other_runs_stay(spark):
+    path = scratch_dir(spark, "sum")
+    for m in ("m1", "m2", "m1"):
+        writers.write_summary(spark.createDataFrame([(m, "d", 2, 1, 50.0)], "model_label string, eval_dataset string, total long, correct long, accuracy double"), path)
+    assert sorted(r["model_label"] for r in spark.read.json(path).collect()) == ["m1", "m2"]
+
+
 def test_eval_names(spark):
     df = spark.createDataFrame([(1, "q", "#### 5")], "k bigint, problem string, groud_truth_solution string")
     assert tuple(readers.normalize_eval(df, "k", "d").first())[2:] == ("q", "#### 5", 5.0)
