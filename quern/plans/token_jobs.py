@@ -44,9 +44,23 @@ def build_vocab(spark, sf):
     return vocabulary(spark, sf)
 
 
-@query("train_bpe_merges")
+MERGES = 16
+
+
+def merges_sql(rounds: int) -> str:
+    """The rounds one after another, each over the words as the round before left them."""
+    parts = [COUNTS_SQL, "w0 AS MATERIALIZED (SELECT ' ' || array_to_string(string_split(piece, ''), '  ') || ' ' AS w, freq FROM counts)"]
+    for k in range(rounds):
+        parts.append(f"""b{k} AS MATERIALIZED (SELECT s[i] AS a, s[i + 1] AS b, sum(freq)::BIGINT AS n
+  FROM (SELECT freq, s, unnest(range(1, len(s))) AS i FROM (SELECT freq, string_split(trim(w, ' '), '  ') AS s FROM w{k})) GROUP BY ALL ORDER BY n DESC, a, b LIMIT 1)""")
+        parts.append(f"w{k + 1} AS MATERIALIZED (SELECT replace(w, ' ' || a || '  ' || b || ' ', ' ' || a || b || ' ') AS w, freq FROM w{k}, b{k})")
+    picks = " UNION ALL ".join(f"SELECT {k} AS round, a AS first, b AS second, n AS freq FROM b{k}" for k in range(rounds))
+    return f"WITH {', '.join(parts)} {picks}"
+
+
+@query("train_bpe_merges", merges_sql(MERGES))
 def train_bpe_merges(spark, sf):
-    return tok.train_bpe_merges(spark, tok.piece_counts(corpus(spark, sf)), 16)
+    return tok.train_bpe_merges(spark, tok.piece_counts(corpus(spark, sf)), MERGES)
 
 
 MERGED_SQL = f"""c AS (SELECT lang, piece, count(*) AS freq FROM (SELECT lang, unnest({sql_tokens('text')}) AS piece FROM documents) GROUP BY ALL),

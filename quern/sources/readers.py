@@ -161,8 +161,8 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
 
     Lines are stripped and empty ones left out. Block tags of HTML end a line; character references are decoded.
     """
-    reader = spark.read.option("wholetext", True).option("recursiveFileLookup", True)
-    raw = reader.option("pathGlobFilter", "*.{txt,md,html,htm}").text(path)
+    reader = spark.read.option("recursiveFileLookup", True).option("pathGlobFilter", "*.{txt,md,html,htm}")
+    raw = reader.text(path, wholetext=True)
     rows = raw.select(F.col("_metadata.file_path").alias("path"), "value")
     page = numeric_references(html_text(F.regexp_replace("value", BLOCK_END, "\n$0")))
     kind = F.lower(F.regexp_extract("path", r"\.([A-Za-z]+)$", 1))
