@@ -9,7 +9,7 @@ import sys
 import time
 
 HEADLINE = [
-    "web_math_to_chat", "validate_chat_jsonl", "dialog_pairs_sft", "chat_template_prompt", "react_flatten",
+    "web_math_to_chat", "cot_to_chat", "validate_chat_jsonl", "dialog_pairs_sft", "chat_template_prompt", "react_flatten",
     "preference_prompt", "seeded_shuffle", "split_head_percent", "mix_sources", "sample_until_quota",
     "build_vocab", "encode_tokens", "encode_sft", "pack_eos_blocks", "pad_batch", "length_percentiles",
     "chunk_overlap", "chunk_chinese", "bm25_index", "bm25_topk", "dense_topk", "rag_context_prompt",
