@@ -15,8 +15,9 @@ from pyspark.sql import functions as F
 
 from quern.session import shuffle_width
 
-BUCKET_ROWS = 100_000  # rows a bucket holds about, once a table has more than MIN_BUCKETS of them
-MIN_BUCKETS, MAX_BUCKETS = 64, 16_384  # the latter bounds the splitters of a numeric key, not the hash buckets
+BUCKET_ROWS = 100_000  # rows that a bucket of a large table holds about
+MAX_BUCKETS = 16_384  # splitters of a numeric key at most
+MIN_BUCKETS, PER_PARTITION = 64, 8  # hash buckets at least, and per shuffle partition of the session
 
 
 def hash_key(seed: int | str, *cols: Column) -> Column:
@@ -24,17 +25,20 @@ def hash_key(seed: int | str, *cols: Column) -> Column:
     return F.md5(F.concat_ws(":", F.lit(str(seed)), *[c.cast("string") for c in cols]))
 
 
-def hash_bucket(h: Column, rows: Column) -> Column:
-    """Bucket of a hex hash that keeps the order of the hashes; their number follows the number of rows."""
-    n = F.greatest(F.lit(MIN_BUCKETS), F.ceil(rows / F.lit(float(BUCKET_ROWS)))).cast("bigint")
-    return F.shiftright(F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") * n, 32)
+def hash_bucket(h: Column, buckets: int) -> Column:
+    """Bucket of a hex hash that keeps the order of the hashes."""
+    return F.shiftright(F.conv(F.substring(h, 1, 8), 16, 10).cast("bigint") * buckets, 32)
 
 
 def quantile_bounds(df: DataFrame, key: str, buckets: int | None = None) -> list[float]:
     """Splitters of a numeric key, in number after the rows, from one approximate-percentile aggregate."""
-    n = buckets or min(MAX_BUCKETS, max(4, 2 * shuffle_width(df.sparkSession), df.count() // BUCKET_ROWS))
+    n = buckets or min(MAX_BUCKETS, max(4, 2 * shuffle_width(df.sparkSession)))
     probs = [i / n for i in range(1, n)]
-    row = df.agg(F.percentile_approx(F.col(key).cast("double"), probs, 20 * n).alias("b")).first()
+    splitters = F.percentile_approx(F.col(key).cast("double"), probs, 20 * n)
+    row = df.agg(splitters.alias("b"), F.count(F.lit(1)).alias("n")).first()
+    wanted = min(MAX_BUCKETS, row["n"] // BUCKET_ROWS)
+    if buckets is None and wanted > n:
+        return quantile_bounds(df, key, wanted)
     return sorted(set(row["b"] or []))
 
 
@@ -50,7 +54,8 @@ def with_bucket(df: DataFrame, key: str, bounds: Sequence[float], name: str = "_
 def _bucketed(df: DataFrame, key: str, by: Sequence[str], hashed: bool, bounds_from: DataFrame | None) -> DataFrame:
     """Rows with bucket ``_b`` and group ``_g`` (a struct, so that a null group is a group like any other)."""
     if hashed:
-        rows = df.withColumn("_b", F.coalesce(hash_bucket(F.col(key), df.select(F.count(F.lit(1))).scalar()), F.lit(-1)))
+        n = max(MIN_BUCKETS, PER_PARTITION * shuffle_width(df.sparkSession))
+        rows = df.withColumn("_b", F.coalesce(hash_bucket(F.col(key), n), F.lit(-1)))
     else:
         rows = with_bucket(df, key, quantile_bounds(bounds_from if bounds_from is not None else df, key))
     return rows.withColumn("_g", F.struct(*by)) if by else rows

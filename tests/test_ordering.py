@@ -87,7 +87,7 @@ def test_null_keys_come_first_and_keep_positions_gapless(spark):
 def test_positions_do_not_depend_on_the_number_of_buckets(skewed, monkeypatch):
     _, df = skewed
     once = {r["k"]: r["shuffle_pos"] for r in sampling.seeded_shuffle(df, "k").collect()}
-    monkeypatch.setattr(ordering, "BUCKET_ROWS", 7)
+    monkeypatch.setattr(ordering, "MIN_BUCKETS", 5000)
     assert once == {r["k"]: r["shuffle_pos"] for r in sampling.seeded_shuffle(df, "k").collect()}
 
 
