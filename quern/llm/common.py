@@ -73,6 +73,14 @@ def size_level(size: Column) -> Column:
     return bits * 16 + F.call_function("shiftright", size, F.greatest(bits - 4, F.lit(0))).cast("int")
 
 
+def chosen_share(n: int, wanted: int, *by: str) -> Column:
+    """Whether a row is among those that a hash of ``by`` chooses: all of up to four times ``wanted``, else about
+    twice as many as wanted. Equal keys are chosen or left together."""
+    if n <= 4 * wanted:
+        return F.lit(True)
+    return F.pmod(F.xxhash64(F.lit("chosen"), *by), F.lit(1 << 40)) < int((1 << 40) * 2 * wanted / n)
+
+
 def key_of(col: str) -> Column:
     """A never-null key: nulls get one of their own."""
     c = F.col(col).cast("string")

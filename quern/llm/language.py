@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import or_
+
 import numpy as np
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.llm.common import map_rows, replaced
+from quern.llm.common import chosen_share, map_rows, replaced
 
 #: Bytes that a pass of the network sees together; positions are labelled within their stretch.
 STRETCH = 64
@@ -129,14 +132,18 @@ def stretches(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarr
 def training_rows(docs: DataFrame, learned) -> tuple[list[str], list[str]]:
     """Texts and languages to learn from: per language the first documents by the hash of their id.
 
-    The limit is applied in each task before rows are shuffled, so a language of any size costs ``MAX_PER_LANG`` rows
-    per task.
+    Languages are counted; a hash of the id then chooses about twice the documents wanted of each, wherever they lie,
+    so what is shuffled does not grow with the table. Rows that repeat an id count once.
     """
     some = docs.filter(learned & F.col("lang").isNotNull() & (F.octet_length("text") > 0)).select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-    langs = [r["lang"] for r in some.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MAX_LANGS).collect()]
+    counts = some.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MAX_LANGS).collect()
+    if not counts:
+        return [], []
+    picks = [(F.col("lang") == r["lang"]) & chosen_share(r["count"], MAX_PER_LANG, "doc_id") for r in counts]
+    few = some.filter(reduce(or_, picks)).dropDuplicates(["lang", "doc_id"])
     w = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
-    rows = some.filter(F.col("lang").isin(langs)).withColumn("_q_n", F.row_number().over(w)).filter(F.col("_q_n") <= MAX_PER_LANG)
-    got = rows.select("lang", "_q_n", F.col("text")).collect() if langs else []
+    rows = few.withColumn("_q_n", F.row_number().over(w)).filter(F.col("_q_n") <= MAX_PER_LANG)
+    got = rows.select("lang", "_q_n", F.col("text")).collect()
     got.sort(key=lambda r: (r["lang"], r["_q_n"]))
     return [r["text"] for r in got], [r["lang"] for r in got]
 
