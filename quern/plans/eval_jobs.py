@@ -328,13 +328,14 @@ def resume_eval(spark, sf):
     return scoring.accuracy_summary(scoring.resume_scoring(samples, said, spark.read.parquet(path)))
 
 
-@query("sink_summary", f"WITH {SCORED_SQL} SELECT * FROM summary")
+@query("sink_summary", f"WITH {SCORED_SQL} SELECT *, 'base' AS base_model, CASE WHEN model_label <> 'base' THEN model_label END AS lora_model FROM summary")
 def sink_summary(spark, sf):
     path = scratch_dir(spark, "summary")
-    summary = scoring.accuracy_summary(scored(spark, sf))
+    adapter = F.when(F.col("model_label") != "base", F.col("model_label"))
+    summary = writers.run_identity(scoring.accuracy_summary(scored(spark, sf)), F.lit("base"), adapter)
     for run in (F.col("model_label") == "base", F.col("model_label") != "base"):  # one run after another
         writers.write_summary(summary.where(run), path)
-    schema = "total bigint, correct bigint, accuracy double, model_label string, eval_dataset string"
+    schema = "total bigint, correct bigint, accuracy double, base_model string, lora_model string, model_label string, eval_dataset string"
     return spark.read.schema(schema).json(path)
 
 
@@ -443,6 +444,11 @@ def stream_tokenise(spark, sf):
     return out.select("doc_id", F.size("input_ids").alias("n"), tj.total(F.col("input_ids")).alias("id_sum"))
 
 
+@query("stream_pack", tj.PACKED_SQL)
+def stream_pack(spark, sf):
+    return tj.block_digests(jobs.stream_pack(spark, sf, tj.vocabulary(spark, sf), 256, 100))
+
+
 @query("stream_resume_scoring", f"WITH {SCORED_SQL} SELECT * FROM summary")
 def stream_resume_scoring(spark, sf):
     path = scratch_dir(spark, "predictions")

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from quern.functions.text import tokens
+from quern.functions.text import nfkc, tokens
 from quern.operators import filters
 from quern.operators import tokens as tok
 from quern.operators.ordering import dense_index
@@ -166,6 +166,23 @@ def filter_all_ignored(spark, sf):
     return sft_rows(spark, sf).withColumn("labels", hidden).where(filters.has_label(F.col("labels"))).select("conv_id")
 
 
+@query(
+    "encode_byte_fallback",
+    f"""WITH {COUNTS_SQL}, vocab AS (SELECT (row_number() OVER (ORDER BY freq DESC, piece) + 259)::INTEGER AS id, piece FROM counts ORDER BY freq DESC, piece LIMIT 500),
+w AS (SELECT doc_id, unnest({sql_tokens('text')}) AS piece FROM documents),
+e AS (SELECT doc_id, CASE WHEN id IS NULL THEN octet_length(encode(piece)) ELSE 1 END AS n,
+  coalesce(id, list_sum(list_transform(range(octet_length(encode(piece))), lambda i: CAST('0x' || substr(hex(encode(piece)), CAST(2 * i + 1 AS INT), 2) AS BIGINT) + 4))) AS s
+  FROM w LEFT JOIN vocab USING (piece))
+SELECT doc_id, coalesce(sum(n), 0)::BIGINT AS n, coalesce(sum(s), 0)::BIGINT AS id_sum FROM documents LEFT JOIN e USING (doc_id) GROUP BY doc_id""",
+)
+def encode_byte_fallback(spark, sf):
+    """A small vocabulary over texts in compatibility form; tokens outside it become bytes."""
+    docs = corpus(spark, sf).select("doc_id", nfkc(F.col("text")).alias("text"))
+    vocab = tok.build_vocab(tok.piece_counts(corpus(spark, sf), normalize=True), 500, byte_fallback=True)
+    rows = docs.withColumn("_table", tok.lookup_table(vocab)).select("doc_id", tok.encode_or_bytes(tokens(F.col("text")), F.col("_table")).alias("ids"))
+    return rows.select("doc_id", F.size("ids").cast("bigint").alias("n"), total(F.col("ids")).alias("id_sum"))
+
+
 @query(
     "encode_fixed_pad",
     f"""WITH {ENC_SQL}, c AS (SELECT doc_id, ids[:128] AS c FROM docs),
@@ -189,13 +206,18 @@ off AS (SELECT grp, id, row_number() OVER (PARTITION BY grp ORDER BY idx, pos) -
 blk AS (SELECT grp, o // {block} AS block, list(id ORDER BY o) AS ids FROM off WHERE (o // {block} + 1) * {block} <= total OR total < {block} GROUP BY ALL)"""
 
 
-@query(
-    "pack_eos_blocks",
+PACKED_SQL = (
     "WITH " + pack_sql("SELECT idx // 100 AS grp, idx, list_append(ids, 2) AS ids FROM docs", 256)
-    + " SELECT grp AS pack_group, block, len(ids)::INTEGER AS n, list_sum(ids)::BIGINT AS id_sum, md5(array_to_string(ids, ' ')) AS digest FROM blk",
+    + " SELECT grp AS pack_group, block, len(ids)::INTEGER AS n, list_sum(ids)::BIGINT AS id_sum, md5(array_to_string(ids, ' ')) AS digest FROM blk"
 )
+
+
+@query("pack_eos_blocks", PACKED_SQL)
 def pack_eos_blocks(spark, sf):
-    blocks = tok.pack_eos_blocks(tok.pack_groups(encoded(spark, sf), "doc_id", 100), "ids", 256)
+    return block_digests(tok.pack_eos_blocks(tok.pack_groups(encoded(spark, sf), "doc_id", 100), "ids", 256))
+
+
+def block_digests(blocks):
     return blocks.select(
         "pack_group", "block", F.size("input_ids").alias("n"), total(F.col("input_ids")).alias("id_sum"),
         F.md5(F.array_join("input_ids", " ")).alias("digest"),
