@@ -59,6 +59,13 @@ def map_rows(
     return base.mapInArrow(run, schema)
 
 
+def keeping(df: DataFrame, names: Sequence[str], apply: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``apply(df)`` with just the columns of ``df``; its own columns called ``names`` are put aside meanwhile."""
+    own = {c for c in df.columns if c.lower() in {n.lower() for n in names}}
+    out = apply(df.withColumnsRenamed({c: f"_q_own_{c}" for c in own}))
+    return out.select(*(F.col(f"_q_own_{c}").alias(c) if c in own else F.col(c) for c in df.columns))
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` as a table in the shared scratch folder: it is computed once and survives lost executors."""
     spark = df.sparkSession

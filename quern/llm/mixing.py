@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.llm.common import key_of, lookup_join, replaced, running_totals, size_level, written
+from quern.llm.common import keeping, key_of, lookup_join, replaced, running_totals, size_level, written
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Weights of the sources in the order of their names, repeating.
@@ -16,6 +16,7 @@ WEIGHTS = (5, 2, 1)
 #: No source gives more than this many times its own size.
 MAX_COPIES = 3
 SEED = 42
+ADDED = ("size", "source_size", "target", "copies", "taken")
 
 
 def word_count(text: str = "text") -> Column:
@@ -67,8 +68,7 @@ def mix_sources(
     so reruns agree on any partitioning. Columns read: ``doc_id, text, source``; null sources form a source of their
     own, named last; a null text has size 0; equal rows are documents of their own. An empty table stays empty.
     """
-    names = ["size", "source_size", "target", "copies", "taken"]
-    base = replaced(docs, names).withColumn("size", word_count()).withColumn("_q_src", key_of("source"))
+    base = replaced(docs, ADDED).withColumn("size", word_count()).withColumn("_q_src", key_of("source"))
     totals = base.groupBy("_q_src").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"))
     targets = written(source_targets(totals, weights, max_copies).drop("source"), "targets")
     tie = F.concat(
@@ -89,6 +89,11 @@ def emit_copies(mixed: DataFrame) -> DataFrame:
     return mixed.filter("copies > 0").withColumn("_q_copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).drop("_q_copy")
 
 
+def mixed_documents(docs: DataFrame) -> DataFrame:
+    """The mix of a table as rows of its own columns."""
+    return keeping(docs, ADDED, lambda d: emit_copies(mix_sources(d)))
+
+
 ORACLE = rf"""
 WITH sized AS (
   SELECT doc_id, source, CASE WHEN source IS NULL THEN 'n' ELSE 'v' || source END AS src,

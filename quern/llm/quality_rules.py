@@ -7,7 +7,7 @@ from collections import Counter
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import key_of, lookup_join, map_rows, replaced, written
+from quern.llm.common import keeping, key_of, lookup_join, map_rows, replaced, written
 from quern.llm.sketches import merge, quantiles, sketch
 
 SPACES = b" \t\n\x0b\x0c\r"
@@ -141,5 +141,6 @@ def quality_rules(docs: DataFrame) -> DataFrame:
 
 
 def kept_documents(docs: DataFrame) -> DataFrame:
-    """The documents that the rules keep, with their own columns."""
-    return quality_rules(docs).filter("kept").select(*docs.columns)
+    """The documents that the rules keep, with their own columns, also those called as the rules' ones."""
+    added = [c.split()[0] for c in f"{COUNTS}, {MORE}".split(", ")] + [*METRICS, "base_failed", "failed_rules", "kept"]
+    return keeping(docs, added, lambda d: quality_rules(d).filter("kept"))

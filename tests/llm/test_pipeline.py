@@ -1,5 +1,7 @@
 """The pipeline's stages one after another, against what each operator says of its own input."""
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from quern.llm import mixing, pii, quality_rules, simhash
 from quern.llm.common import written
@@ -29,6 +31,21 @@ def test_stages_take_effect_and_hand_on_whole_documents(spark):
     assert ids(mixed) == want == ids(pieces)
 
 
+def test_stages_of_odd_rows_with_clashing_columns(spark):
+    words = " ".join(f"word{i} other{i * 7}" for i in range(60))
+    rows = [(1, words, "en", "s", 9), (1, words, "en", "s", 9), (None, words + " more here", None, None, None), (3, None, None, "s", None), (4, "", "en", None, 0),
+            (5, " ".join(f"x{i}" for i in range(90_000)), "en", "s", 9)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    extra = {c: F.concat(F.lit(c), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))) for c in ("kept", "size", "copies", "fingerprint", "n_words", "spans", "ids", "shard", "pii_spans")}
+    given = written(df.withColumns(extra), "odd")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = written(stage(spark, given, SF), name)
+        assert out.dtypes == given.dtypes
+        assert all(r["kept"] == f"kept{'-' if r['doc_id'] is None else r['doc_id']}" for r in out.collect())
+        given = out
+    assert corpus_pipeline.STAGES[-1][1](spark, given, SF).count() == given.count() > 0
+
+
 def test_run_equals_its_stages_and_takes_an_empty_table(spark):
     from quern.session import scratch_dir
 
