@@ -10,7 +10,6 @@ from pyspark.sql import functions as F
 from quern.functions import answers
 from quern.functions.text import tokens
 from quern.operators.filters import IGNORE
-from quern.operators.tokens import encode, lookup_table
 
 RUN = ["model_label", "eval_dataset"]
 
@@ -116,35 +115,29 @@ def pair_perplexity(loss: Column, seq_len: Column, target_chars: Column) -> Colu
 
 
 HEAVY_SHARE = 1 / 65_536
-SALTS = 8
 
 
 def unigram_perplexity(docs: DataFrame, key: str, text: str) -> DataFrame:
     """``n_tokens, nll, perplexity`` of every document under the corpus's own unigram model with add-one smoothing.
 
-    Words that make up at least ``HEAVY_SHARE`` of the corpus number at most 65 536, so they are priced in place by a
-    lookup table. Only the rarer words leave their row, once per document with their number, and are salted, so that
-    none weighs on one task. Documents without words stay, with no perplexity. Keys are unique.
+    Words that make up at least ``HEAVY_SHARE`` of the corpus number at most 65 536, so they are priced by a broadcast
+    join and added up where they are. Only the rarer ones are shuffled, counted per document first, so that none is more
+    than a small part of what a task reads. Documents without words stay, with no perplexity. Keys are unique.
     """
-    rows = docs.select(key, tokens(F.col(text)).alias("t"))
-    counts = rows.select(F.explode("t").alias("piece")).groupBy("piece").agg(F.count(F.lit(1)).alias("c"))
+    words = docs.select(key, F.explode(tokens(F.col(text))).alias("piece"))
+    counts = words.groupBy("piece").agg(F.count(F.lit(1)).alias("c"))
     sizes = counts.select(F.struct(F.sum("c").alias("total"), F.count(F.lit(1)).alias("kinds"))).scalar()
     nll = -F.log((F.col("c") + 1) / (sizes["total"] + sizes["kinds"]))
     heavy = F.col("c") >= sizes["total"] * F.lit(HEAVY_SHARE)
-    table = lookup_table(counts.where(heavy).select("piece", nll.alias("id")), kind="double")
-    priced = F.transform("t", lambda t: F.struct(t.alias("t"), encode(F.array(t), F.col("_table"), unknown=-1.0)[0].alias("p")))
-    found = rows.withColumn("_table", table).select(key, priced.alias("w"))
-    mine = F.aggregate("w", F.lit(0.0), lambda a, x: a + F.greatest(x["p"], F.lit(0.0)))
-    rest = F.transform(F.filter("w", lambda x: x["p"] < 0), lambda x: x["t"])
-    found = found.select(key, F.coalesce(F.size("w"), F.lit(0)).alias("n_tokens"), mine.alias("_sum"), rest.alias("_rare"))
-    salted = F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int").alias("_salt")
-    rare = found.select(key, salted, F.explode("_rare").alias("piece"))
-    rare = rare.groupBy(key, "_salt", "piece").agg(F.count(F.lit(1)).alias("n"))
-    light = counts.where(~heavy).select("piece", nll.alias("nll"), F.explode(F.array(*map(F.lit, range(SALTS)))).alias("_salt"))
-    sums = rare.join(light, ["piece", "_salt"]).groupBy(key).agg(F.sum(F.col("n") * F.col("nll")).alias("_more"))
-    whole = found.drop("_rare").join(sums, key, "left").withColumn("_all", F.col("_sum") + F.coalesce("_more", F.lit(0.0)))
-    out = whole.select(key, F.greatest("n_tokens", F.lit(0)).cast("bigint").alias("n_tokens"), F.try_divide("_all", "n_tokens").alias("nll"))
-    return out.withColumn("nll", F.when(F.col("n_tokens") > 0, F.col("nll"))).withColumn("perplexity", F.exp("nll"))
+    held = words.join(F.broadcast(counts.where(heavy).select("piece", nll.alias("nll"))), "piece", "left")
+    rare = F.when(F.col("nll").isNull(), F.col("piece"))
+    held = held.select(key, rare.alias("rare"), "nll").groupBy(key, "rare").agg(F.count(F.lit(1)).alias("n"), F.sum("nll").alias("s"))
+    light = counts.where(~heavy).select(F.col("piece").alias("rare"), nll.alias("nll"))
+    others = held.where(F.col("rare").isNotNull()).select(key, "rare", "n").join(light, "rare")
+    sums = held.where(F.col("rare").isNull()).select(key, "n", "s").unionByName(others.select(key, "n", (F.col("n") * F.col("nll")).alias("s")))
+    scored = sums.groupBy(key).agg(F.sum("n").alias("n_tokens"), (F.sum("s") / F.sum("n")).alias("nll"))
+    out = docs.select(key).join(scored, key, "left").withColumn("n_tokens", F.coalesce("n_tokens", F.lit(0)))
+    return out.withColumn("perplexity", F.exp("nll"))
 
 
 def usage(df: DataFrame, key: str, role: str, text: str) -> DataFrame:
