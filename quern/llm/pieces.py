@@ -214,10 +214,9 @@ class PieceModel:
             best = rank.argmin(axis=1)
             each = np.arange(len(order))
             done = rank[each, best] == NONE
-            for i in np.flatnonzero(done):
-                row = rows[i]
-                out[order[i]] = row[row >= 0]
             if done.any():
+                for i, ids in zip(order[done].tolist(), self.rows_bytes(rows[done]), strict=True):
+                    out[i] = ids
                 go = ~done
                 order, rows, pair, best = order[go], rows[go], pair[go], best[go]
                 each = each[: len(order)]
@@ -231,11 +230,17 @@ class PieceModel:
             pair[each, best] = self.pair_at(rows[each, best], rows[each, best + 1])
             left = np.flatnonzero(best > 0)
             pair[left, best[left] - 1] = self.pair_at(rows[left, best[left] - 1], rows[left, best[left]])
-        plain = len(self.kind)
-        return [
-            (x if x.max() < plain else np.array([i for y in x.tolist() for i in self.symbol_ids(y)])).astype("<u4").tobytes()
-            for x in out
-        ]
+        return out
+
+    def rows_bytes(self, rows: np.ndarray) -> list[bytes]:
+        """The ids of finished rows, little-endian."""
+        real = rows >= 0
+        ends = (np.cumsum(real.sum(axis=1)) * 4).tolist()
+        flat = rows[real].astype("<u4").tobytes()
+        out = [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+        for i in np.flatnonzero(rows.max(axis=1) >= len(self.kind)):
+            out[i] = np.array([x for y in rows[i][real[i]].tolist() for x in self.symbol_ids(y)], "<u4").tobytes()
+        return out
 
     def symbol(self, char: str) -> int:
         """The id of a character's piece, or a number of its own above all ids."""
