@@ -98,10 +98,12 @@ def located(spark: SparkSession, path: str) -> tuple[DataFrame, int]:
     ranked = written(ranked, "files")  # a row per file
     n_files = ranked.count()
     n_old = max(1, min(MAX_OLD, n_files))
-    old = F.floor(F.col("_q_n").cast("long") * n_old / F.lit(max(1, n_files))).cast("int")
-    files = ranked.select("_q_file", old.alias("old_shard"))
+    run = lambda n: F.floor(n.cast("long") * n_old / F.lit(max(1, n_files)))
+    first = (F.col("_q_n") == 0) | (run(F.col("_q_n")) > run(F.col("_q_n") - 1))
+    starts = sorted(r["_q_file"] for r in ranked.filter(first).select("_q_file").collect())  # a name per old shard
+    old = F.size(F.filter(F.array(*map(F.lit, starts)), lambda s: s <= F.col("_q_file"))) - 1 if starts else F.lit(0)
     size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + ROW_BYTES
-    out = place.join(F.broadcast(files), "_q_file").withColumn("size", size)
+    out = place.withColumns({"old_shard": old.cast("int"), "size": size})
     return out.withColumn("_q_tie", F.md5(F.concat_ws(":", "_q_file", "_q_row"))).drop("_q_file", "_q_row"), n_old
 
 
@@ -162,8 +164,8 @@ def reshard_plan(docs: DataFrame, n_old: int, n_new: int, cost: Callable[[int, i
 def with_slots(placed: DataFrame, n_new: int) -> DataFrame:
     """Add ``slot``: rows of a shard are numbered from 0 without gaps.
 
-    A shard is cut into slices by the rows' digests; the counts of slices, shards times slices in number, give each
-    slice its first slot, and slices are numbered where they are written.
+    A shard is cut into slices by the rows' digests; the counts of slices give each slice its first slot, joined by the
+    slices that rows are numbered in, so rows are shuffled once.
     """
     total = placed.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     slices = max(4, -(-total // (n_new * FILE_BYTES)))
@@ -174,7 +176,7 @@ def with_slots(placed: DataFrame, n_new: int) -> DataFrame:
     starts = counts.select("shard", "_q_slice", F.coalesce(F.sum("_q_n").over(before), F.lit(0)).alias("_q_first"))
     starts = written(starts, "slots")
     within = Window.partitionBy("shard", "_q_slice").orderBy("_q_tie")
-    out = sliced.withColumn("_q_at", F.row_number().over(within) - 1).join(F.broadcast(starts), ["shard", "_q_slice"])
+    out = sliced.withColumn("_q_at", F.row_number().over(within) - 1).join(starts.hint("merge"), ["shard", "_q_slice"])
     return out.withColumn("slot", F.col("_q_first") + F.col("_q_at")).drop("_q_first", "_q_at", "_q_slice")
 
 
