@@ -16,14 +16,16 @@ UPPER = bytes(range(65, 91))
 COUNTS = "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 MORE = "n_lines long, n_upper long, n_letters long, n_distinct long"
 
-#: metric -> (lower fence?, upper fence?, slack). A value is out beyond the quartile by FENCE quartile distances and
-#: by the slack at least, so that groups without any spread reject nothing ordinary.
+#: metric -> (lower fence?, upper fence?, inner quantile, outer quantile, least distance). A value is out beyond the
+#: quantiles of its group by FENCE times the distance between them. Shares that are 0 in most documents have no quartile
+#: distance, so theirs is taken further out. The least distance, about what one stray sign or line makes in a short text,
+#: counts only where a group has next to no spread.
 METRICS = {
-    "word_length": (True, True, 3.0),
-    "symbols_per_word": (False, True, 0.2),
-    "dup_line_share": (False, True, 0.4),
-    "repeat_share": (False, True, 0.45),
-    "upper_share": (False, True, 0.4),
+    "word_length": (True, True, 0.25, 0.75, 0.25),
+    "symbols_per_word": (False, True, 0.5, 0.875, 0.05),
+    "dup_line_share": (False, True, 0.5, 0.875, 0.1),
+    "repeat_share": (False, True, 0.5, 0.875, 0.05),
+    "upper_share": (False, True, 0.25, 0.75, 0.02),
 }
 FENCE = 4.0
 #: Groups with fewer documents take the thresholds of their language, and languages those of all documents.
@@ -41,7 +43,7 @@ def count_text(text: str | None) -> tuple[int, ...]:
     lines = [x for x in raw.split(b"\n") if x.strip()]
     size = len(raw)
     upper = size - len(raw.translate(None, UPPER))
-    letters = sum(map(str.isalpha, text)) if upper * 4 > n else 0
+    letters = sum(map(str.isalpha, text))
     return (
         n,
         len(text) - (size - len(raw.translate(None, SPACES))),
@@ -84,19 +86,21 @@ def with_counts(docs: DataFrame) -> DataFrame:
 
 def thresholds(sketches: DataFrame, group: list[str]) -> DataFrame:
     """``group…, docs`` and the fences of every metric (``lo_…``, ``hi_…``), one row per group."""
-    q = quantiles(sketches, group, {"q1": 0.25, "q3": 0.75})
-    fence = F.col("q3") - F.col("q1")
-    q = q.withColumns({"lo": F.col("q1") - F.greatest(fence * FENCE, slack()), "hi": F.col("q3") + F.greatest(fence * FENCE, slack())})
+    q = quantiles(sketches, group, {f"q{p}": p for p in sorted({p for *_, a, b, _ in METRICS.values() for p in (a, b)})})
+    low, high = (of_metric(lambda m, k=k: F.col(f"`q{METRICS[m][k]}`")) for k in (2, 3))
+    beyond = F.greatest((high - low) * FENCE, of_metric(lambda m: F.lit(METRICS[m][4])))
+    q = q.withColumns({"lo": low - beyond, "hi": high + beyond})
     pick = lambda m, c: F.max(F.when(F.col("metric") == m, F.col(c)))
     return q.groupBy(*group).agg(
         F.max("n").alias("docs"), *(pick(m, c).alias(f"{c}_{m}") for m in METRICS for c in ("lo", "hi"))
     )
 
 
-def slack():
-    out = F.lit(0.0)
-    for m, (_, _, s) in METRICS.items():
-        out = F.when(F.col("metric") == m, F.lit(s)).otherwise(out)
+def of_metric(value):
+    """``value(m)`` in the rows of metric ``m``."""
+    out = F.lit(None).cast("double")
+    for m in METRICS:
+        out = F.when(F.col("metric") == m, value(m)).otherwise(out)
     return out
 
 
@@ -128,7 +132,7 @@ def quality_rules(docs: DataFrame) -> DataFrame:
     counted = written(with_counts(base), "counted")
     out = lookup_join(counted, rule_thresholds(counted), ["_q_lang", "_q_source"])
     out_of = []
-    for m, (lower, upper, _) in METRICS.items():
+    for m, (lower, upper, *_) in METRICS.items():
         bad = F.lit(False)
         if lower:
             bad = bad | (F.col(m) < F.col(f"lo_{m}"))

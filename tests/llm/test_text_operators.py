@@ -293,6 +293,42 @@ def test_thresholds_follow_each_group_and_merge(spark):
     assert quality_rules.quality_rules(clash.limit(0)).count() == 0
 
 
+def test_every_fence_follows_the_sketches_of_its_group(spark):
+    rng = random.Random(10)
+    word = lambda: "".join(rng.choices("abcdefgh", k=8))
+    plain = lambda n=60: [word() for _ in range(n)]
+
+    def signs(k):
+        return " ".join(plain()[k:] + ["#"] * k)
+
+    def lines(k):
+        return "\n".join([" ".join(plain(6)) for _ in range(20 - k)] + [word()] * (k + 1))
+
+    def capitals(k):
+        return " ".join(w.upper() if i < k else w for i, w in enumerate(plain()))
+
+    def again(k):
+        w = plain(100)
+        return " ".join(w + w[:k])
+
+    make = {"symbols_per_word": (signs, 6, 20), "dup_line_share": (lines, 3, 7), "repeat_share": (again, 8, 20), "upper_share": (capitals, 6, 30)}
+    rows, want = [], {}
+    for m, (text, some, much) in make.items():
+        for i in range(120):  # one group without any, another where a third of the documents has some
+            rows += [(len(rows), text(0), "en", f"{m} none", 1), (len(rows) + 1, text(some * (i % 3 == 0)), "en", f"{m} some", 1)]
+        for group, k, out in (("none", some, [m]), ("some", some, []), ("none", much, [m])):
+            want[len(rows)] = out
+            rows.append((len(rows), text(k), "en", f"{m} {group}", 1))
+    got = {r["doc_id"]: r for r in quality_rules.quality_rules(spark.createDataFrame(rows, DOCS)).collect()}
+    for i, out in want.items():
+        assert [x for x in got[i]["failed_rules"] if x == rows[i][3].split()[0]] == out, (rows[i][3], got[i])
+    assert all(got[i]["kept"] for i in got if i not in want)
+
+
+def test_letters_are_counted_in_every_text():
+    assert quality_rules.count_text("Ab cdé 12")[6:8] == (1, 5)
+
+
 def test_sketch_quantiles_are_near_and_do_not_depend_on_partitions(spark):
     from quern.llm.sketches import merge, quantiles, sketch
 
