@@ -150,6 +150,21 @@ def test_checksums_and_context():
     assert pii.redact(None) is None and pii.redact("") == "" and pii.redact("clean") == "clean"
 
 
+def test_account_numbers_end_where_their_country_says():
+    de, gb = "DE89 3704 0044 0532 0130 00", "GB82WEST12345698765432"
+    for number in (de, de.replace(" ", ""), gb):
+        for behind in ("", ".", " BIC COBADEFFXXX", " EUR 500", " 500", " A", f" {gb} X", "\n12"):
+            text = f"IBAN {number}{behind}"
+            assert (5, 4, 5 + len(number)) in [x[:3] for x in pii.spans_of(text)], text
+            assert number not in pii.redact(text)
+    assert pii.redact(f"IBAN {de} {gb} {de} BIC") == "IBAN [IBAN] [IBAN] [IBAN] BIC"
+    assert pii.redact(f"AB12 {de} EUR") == "AB12 [IBAN] EUR"
+    odd = "XX" + next(f"{k:02}" for k in range(2, 99) if pii.mod97(f"XX{k:02}ABCD12345678901")) + "ABCD12345678901"
+    assert pii.redact(f"account {odd} now") == "account [IBAN] now"
+    for text in (f"{de}1", f"{gb}x", f"x{gb}", de[:-1] + "1 EUR 500", de[:-3] + " EUR 500"):
+        assert not any(x[1] == 4 for x in pii.spans_of(text)), text
+
+
 def test_personal_data_on_tables(spark):
     df = docs_of(spark, [None, "", "a@b.co", "a@b.co"]).withColumn("pii_spans", F.lit(1))
     got = pii.find_personal_data(df).orderBy("doc_id").collect()
