@@ -16,6 +16,7 @@ RESERVED, BYTES = 4, 256
 VOCAB_SIZE = 2236
 
 MAX_LOOKUP = 200_000  # largest vocabulary that is shipped to every task
+HOT_SHARE = 1 / 65_536  # pieces above this share of the tokens are hot, so there are at most 65 536
 
 
 # ---------------------------------------------------------------- vocabularies
@@ -185,6 +186,35 @@ def encode_column(df: DataFrame, text: str, vocab: DataFrame, name: str = "ids")
     return encode_columns(df, {name: text}, vocab)
 
 
+def encode_joined(df: DataFrame, key: str, text: str, vocab: DataFrame, name: str = "ids") -> DataFrame:
+    """Add the id array of a text column under a vocabulary of any size. Keys are unique and not null.
+
+    Hot pieces (``HOT_SHARE``) are looked up in place. The others meet the vocabulary by a shuffle on the piece, where
+    none is more than a small part of the tokens, and are put back at their places per document. Null texts stay null.
+    """
+    ensure_checkpoint_dir(df.sparkSession)
+    entries = vocab.select("piece", F.col("id").cast("int").alias("id"))
+    counts = piece_counts(df, text)
+    heavy = counts.where(F.col("freq") >= counts.select(F.sum("freq")).scalar() * F.lit(HOT_SHARE)).select("piece")
+    hot = heavy.join(entries, "piece", "left").select("piece", F.coalesce("id", F.lit(UNK)).alias("id")).checkpoint()
+    met = df.withColumn("_t", tokens(F.col(text))).withColumn("_table", lookup_table(hot))
+    met = met.withColumn("_h", encode(F.col("_t"), F.col("_table"), unknown=-1)).drop("_table")
+    here = F.transform("_h", lambda h, i: F.struct(i.alias("pos"), h.alias("id")))
+    known = F.filter(here, lambda x: x["id"] >= 0)
+    left = F.filter(
+        F.zip_with(here, "_t", lambda x, t: F.struct(x["pos"].alias("pos"), x["id"].alias("id"), t.alias("piece"))),
+        lambda x: x["id"] < 0,
+    )
+    rare = met.select(key, F.explode(left).alias("x")).select(key, "x.pos", "x.piece")
+    found = rare.join(entries.hint("merge"), "piece", "left")
+    place = F.struct("pos", F.coalesce("id", F.lit(UNK)).alias("id"))
+    back = found.groupBy(key).agg(F.collect_list(place).alias("_r"))
+    none = F.array().cast("array<struct<pos:int,id:int>>")
+    every = F.array_sort(F.concat(known, F.coalesce("_r", none)))
+    ids = F.transform(every, lambda x: x["id"]).alias(name)
+    return met.join(back.hint("merge"), key, "left").select(*df.columns, ids)
+
+
 def encode_dialogs(
     pairs: DataFrame, source_ids: str, target_ids: str, max_length: int, train_on_inputs: bool = False
 ) -> DataFrame:

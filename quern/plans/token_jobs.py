@@ -11,6 +11,7 @@ from quern.operators.ordering import dense_index
 from quern.plans.dialogs import RENDERED_SQL, rendered_dialogs
 from quern.plans.fixtures import sql_tokens
 from quern.plans.registry import query, spread_table
+from quern.session import ensure_checkpoint_dir
 
 COUNTS_SQL = f"counts AS (SELECT piece, count(*) AS freq FROM (SELECT unnest({sql_tokens('text')}) AS piece FROM documents) GROUP BY piece)"
 VOCAB_SQL = f"""{COUNTS_SQL},
@@ -97,9 +98,10 @@ SELECT doc_id, count(w.piece) AS n, coalesce(sum(coalesce(id, 0)) FILTER (w.piec
 FROM documents LEFT JOIN w USING (doc_id) LEFT JOIN merged USING (piece) GROUP BY doc_id""",
 )
 def encode_merged(spark, sf):
-    merged = merge_vocab(spark, sf)
+    ensure_checkpoint_dir(spark)
+    merged = merge_vocab(spark, sf).checkpoint()
     first_added = merged.where("stage > 0").select(F.min("id")).scalar()
-    ids = tok.encode_column(corpus(spark, sf).select("doc_id", "text"), "text", merged).withColumn("_first", first_added)
+    ids = tok.encode_joined(corpus(spark, sf).select("doc_id", "text"), "doc_id", "text", merged).withColumn("_first", first_added)
     added = F.size(F.filter("ids", lambda i: i >= F.col("_first")))
     return ids.select("doc_id", F.size("ids").cast("bigint").alias("n"), total(F.col("ids")).alias("id_sum"), added.cast("bigint").alias("n_added"))
 

@@ -131,6 +131,31 @@ def test_encode_and_pad(spark):
     assert tuple(padded.first()) == ([7, 8, 3, 3], [3, 3, 7, 8], [7])
 
 
+def test_encoding_under_a_vocabulary_that_is_not_shipped(spark, monkeypatch):
+    monkeypatch.setattr(tok, "MAX_LOOKUP", 20)
+    monkeypatch.setattr(tok, "HOT_SHARE", 0.1)
+    rng = random.Random(5)
+    names = [f"{a}{b}" for a in "abcdefgh" for b in "abcdefgh"]
+    texts = {i: " ".join(rng.choice(["the", "zz", rng.choice(names)]) for _ in range(rng.randrange(40))) for i in range(30)} | {30: "", 31: None, 32: "? ?"}
+    ids = {w: i for i, w in enumerate([*names, "the"], tok.RESERVED)}
+    vocab = spark.createDataFrame(list(ids.items()), "piece string, id int")
+    df = spark.createDataFrame(list(texts.items()), "k bigint, text string")
+    got = {r["k"]: r["ids"] for r in tok.encode_joined(df, "k", "text", vocab).collect()}
+    assert got == {k: None if t is None else [ids.get(w, tok.UNK) for w in t.split()] for k, t in texts.items()}
+
+
+def test_merged_vocabulary_above_the_lookup_bound(spark, monkeypatch):
+    from quern.plans import ORACLES, QUERIES
+    from tests.compare import compare, connect
+
+    monkeypatch.setattr(tok, "MAX_LOOKUP", 1000)
+    monkeypatch.setattr(tok, "HOT_SHARE", 1 / 1000)
+    sf = "/root/testdata/sf0.001"
+    assert QUERIES["merge_vocab"](spark, sf).count() > tok.MAX_LOOKUP
+    n, problem = compare(spark, connect(sf), "encode_merged", QUERIES["encode_merged"], ORACLES["encode_merged"], sf)
+    assert n > 0 and not problem, problem
+
+
 def test_unknown_tokens_fall_back_to_bytes(spark):
     df = spark.createDataFrame([("ab é",)], "text string")
     vocab = tok.build_vocab(spark.createDataFrame([("ab", 5)], "piece string, freq bigint"), 9, byte_fallback=True)
