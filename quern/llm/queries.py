@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quern.llm import language, mixing, pieces, pii, quality_model, quality_rules, resharding, simhash, topk, warc
+from quern.llm import centroids, exact_dedup, language, merkle, mixing, pieces, pii, quality_model, quality_rules, resharding, simhash, topk, warc
 from quern.llm.common import map_rows
 from quern.llm.registry import ORACLES, QUERIES, query, table
 
@@ -101,3 +101,32 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     return language.identify_languages(docs).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@query("op11_exact_dedup", exact_dedup.ORACLE)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = F.sha2(F.coalesce("text", F.lit("")), 256).alias("text_sha256")
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", digest)
+    return exact_dedup.group_copies(docs, keep_text=False).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
+
+
+@query("op12_merkle", merkle.ORACLE)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    own = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars", "text")]
+    tampered = [F.expr("try_add(n_chars, 1)") if i == 3 else c for i, c in enumerate(own)]
+    touched = (F.pmod(F.crc32(F.col("doc_id").cast("string")), F.lit(7)) == 0) & F.col("n_chars").isNotNull()
+    leaves = docs.select(
+        "doc_id", "lang", merkle.leaf_of(*own).alias("leaf"), F.when(touched, merkle.leaf_of(*tampered)).alias("tampered")
+    )
+    proven = merkle.manifest(leaves, "lang", "doc_id", "leaf")
+    folded = proven.withColumn("folded_root", merkle.fold(F.coalesce("tampered", "leaf"), F.col("path")))
+    return folded.select(
+        "doc_id", "leaf", "subroot", "root", F.sha2(merkle.siblings_of(F.col("path")), 256).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
+
+
+@query("op13_centroids", centroids.ORACLE)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.cluster_vectors(table(spark, sf_dir, "embeddings"))
