@@ -9,11 +9,12 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quern.functions.text import explode_indexed, has_cjk, strip, tokens
+from quern.functions.text import explode_indexed, has_cjk, strip
+from quern.operators.lexical import build_index, query_terms, search
 from quern.operators.ordering import dense_index
-from quern.operators.tokens import encode, lookup_table
+from quern.session import scratch_dir
 
-# Sentence ends, the characters that close a line, prompt wording and ranking constants.
+# Sentence ends, the characters that close a line, prompt wording and fusion constants.
 SENTENCE_BREAK = r"(?<=[.!?])\s+"
 CJK_ENDINGS = ["\n", "。", "！", "？", "；", "…"]
 LINE_ENDINGS = [
@@ -30,36 +31,24 @@ RAG_PROMPT = """基于以下已知信息，简洁和专业的来回答用户的
 {query_str}
 """
 NO_HITS = "没有提供足够的相关信息"
-K1, B = 1.5, 0.75
 FUSION_WEIGHTS, FUSION_C = (0.5, 0.5), 2
 FUSION_DEPTH = 50
+#: Hits (two ids and a rank each) that may be sent to every task.
+MAX_HITS = 100_000
 
 
 # ---------------------------------------------------------------- chunks
 
 
-def _fold(units: Column, step: Callable[[Column, Column], Column]) -> Column:
-    """Run ``step`` over an array with a state of finished chunks and the open one; '' stays out at the end."""
-    start = F.struct(F.array().cast("array<string>").alias("done"), F.lit("").alias("cur"))
-    return F.aggregate(
-        units, start, step, lambda a: F.when(a["cur"] != "", F.array_append(a["done"], a["cur"])).otherwise(a["done"])
-    )
-
-
-def _state(done: Column, cur: Column) -> Column:
-    return F.struct(done.alias("done"), cur.alias("cur"))
-
-
 def chunk_sentences(text: Column, size: int = 250) -> Column:
-    """Sentences packed greedily into chunks of about ``size`` characters."""
-    sentences = F.split(F.replace(text, F.lit("\n"), F.lit(" ")), SENTENCE_BREAK)
-
-    def step(a: Column, s: Column) -> Column:
-        fits = (F.length(a["cur"]) + F.length(s) <= size) | (a["cur"] == "")
-        grown = F.when(a["cur"] == "", s).otherwise(F.concat(a["cur"], F.lit(" "), s))
-        return F.when(fits, _state(a["done"], grown)).otherwise(_state(F.array_append(a["done"], a["cur"]), s))
+    """Sentences packed greedily into chunks of about ``size`` characters, in time linear in the text.
 
-    return _fold(sentences, step)
+    Line ends become blanks, so one can then stand for a border. A chunk is as many sentences as together, with a blank
+    between any two, have at most ``size + 1`` characters, or one sentence that is longer.
+    """
+    bordered = F.regexp_replace(F.replace(text, F.lit("\n"), F.lit(" ")), SENTENCE_BREAK, "\n")
+    pattern = rf"(?s)(.{{1,{size + 1}}}|[^\n]+)(?:\n|\z)"
+    return F.transform(F.regexp_extract_all(bordered, F.lit(pattern), F.lit(1)), lambda c: F.replace(c, F.lit("\n"), F.lit(" ")))
 
 
 def chunk_cjk(text: Column, size: int = 250, overlap: int = 50) -> Column:
@@ -111,28 +100,15 @@ def chunk_documents(df: DataFrame, key: str, text: str, size: int = 250, overlap
 
 
 def merge_broken_lines(lines: Column) -> Column:
-    """Neighbouring lines joined until one ends in closing punctuation; an open remainder is kept."""
+    """Neighbouring lines joined until one ends in closing punctuation; an open remainder is kept.
 
-    def step(a: Column, x: Column) -> Column:
-        cur = F.concat(a["cur"], x)
-        closes = F.right(x, F.lit(1)).isin(LINE_ENDINGS)
-        return F.when(closes, _state(F.array_append(a["done"], cur), F.lit(""))).otherwise(_state(a["done"], cur))
-
-    return _fold(lines, step)
-
-
-# ---------------------------------------------------------------- lexical index
-
-
-def term_stats(docs: DataFrame, token_col: str) -> DataFrame:
-    """Document frequency, corpus frequency and inverse document frequency of every term."""
-    n = docs.select(F.count(F.lit(1))).scalar()
-    # Sorted inside the row, a term's first place marks the document, so one pass counts both frequencies.
-    words = docs.select(F.array_sort(token_col).alias("_s"))
-    marked = words.select(F.explode(F.zip_with("_s", F.array_prepend(F.slice("_s", F.lit(1), F.greatest(F.size("_s") - 1, F.lit(0))), F.lit("")),
-                                               lambda a, b: F.struct(a.alias("term"), (a != b).cast("int").alias("new")))).alias("x"))
-    both = marked.groupBy("x.term").agg(F.sum("x.new").alias("df"), F.count(F.lit(1)).alias("cf")).where("term is not null")
-    return both.withColumn("idf", F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5)))
+    Lines hold no line ends, so they are joined by one and cut by a pattern, in time linear in their length.
+    """
+    ends = "".join(rf"\x{{{ord(c):x}}}" for c in LINE_ENDINGS)
+    pattern = rf"(?s).*?[{ends}](?=\n|\z)|.+"
+    return F.transform(
+        F.regexp_extract_all(F.array_join(lines, "\n"), F.lit(pattern), F.lit(0)), lambda c: F.replace(c, F.lit("\n"), F.lit(""))
+    )
 
 
 # ---------------------------------------------------------------- top-k scoring
@@ -190,17 +166,6 @@ def _query_blocks(queries: DataFrame, key: str, rows_per_block: int) -> Iterator
         yield placed.where((F.col("_q") >= at) & (F.col("_q") < at + rows_per_block)).drop("_q").toPandas()
 
 
-def _fit(block: pd.DataFrame) -> Iterator[tuple[pd.DataFrame, list[str]]]:
-    """Halve a query block until its term-by-query matrix is small enough; with each part its sorted terms."""
-    terms = sorted({t for q in block["q"] for t in q})
-    if len(terms) * len(block) * 8 <= BLOCK_BYTES or len(block) == 1:
-        yield block, terms
-        return
-    half = len(block) // 2
-    yield from _fit(block.iloc[:half])
-    yield from _fit(block.iloc[half:])
-
-
 def _union(parts: list[DataFrame], empty: DataFrame) -> DataFrame:
     out = empty if not parts else parts[0]
     for p in parts[1:]:
@@ -212,58 +177,14 @@ HITS = "query_id bigint, doc_id bigint, score double"
 
 
 def bm25_topk(
-    docs: DataFrame, doc_key: str, doc_text: str, queries: DataFrame, query_key: str, query_text: str, k: int = 5,
-    block_queries: int = 512,
+    docs: DataFrame, doc_key: str, doc_text: str, queries: DataFrame, query_key: str, query_text: str, k: int = 5
 ) -> DataFrame:
-    """``query_id, doc_id, score, rank``: the ``k`` best documents per query by BM25.
+    """``query_id, doc_id, score, rank``: the ``k`` best documents per query by BM25, over an index made for the queries' terms.
 
-    The query block is what travels: its terms become a lookup table and a term-by-query weight matrix. Each document
-    is reduced in place to the codes of the query terms it holds, and each task returns ``k`` rows per query, so
-    neither posting lists nor document-query pairs are shuffled and a term in every document costs nothing extra.
-    Queries beyond one block are scored in further passes.
+    An index that is to be asked again is built once with :func:`quern.operators.lexical.build_index`.
     """
-    spark = docs.sparkSession
-    words = docs.select(F.col(doc_key).cast("bigint").alias("doc_id"), tokens(F.col(doc_text)).alias("t"))
-    parts = []
-    asked = queries.select(F.col(query_key).cast("bigint").alias("query_id"), tokens(F.col(query_text)).alias("q"))
-    for block, terms in (x for b in _query_blocks(asked, "query_id", block_queries) for x in _fit(b)):
-        code = {t: i for i, t in enumerate(terms)}
-        vocab = spark.createDataFrame([(t, i) for t, i in code.items()], "piece string, id int")
-        coded = words.withColumn("_table", lookup_table(vocab, 4096)).select(
-            "doc_id", F.size("t").alias("n"), encode(F.col("t"), F.col("_table"), 4096, -1).alias("c")
-        )
-        coded = coded.select("doc_id", "n", F.filter("c", lambda c: c >= 0).alias("c"))
-        # One pass for all statistics: code -1 stands for the document itself.
-        marks = coded.select("n", F.explode(F.array_append(F.array_distinct("c"), F.lit(-1))).alias("c"))
-        seen = marks.groupBy("c").agg(F.count(F.lit(1)).alias("df"), F.sum("n").alias("len"))
-        df, n_docs, avgdl = np.zeros(len(terms)), 0, 1.0
-        for row in seen.collect():  # at most one row per query term and one for the corpus
-            if row["c"] < 0:
-                n_docs, avgdl = row["df"], max(row["len"] / row["df"], 1e-9)
-            else:
-                df[row["c"]] = row["df"]
-        idf = np.log(1 + (n_docs - df + 0.5) / (df + 0.5))
-        weight = np.zeros((len(terms), len(block)))
-        for j, q in enumerate(block["q"]):
-            for t in q:
-                weight[code[t], j] += idf[code[t]]
-        shared = spark.sparkContext.broadcast((weight, block["query_id"].to_numpy(dtype=np.int64)))
-        n_terms = len(terms)
-
-        def score(part: pd.DataFrame, shared=shared, n_terms=n_terms) -> np.ndarray:
-            sizes = part["c"].map(len).to_numpy()
-            rows = np.repeat(np.arange(len(part)), sizes)
-            codes = np.concatenate([*part["c"], np.empty(0, dtype=np.int64)]).astype(np.int64)
-            tf = np.bincount(rows * n_terms + codes, minlength=len(part) * n_terms).reshape(len(part), n_terms)
-            norm = K1 * (1 - B + B * part["n"].to_numpy(dtype=float) / avgdl)
-            points = np.round((tf * (K1 + 1) / (tf + norm[:, None])) @ shared.value[0], 9)
-            return np.where(points > 0, points, -np.inf)
-
-        def run(frames, score=score, shared=shared):
-            yield from _task_best(frames, score, shared.value[1], k)
-
-        parts.append(coded.mapInPandas(run, HITS))
-    return _rank(_union(parts, spark.createDataFrame([], HITS)), k)
+    asked = query_terms(queries, query_key, query_text)
+    return search(build_index(docs, doc_key, doc_text, only=asked), queries, query_key, query_text, k)
 
 
 def dense_topk(
@@ -328,8 +249,13 @@ def context_prompts(
     asked = queries.select(F.col(query_key).alias("query_id"), F.col(query_text).alias("_q"))
     if docs is None or hits is None:
         return asked.select("query_id", F.col("_q").alias("prompt"))
+    spark = docs.sparkSession
     texts = docs.select(F.col(doc_key).alias("doc_id"), F.col(doc_text).alias("_d"))
-    found = hits.join(texts, "doc_id").groupBy("query_id").agg(
+    path = scratch_dir(spark, "hits")
+    hits.select("query_id", "doc_id", "rank").write.parquet(path)
+    hits = spark.read.parquet(path)
+    few = hits.count() <= MAX_HITS  # only the texts of hits are shuffled then; otherwise both sides are
+    found = (F.broadcast(hits) if few else hits).join(texts, "doc_id").groupBy("query_id").agg(
         F.array_sort(F.collect_list(F.struct("rank", "_d"))).alias("_h")
     )
     lines = F.transform("_h", lambda h: F.concat(F.lit("["), h["rank"].cast("string"), F.lit(']\t "'), h["_d"], F.lit('"')))

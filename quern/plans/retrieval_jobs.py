@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quern.functions.text import explode_indexed, strip_lines, tokens
+from quern.operators import lexical as lex
 from quern.operators import retrieval as ret
 from quern.plans.fixtures import sql_strip, sql_tokens
 from quern.plans.registry import query, spread_table, sql_text, table
@@ -100,12 +101,15 @@ def merge_broken_lines(spark, sf):
 
 @query(
     "bm25_index",
-    f"""WITH t AS (SELECT doc_id, unnest({sql_tokens('text')}) AS term FROM documents), n AS (SELECT count(*) AS n FROM documents)
-SELECT term, count(DISTINCT doc_id) AS df, count(*) AS cf, round(ln(1 + ((SELECT n FROM n) - count(DISTINCT doc_id) + 0.5) / (count(DISTINCT doc_id) + 0.5)), 6) AS idf FROM t GROUP BY term""",
+    f"""WITH dt AS (SELECT doc_id, {sql_tokens('text')} AS t FROM documents), n AS (SELECT count(*) AS n, avg(len(t)) AS average FROM dt),
+p AS (SELECT term, doc_id, count(*) AS tf, any_value(len) AS length FROM (SELECT doc_id, len(t) AS len, unnest(t) AS term FROM dt) GROUP BY ALL),
+s AS (SELECT term, count(*) AS df, sum(tf)::BIGINT AS cf FROM p GROUP BY term)
+SELECT term, doc_id, tf, length, df, cf, round(ln(1 + (n - df + 0.5) / (df + 0.5)), 6) AS idf, round(average, 6) AS average FROM p JOIN s USING (term), n""",
 )
 def bm25_index(spark, sf):
-    docs = corpus(spark, sf).select(tokens(F.col("text")).alias("t"))
-    return ret.term_stats(docs, "t").withColumn("idf", F.round("idf", 6))
+    index = lex.build_index(corpus(spark, sf), "doc_id", "text")
+    stats = index.terms.select("term", "df", "cf", F.round("idf", 6).alias("idf"))
+    return index.postings().join(stats, "term").withColumn("average", F.lit(round(index.average, 6)))
 
 
 BM25_SQL = f"""dt AS (SELECT doc_id, {sql_tokens('text')} AS t FROM documents),

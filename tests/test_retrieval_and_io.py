@@ -9,6 +9,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import functions as F
 
+from quern.operators import lexical as lex
 from quern.operators import retrieval as ret
 from quern.operators import scoring
 from quern.session import scratch_dir, scratch_root
@@ -101,25 +102,63 @@ def brute_bm25(docs, asked, k):
     return out
 
 
-@pytest.mark.parametrize("block", [512, 3])
-def test_bm25(spark, corpus, block):
-    docs, asked = corpus
-    d = spark.createDataFrame(docs, "d bigint, t string").repartition(5)
-    q = spark.createDataFrame(asked, "q bigint, t string")
+def hits_of(frame, asked):
     got = {a: [] for a, _ in asked}
-    for r in sorted(ret.bm25_topk(d, "d", "t", q, "q", "t", 4, block).collect(), key=lambda r: r["rank"]):
+    for r in sorted(frame.collect(), key=lambda r: r["rank"]):
         got[r["query_id"]].append(r["doc_id"])
-    assert got == brute_bm25(docs, asked, 4)
-
+    return got
 
-def test_large_query_blocks_are_split(corpus, monkeypatch):
-    import pandas as pd
 
-    monkeypatch.setattr(ret, "BLOCK_BYTES", 64)
-    block = pd.DataFrame({"query_id": range(5), "q": [["a", "b"], ["c"], ["d", "e", "f"], ["a"], []]})
-    parts = list(ret._fit(block))
-    assert sum(len(p) for p, _ in parts) == 5
-    assert all(len(t) * len(p) * 8 <= 64 or len(p) == 1 for p, t in parts)
+@pytest.mark.parametrize("size", [256, 3])
+def test_bm25(spark, corpus, size, monkeypatch):
+    monkeypatch.setattr(lex, "RANGE", size)
+    monkeypatch.setattr(lex, "HOT_LEAST", 4 if size == 3 else 4096)  # several salts of a term
+    docs, asked = corpus
+    d = spark.createDataFrame(docs, "d bigint, t string").repartition(5)
+    q = spark.createDataFrame(asked, "q bigint, t string")
+    assert hits_of(ret.bm25_topk(d, "d", "t", q, "q", "t", 4), asked) == brute_bm25(docs, asked, 4)
+
+
+def test_a_stored_index_is_asked_again(spark, monkeypatch):
+    rng = random.Random(8)
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(120)]
+    pick = lambda n: " ".join(rng.choices(words, [1 / (i + 1) for i in range(120)], k=n))
+    docs = [(i, pick(rng.randrange(1, 120))) for i in range(400)]
+    asked = [(i, pick(12)) for i in range(20)] + [(77, docs[5][1]), (78, "waa"), (79, "none"), (80, "")]
+    monkeypatch.setattr(lex, "RANGE", 16)
+    d = spark.createDataFrame([*docs, (9999, None)], "d bigint, t string").select(F.concat(F.lit("x"), F.lpad("d", 5, "0")).alias("d"), "t")
+    path = scratch_dir(spark, "index")
+    built = lex.build_index(d, "d", "t", path)
+    opened = lex.open_index(spark, path)
+    assert (opened.n, opened.average) == (built.n, built.average) and opened.n == 401
+    q = spark.createDataFrame([*asked, (81, None)], "q bigint, t string")
+    named = {f"x{i:05}": i for i, _ in docs}
+    got = hits_of(lex.search(opened, q, "q", "t", 5), [*asked, (81, "")])
+    want = brute_bm25([*docs, (9999, "")], asked, 5)
+    assert {k: [named[x] for x in v] for k, v in got.items()} == {**want, 81: []}
+    posts = {(r["term"], r["doc_id"]): (r["tf"], r["length"]) for r in opened.postings().collect()}
+    assert posts == {(w, f"x{i:05}"): (c, len(t.split())) for i, t in docs for w, c in Counter(t.split()).items()}
+    tops = opened.blocks.select(F.forall("postings", lambda p: p["w"] <= F.col("top")).alias("ok")).distinct().collect()
+    assert [r["ok"] for r in tops] == [True]
+
+
+def test_an_empty_corpus_has_no_hits(spark):
+    d = spark.createDataFrame([], "d bigint, t string")
+    q = spark.createDataFrame([(1, "a b")], "q bigint, t string")
+    assert ret.bm25_topk(d, "d", "t", q, "q", "t").count() == 0
+
+
+def test_long_texts_are_chunked_in_linear_time(spark):
+    import time
+
+    text = F.repeat(F.lit("This is one short sentence, of forty chars. "), 32_000)
+    df = spark.range(1).select(text.alias("t"))
+    df.select(F.size(ret.chunk_sentences(F.col("t")))).first()
+    start = time.time()
+    assert df.select(F.size(ret.chunk_sentences(F.col("t")))).first()[0] == 6400
+    lines = F.split(F.replace(F.replace(F.col("t"), F.lit(", "), F.lit(",\n")), F.lit(". "), F.lit(".\n")), "\n")
+    assert df.select(F.size(ret.merge_broken_lines(F.array_append(lines, "open")))).first()[0] == 32_001
+    assert time.time() - start < 10
 
 
 def test_dense_and_fusion(spark):
