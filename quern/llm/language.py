@@ -11,12 +11,14 @@ from pyspark.sql import functions as F
 
 from quern.llm.common import chosen_share, map_rows, replaced
 
-#: Bytes that a pass of the network sees together; positions are labelled within their stretch.
-STRETCH = 64
+#: Bytes labelled in a pass of the network, and bytes before and behind them that it reads along with them.
+STRETCH, AROUND = 128, 8
 HIDDEN = 8
-#: The network is fitted on at most this many documents of each of at most this many languages, the most frequent ones.
-MAX_PER_LANG, MAX_LANGS = 400, 32
-STEPS, BATCH, RATE = 150, 128, 0.02
+#: The network is fitted on at most this many documents of each language, and of each on this many characters at most,
+#: beginning at a place that the hash of its id chooses.
+MAX_PER_LANG, MAX_CHARS = 400, 2000
+#: Passes over the sampled stretches, at least so many steps.
+EPOCHS, LEAST_STEPS, BATCH, RATE = 1, 150, 128, 0.02
 SEED = 42
 #: Stretches worked on at a time.
 WIDE = 4096
@@ -102,8 +104,9 @@ class ByteNetwork:
         table = np.stack((one.T @ dx[:, 0].reshape(-1, 3 * h), one.T @ dx[::-1, 1].reshape(-1, 3 * h)))
         return loss, {"x": table, "u": du, "w": dw.astype(np.float32), "b": d.sum(axis=(0, 1))}
 
-    def fit(self, codes: np.ndarray, mask: np.ndarray, label: np.ndarray, steps: int = STEPS) -> None:
-        """Adam on batches with as many stretches of each language as of any other."""
+    def fit(self, codes: np.ndarray, mask: np.ndarray, label: np.ndarray, steps: int | None = None) -> None:
+        """Adam on batches with as many stretches of each language as of any other; more stretches take more steps."""
+        steps = steps or max(LEAST_STEPS, -(-EPOCHS * len(codes) // BATCH))
         rng = np.random.default_rng(SEED)
         by = [np.flatnonzero(label == c) for c in range(self.classes)]
         m = {k: np.zeros_like(v) for k, v in self.p.items()}
@@ -118,25 +121,35 @@ class ByteNetwork:
                 self.p[k] = (self.p[k] - rate * (m[k] / (1 - 0.9**t)) / (np.sqrt(v[k] / (1 - 0.99**t)) + 1e-8)).astype(np.float32)
 
 
-def stretches(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All bytes of all texts in stretches: codes, mask, and the number of each stretch's text."""
+def stretches(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """All bytes of all texts in stretches with what lies around them: codes, where there is a byte, which of them the
+    stretch labels (each byte of a text once), and the number of each stretch's text."""
     raw = [(t or "").encode() for t in texts]
-    counts = np.array([-(-len(b) // STRETCH) for b in raw], np.int64)
-    padded = b"".join(b.ljust(int(c) * STRETCH, b"\0") for b, c in zip(raw, counts, strict=True))
-    codes = np.frombuffer(padded, np.uint8).reshape(-1, STRETCH)
+    sizes = np.array([len(b) for b in raw], np.int64)
+    counts = -(-sizes // STRETCH)
+    room = counts * STRETCH + 2 * AROUND
+    line = b"".join((bytes(AROUND) + b).ljust(int(n), b"\0") for b, n in zip(raw, room, strict=True))
     owner = np.repeat(np.arange(len(raw)), counts)
-    left = np.array([len(b) for b in raw], np.int64)[owner] - (np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)) * STRETCH
-    return codes, np.arange(STRETCH) < left[:, None], owner
+    nth = np.arange(len(owner)) - np.repeat(np.cumsum(counts) - counts, counts)
+    place = np.arange(STRETCH + 2 * AROUND)
+    starts = (np.cumsum(room) - room)[owner] + nth * STRETCH
+    codes = np.frombuffer(line, np.uint8)[starts[:, None] + place]
+    at = (nth * STRETCH - AROUND)[:, None] + place
+    there = (at >= 0) & (at < sizes[owner][:, None])
+    return codes, there, there & (place >= AROUND) & (place < AROUND + STRETCH), owner
 
 
 def training_rows(docs: DataFrame, learned) -> tuple[list[str], list[str]]:
     """Texts and languages to learn from: per language the first documents by the hash of their id.
 
-    Languages are counted; a hash of the id then chooses about twice the documents wanted of each, wherever they lie,
-    so what is shuffled does not grow with the table. Rows that repeat an id count once.
+    Languages, all of them, are counted; a hash of the id then chooses about twice the documents wanted of each, wherever
+    they lie, so what is shuffled does not grow with the table. Rows that repeat an id count once. Of a long text only
+    ``MAX_CHARS`` characters are taken.
     """
     some = docs.filter(learned & F.col("lang").isNotNull() & (F.octet_length("text") > 0)).select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
-    counts = some.groupBy("lang").count().orderBy(F.col("count").desc(), "lang").limit(MAX_LANGS).collect()
+    from_here = F.pmod(F.xxhash64(F.lit("place"), "doc_id"), F.greatest(F.length("text") - MAX_CHARS, F.lit(0)) + 1) + 1
+    some = some.withColumn("text", F.substr("text", from_here.cast("int"), F.lit(MAX_CHARS)))
+    counts = some.groupBy("lang").count().collect()  # a row per language
     if not counts:
         return [], []
     picks = [(F.col("lang") == r["lang"]) & chosen_share(r["count"], MAX_PER_LANG, "doc_id") for r in counts]
@@ -153,21 +166,20 @@ def fit_languages(docs: DataFrame, learned) -> tuple[list[str], ByteNetwork | No
     langs = sorted(set(said))
     if not langs:
         return [], None
-    codes, mask, owner = stretches(texts)
+    codes, there, _, owner = stretches(texts)
     network = ByteNetwork(len(langs))
-    network.fit(codes, mask, np.array([langs.index(x) for x in said])[owner])
+    network.fit(codes, there, np.array([langs.index(x) for x in said])[owner])
     return langs, network
 
 
 def pooled_languages(texts: list[str | None], langs: list[str], network: ByteNetwork | None) -> list[tuple[str, float]]:
     """Each text's language and probability: the mean over all its positions."""
-    codes, mask, owner = stretches(texts)
+    codes, there, labelled, owner = stretches(texts)
     sums = np.zeros((len(texts), max(1, len(langs))))
     if network is not None:
         for at in range(0, len(codes), WIDE):
-            part = mask[at : at + WIDE]
-            prob = network.probabilities(network.states(codes[at : at + WIDE], part))
-            np.add.at(sums, owner[at : at + WIDE], np.einsum("nlc,nl->nc", prob, part.astype(np.float32)))
+            prob = network.probabilities(network.states(codes[at : at + WIDE], there[at : at + WIDE]))
+            np.add.at(sums, owner[at : at + WIDE], np.einsum("nlc,nl->nc", prob, labelled[at : at + WIDE].astype(np.float32)))
     out = []
     for t, row in zip(texts, sums, strict=True):
         if not t or network is None or not any(map(str.isalpha, t)):

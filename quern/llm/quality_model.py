@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quern.llm.common import chosen_share, map_rows, replaced
+from quern.llm.common import chosen_share, map_rows, replaced, written
 
 #: Buckets of words, and as many of word shapes; components of a vector; non-zero ones of an index vector.
 BUCKETS, WIDTH, SPARSE = 4096, 64, 2
@@ -186,7 +186,8 @@ def held_out(folds: int, fold: int):
 def labelled_features(docs: DataFrame, labels: DataFrame, vectors: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Pooled vectors and labels of at most ``MAX_LABELLED`` labelled documents, chosen by the hash of their id."""
     known = labels.filter(F.col("quality").isin(0, 1) & ~held_out(5, 0)).groupBy("doc_id").agg(F.max("quality").alias("quality"))
-    few = known.filter(chosen_share(labels.count(), MAX_LABELLED, "doc_id"))
+    known = written(known, "known-labels")
+    few = known.filter(chosen_share(known.count(), MAX_LABELLED, "doc_id"))
     some = few.orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
     rows = docs.select("doc_id", "text").join(F.broadcast(some), "doc_id").groupBy("doc_id", "quality").agg(F.max("text").alias("text"))
 

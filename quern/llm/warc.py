@@ -17,6 +17,8 @@ from quern.llm.common import lookup_join, replaced, written
 from quern.session import scratch_dir
 
 CHUNK = 1 << 18
+#: A task begins another archive after this much payload.
+ARCHIVE_BYTES = 1 << 28
 #: Format fixed by the WARC 1.1 standard.
 VERSION = b"WARC/1.1\r\n"
 END = b"\r\n\r\n"
@@ -54,9 +56,9 @@ def header_line(text: str) -> str:
     return "".join(c if c >= " " and c != "\x7f" else f"%{ord(c):02X}" for c in text)
 
 
-def write_archives(typed: DataFrame, root: str) -> DataFrame:
-    """Write ``page_id, url, html, refers_to, is_response`` as archives below ``root``, one per task; returns the
-    table of their names (``archive, records``).
+def write_archives(typed: DataFrame, root: str, archive_bytes: int = ARCHIVE_BYTES) -> DataFrame:
+    """Write ``page_id, url, html, refers_to, is_response`` as archives below ``root``; returns the table of
+    their names (``archive, records``). A task begins another archive after ``archive_bytes`` of payload.
 
     Each record is a gzip member of its own. A payload is hashed and then compressed in pieces of its Arrow buffer; only
     the names that finished tasks return count, so a task that is run again leaves a file that nobody reads.
@@ -64,17 +66,26 @@ def write_archives(typed: DataFrame, root: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fs, base = open_fs(root)
         fs.create_dir(base, recursive=True)
-        name, n, sink = f"pages-{uuid.uuid4().hex}.warc.gz", 0, None
+        name, n, size, sink = "", 0, 0, None
+
+        def closed() -> pa.RecordBatch:
+            sink.close()
+            return pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64())], ["archive", "records"])
+
         for b in batches:
-            if b.num_rows and sink is None:
-                sink = fs.open_output_stream(f"{base}/{name}", compression=None)
             ids, urls, refers, first = (b.column(k).to_pylist() for k in (0, 1, 3, 4))
             for i, piece in enumerate(payloads(b.column(2))):
+                if sink is None:
+                    name, n, size = f"pages-{uuid.uuid4().hex}.warc.gz", 0, 0
+                    sink = fs.open_output_stream(f"{base}/{name}", compression=None)
                 write_record(sink, ids[i], urls[i], piece, refers[i], first[i])
                 n += 1
+                size += len(piece)
+                if size >= archive_bytes:
+                    yield closed()
+                    sink = None
         if sink is not None:
-            sink.close()
-            yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([n], pa.int64())], ["archive", "records"])
+            yield closed()
 
     rows = typed.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"), "refers_to", "is_response")
     return written(rows.mapInArrow(run, "archive string, records long"), "archives")
@@ -199,7 +210,9 @@ def read_chunks(archives: DataFrame, root: str, data: bool = False, chunk: int =
     types = [pa.string(), pa.int64(), pa.string(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.int64(), pa.string(), pa.bool_()]
     types += [pa.binary()] * data
     names = [x.split()[0] for x in schema.split(", ")]
-    return archives.select("archive").repartition("archive").mapInArrow(run, schema)
+    # A name is a few bytes, so the engine would put all of them into one task unless it is told their number.
+    n = archives.count()
+    return archives.select("archive").repartition(max(1, n), "archive").mapInArrow(run, schema)
 
 
 def records(source: Unzipped, archive: str, data: bool, chunk: int = CHUNK) -> Iterator[tuple]:
@@ -244,7 +257,7 @@ def typed_pages(pages: DataFrame) -> DataFrame:
     return out.withColumns({"is_response": first, "refers_to": F.when(~first, F.col("_q_top"))}).drop("_q_sha", "_q_top")
 
 
-def archive_pages(pages: DataFrame, root: str | None = None) -> tuple[DataFrame, str]:
+def archive_pages(pages: DataFrame, root: str | None = None, archive_bytes: int = ARCHIVE_BYTES) -> tuple[DataFrame, str]:
     """Write a record per page below ``root`` (a new scratch folder by default); the archives' names and the folder.
 
     Columns read: ``page_id, url, html``. Null html is the empty payload. Rows that repeat the largest page id are
@@ -252,7 +265,7 @@ def archive_pages(pages: DataFrame, root: str | None = None) -> tuple[DataFrame,
     payload. An empty table gives no archive.
     """
     root = root or scratch_dir(pages.sparkSession, "warc")
-    return write_archives(typed_pages(pages), root), root
+    return write_archives(typed_pages(pages), root, archive_bytes), root
 
 
 def read_pages(archives: DataFrame, root: str) -> DataFrame:

@@ -289,7 +289,7 @@ def test_languages_are_told_apart_on_held_out_documents(spark):
 
 
 def test_languages_of_odd_tables(spark, monkeypatch):
-    monkeypatch.setattr(language, "STEPS", 3)
+    monkeypatch.setattr(language, "LEAST_STEPS", 3)
     df = spark.createDataFrame([(1, None, "en", "s", 1), (2, "", "de", "s", 1), (3, "123 !!", None, "s", 1), (None, "abc", "en", "s", 1)], DOCS)
     none = {r["doc_id"]: r for r in language.identify_languages(df).collect()}
     assert {r["lang_pred"] for r in none.values()} == {"und"} and none[None]["held_out"]
