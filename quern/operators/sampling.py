@@ -6,10 +6,7 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from quern.operators.ordering import dense_index, first_n, hash_key
-
-
-#: How far on either side of a wanted percentile its key is looked for, as a share of the rows.
-MARGIN = 5e-4
+from quern.operators.selection import key_at
 
 
 def row_total(df: DataFrame) -> Column:
@@ -29,22 +26,23 @@ def buffered_shuffle(df: DataFrame, key: str, seed: int = 42) -> DataFrame:
     return df.sortWithinPartitions(h, key)
 
 
+def _first_keys(df: DataFrame, key: str, n: int) -> Column:
+    """Whether a row is among the first ``n`` in key order; keys are unique, null ones come first."""
+    nulls = df.where(F.col(key).isNull()).count()
+    last = key_at(df, key, n - nulls - 1)
+    if last is None:
+        return F.lit(True) if n > nulls else F.col(key).isNull() if n else F.lit(False)
+    return F.col(key).isNull() | (F.col(key) <= F.lit(last))
+
+
 def split_head_percent(df: DataFrame, key: str, percent: int = 1) -> DataFrame:
-    """``validation`` for the first ``percent`` % in key order (half up), else ``train``. Keys are numbers, unique.
+    """``validation`` for the first ``percent`` % in key order (half up), else ``train``. Keys are unique.
 
-    Two approximate percentiles enclose the last key of the head; only the few keys between them are sorted, and rows
-    are compared with that key where they are. Null keys come first.
+    The last key of the head is found by :func:`quern.operators.selection.key_at`, which compares keys on their own type
+    and sorts nothing; rows are compared with that key where they are. Null keys come first.
     """
-    cut = F.floor(row_total(df) * percent / F.lit(100.0) + F.lit(0.5))
-    keys = df.select(F.coalesce(F.col(key).cast("double"), F.lit(float("-inf"))).alias("_k"))
-    near = [min(1.0, max(0.0, percent / 100 + d)) for d in (-MARGIN, MARGIN)]
-    lo, hi = (keys.select(F.percentile_approx("_k", p, int(4 / MARGIN))).scalar() for p in near)
-    below = keys.select(F.count_if(F.col("_k") < lo)).scalar()
-    middle = keys.where((F.col("_k") >= lo) & (F.col("_k") <= hi))
-    rank = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy("_k"))
-    last = middle.withColumn("_n", rank + below).where(F.col("_n") == cut).select(F.max("_k")).scalar()
-    head = F.coalesce(F.coalesce(F.col(key).cast("double"), F.lit(float("-inf"))) <= last, F.lit(False))
-    return df.withColumn("split", F.when(head, "validation").otherwise("train"))
+    cut = (df.count() * percent * 2 + 100) // 200
+    return df.withColumn("split", F.when(_first_keys(df, key, cut), "validation").otherwise("train"))
 
 
 def split_random_percent(df: DataFrame, key: str, percent: float, seed: int = 42) -> DataFrame:
@@ -54,20 +52,16 @@ def split_random_percent(df: DataFrame, key: str, percent: float, seed: int = 42
 
 
 def split_tail_holdout(df: DataFrame, key: str, holdout: int = 100) -> DataFrame:
-    """The last ``holdout`` rows are ``eval``, the rest ``train``: rows are compared with the first key held out."""
-    last = df.select(F.col(key).alias("_k")).orderBy(F.col("_k").desc_nulls_last()).limit(holdout)
-    first = last.select(F.min(F.struct(F.col("_k").isNotNull().alias("is"), "_k"))).scalar()
-    held = F.struct(F.col(key).isNotNull().alias("is"), F.col(key).alias("_k")) >= first
-    return df.withColumn("split", F.when(F.coalesce(held, F.lit(False)), "eval").otherwise("train"))
+    """The last ``holdout`` rows in key order are ``eval``, the rest ``train``; nothing is sorted. Null keys come first."""
+    held = ~_first_keys(df, key, max(0, df.count() - holdout))
+    return df.withColumn("split", F.when(held, "eval").otherwise("train"))
 
 
 def cap_samples(df: DataFrame, key: str, cap: int | None) -> DataFrame:
-    """First ``cap`` rows in key order; no cap or a cap below one keeps all. Only keys are sorted."""
+    """First ``cap`` rows in key order, null keys first; no cap or a cap below one keeps all. Nothing is sorted."""
     if cap is None or cap <= 0:
         return df
-    keys = df.select(F.struct(F.col(key).isNotNull().alias("is"), F.col(key).alias("_k")).alias("_k"))
-    last = keys.orderBy("_k").limit(cap).select(F.max("_k")).scalar()
-    return df.where(F.struct(F.col(key).isNotNull().alias("is"), F.col(key).alias("_k")) <= last)
+    return df.where(_first_keys(df, key, cap))
 
 
 def shuffle_then_cap(df: DataFrame, key: str, cap: int, seed: int = 42) -> DataFrame:

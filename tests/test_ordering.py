@@ -1,12 +1,13 @@
 """Positions and caps against a plain sort, whatever the partitioning or the skew."""
 
+import decimal
 import hashlib
 import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from quern.operators import ordering, sampling
+from quern.operators import ordering, sampling, selection
 from quern.operators.ordering import dense_index, first_n
 
 
@@ -109,3 +110,33 @@ def test_shards_hold_each_row_once(skewed):
     out = sampling.shard_assign(df, "k", 8).collect()
     assert len(out) == len(rows)
     assert max(sum(r["shard"] == s for r in out) for s in range(8)) == 375
+
+
+@pytest.mark.parametrize("kind", ["long", "text", "double", "decimal", "hot"])
+def test_key_at_equals_sorting(spark, kind, monkeypatch):
+    monkeypatch.setattr(selection, "FEW", 3)
+    monkeypatch.setattr(selection, "BUCKETS", 16)
+    rng = random.Random(kind)
+    keys = {
+        "long": [rng.randrange(-(2**63), 2**63) for _ in range(300)] + [-(2**63), 2**63 - 1],
+        "text": ["".join(rng.choices("abé", k=rng.randrange(0, 12))) for _ in range(300)] + ["a" * 40 + c for c in "xyz"],
+        "double": [rng.gauss(0, 10.0 ** rng.randrange(-5, 5)) for _ in range(300)],
+        "decimal": [decimal.Decimal(rng.randrange(10**9)).scaleb(-3) for _ in range(300)],
+        "hot": [7] * 5000 + list(range(40)),
+    }[kind]
+    schema = {"text": "string", "double": "double", "decimal": "decimal(20,3)"}.get(kind, "long")
+    df = spark.createDataFrame([(k,) for k in keys] + [(None,)] * 3, f"k {schema}")
+    order = sorted(keys, key=lambda k: k.encode() if isinstance(k, str) else k)
+    for place in (0, 1, len(order) // 2, len(order) - 1):
+        assert selection.key_at(df, "k", place) == order[place]
+    assert selection.key_at(df, "k", len(order)) is None and selection.key_at(df, "k", -1) is None
+
+
+def test_splits_of_ids_beyond_double_precision(spark):
+    df = spark.range(2**53, 2**53 + 2000).withColumnRenamed("id", "k")
+    assert sampling.split_head_percent(df, "k", 1).where("split = 'validation'").agg(F.count("*"), F.max("k")).first() == (20, 2**53 + 19)
+    assert sampling.split_tail_holdout(df, "k", 7).where("split = 'eval'").agg(F.count("*"), F.min("k")).first() == (7, 2**53 + 1993)
+    assert sampling.cap_samples(df, "k", 11).agg(F.count("*"), F.max("k")).first() == (11, 2**53 + 10)
+    text = df.select(F.concat(F.lit("id"), F.col("k").cast("string")).alias("k")).unionByName(spark.createDataFrame([(None,)], "k string"))
+    assert sampling.cap_samples(text, "k", 3).agg(F.count("*"), F.max("k")).first() == (3, f"id{2**53 + 1}")
+    assert sampling.split_head_percent(df.limit(0), "k", 1).count() == 0 and sampling.cap_samples(df, "k", 99_999).count() == 2000
