@@ -39,6 +39,8 @@ HOT_SHARE, HOT_LEAST = 1 / 65_536, 4096
 SEEDS, WEAK = 4, 0.5
 #: Sums in another order differ by less than this.
 SLACK = 1e-7
+#: Query terms, and pairs of a query and a range, that may be sent to every task; more of them meet blocks by a shuffle.
+MAX_SENT = 500_000
 
 
 def term_counts(words: Column) -> Column:
@@ -125,7 +127,8 @@ def build_index(docs: DataFrame, key: str, text: str, path: str | None = None, o
     salt = F.pmod("range", F.coalesce("salts", F.lit(1))).cast("int")
     cut = flat.join(hot, "term", "left").withColumn("salt", salt)
     posting = F.struct("doc_id", "tf", "length", "w")
-    blocks = cut.groupBy("term", "salt", "range").agg(F.max("w").alias("top"), F.collect_list(posting).alias("postings"))
+    # Dealt by range, so that a task that reads blocks later has all terms of its documents and adds them up there.
+    blocks = cut.repartition("range").groupBy("term", "salt", "range").agg(F.max("w").alias("top"), F.collect_list(posting).alias("postings"))
     return LexicalIndex(documents, terms, _stored(blocks, f"{path}/blocks"), n, average)
 
 
@@ -154,6 +157,7 @@ def search(index: LexicalIndex, queries: DataFrame, key: str, text: str, k: int
     q = met.select("query_id", "term", weight.alias("weight"), (weight * F.col("top")).alias("most"), "salts")
     q = _stored(q, scratch_dir(spark, "asked"))
     blocks = index.blocks.join(q.select("term").distinct(), "term", "left_semi")
+    few_terms = q.count() <= MAX_SENT
 
     salted = q.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     tops = salted.join(index.blocks.select("term", "salt", "range", "top"), ["term", "salt"])
@@ -162,8 +166,12 @@ def search(index: LexicalIndex, queries: DataFrame, key: str, text: str, k: int
 
     def sums(terms: DataFrame, ranges: DataFrame) -> DataFrame:
         """Weights of postings of ``terms`` in ``ranges``, added up per query and document."""
-        wanted = terms.join(ranges, "query_id").withColumn("salt", F.pmod("range", "salts").cast("int"))
-        read = wanted.join(blocks, ["term", "salt", "range"])
+        if few_terms and ranges.count() <= MAX_SENT:
+            met = index.blocks.join(F.broadcast(terms.drop("salts")), "term")
+            read = met.join(F.broadcast(ranges), ["query_id", "range"])
+        else:
+            wanted = terms.join(ranges, "query_id").withColumn("salt", F.pmod("range", "salts").cast("int"))
+            read = wanted.join(blocks, ["term", "salt", "range"])
         parts = read.select("query_id", "weight", F.explode("postings").alias("p"))
         added = F.sum(F.col("weight") * F.col("p.w")).alias("s")
         return parts.groupBy("query_id", F.col("p.doc_id").alias("doc_id")).agg(added)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from quern.functions.text import explode_indexed, strip_lines, tokens
 from quern.operators import lexical as lex
 from quern.operators import retrieval as ret
+from quern.operators import vectors as vec
 from quern.plans.fixtures import sql_strip, sql_tokens
 from quern.plans.registry import query, spread_table, sql_text, table
 
@@ -132,6 +133,14 @@ def bm25_topk(spark, sf):
     return lexical(spark, sf).withColumn("score", F.round("score", 6))
 
 
+@query("bm25_index_topk", f"WITH {BM25_SQL} SELECT query_id, doc_id, round(score, 6) AS score, rank::INTEGER AS rank FROM lex")
+def bm25_index_topk(spark, sf):
+    """The same answers from the index, by the blocks that can hold one."""
+    asked = table(spark, sf, "benchmark")
+    index = lex.build_index(corpus(spark, sf), "doc_id", "text", only=lex.query_terms(asked, "item_id", "text"))
+    return lex.search(index, asked, "item_id", "text").withColumn("score", F.round("score", 6))
+
+
 CENT_SQL = """cent AS (SELECT label, list(m ORDER BY d) AS q FROM (SELECT label, d, avg(x::DOUBLE) AS m FROM (
   SELECT label, unnest(embedding) AS x, generate_subscripts(embedding, 1) AS d FROM embeddings) GROUP BY ALL) GROUP BY label)"""
 
@@ -151,6 +160,20 @@ def dense_topk(spark, sf):
     return hits.withColumn("score", F.round("score", 6))
 
 
+@query(
+    "dense_index_topk",
+    """SELECT 5 * count(*) AS n_exact, TRUE AS recalled FROM embeddings WHERE vec_id % 50 = 0""",
+)
+def dense_index_topk(spark, sf):
+    """Every 50th vector asked against the index of all, and whether nine tenths of the exact answers are found."""
+    vectors = table(spark, sf, "embeddings")
+    asked = vectors.where("vec_id % 50 = 0")
+    index = vec.build_dense_index(vectors, "vec_id", "embedding")
+    exact = ret.dense_topk(vectors, "vec_id", "embedding", asked, "vec_id", "embedding", 5)
+    found = vec.search_dense(index, asked, "vec_id", "embedding", 5)
+    return vec.recall(found, exact).select("n_exact", (F.col("recall") >= 0.9).alias("recalled"))
+
+
 # A document's vector is the share of each hash bucket among its tokens; so is a query's.
 VEC = 32
 VEC_SQL = f"""tv AS (SELECT 'd' AS side, doc_id AS id, unnest({sql_tokens('text')}) AS x FROM documents UNION ALL SELECT 'q', item_id, unnest({sql_tokens('text')}) FROM benchmark),

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from quern.operators import lexical as lex
 from quern.operators import retrieval as ret
 from quern.operators import scoring
+from quern.operators import vectors as vec
 from quern.session import scratch_dir, scratch_root
 from quern.sources import readers, writers
 from quern.streaming import jobs
@@ -109,14 +110,37 @@ def hits_of(frame, asked):
     return got
 
 
+@pytest.mark.parametrize("block", [512, 3])
+def test_bm25(spark, corpus, block):
+    docs, asked = corpus
+    d = spark.createDataFrame(docs, "d bigint, t string").repartition(5)
+    q = spark.createDataFrame(asked, "q bigint, t string")
+    got = {a: [] for a, _ in asked}
+    for r in sorted(ret.bm25_topk(d, "d", "t", q, "q", "t", 4, block).collect(), key=lambda r: r["rank"]):
+        got[r["query_id"]].append(r["doc_id"])
+    assert got == brute_bm25(docs, asked, 4)
+
+
+def test_large_query_blocks_are_split(corpus, monkeypatch):
+    import pandas as pd
+
+    monkeypatch.setattr(ret, "BLOCK_BYTES", 64)
+    block = pd.DataFrame({"query_id": range(5), "q": [["a", "b"], ["c"], ["d", "e", "f"], ["a"], []]})
+    parts = list(ret._fit(block))
+    assert sum(len(p) for p, _ in parts) == 5
+    assert all(len(t) * len(p) * 8 <= 64 or len(p) == 1 for p, t in parts)
+
+
 @pytest.mark.parametrize("size", [256, 3])
-def test_bm25(spark, corpus, size, monkeypatch):
+def test_bm25_by_the_index(spark, corpus, size, monkeypatch):
     monkeypatch.setattr(lex, "RANGE", size)
     monkeypatch.setattr(lex, "HOT_LEAST", 4 if size == 3 else 4096)  # several salts of a term
+    monkeypatch.setattr(lex, "MAX_SENT", 0 if size == 3 else 500_000)  # all by shuffles
     docs, asked = corpus
     d = spark.createDataFrame(docs, "d bigint, t string").repartition(5)
     q = spark.createDataFrame(asked, "q bigint, t string")
-    assert hits_of(ret.bm25_topk(d, "d", "t", q, "q", "t", 4), asked) == brute_bm25(docs, asked, 4)
+    index = lex.build_index(d, "d", "t", only=lex.query_terms(q, "q", "t"))
+    assert hits_of(lex.search(index, q, "q", "t", 4), asked) == brute_bm25(docs, asked, 4)
 
 
 def test_a_stored_index_is_asked_again(spark, monkeypatch):
@@ -146,6 +170,7 @@ def test_an_empty_corpus_has_no_hits(spark):
     d = spark.createDataFrame([], "d bigint, t string")
     q = spark.createDataFrame([(1, "a b")], "q bigint, t string")
     assert ret.bm25_topk(d, "d", "t", q, "q", "t").count() == 0
+    assert lex.search(lex.build_index(d, "d", "t"), q, "q", "t").count() == 0
 
 
 def test_long_texts_are_chunked_in_linear_time(spark):
@@ -171,6 +196,38 @@ def test_dense_and_fusion(spark):
     assert [r["doc_id"] for r in fused] == [2, 3, 1]
 
 
+def test_inverted_lists_of_vectors(spark, monkeypatch):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    centres = rng.normal(size=(12, 16))
+    rows = [(f"v{i:04}", (centres[i % 12] + 0.3 * rng.normal(size=16)).tolist()) for i in range(900)]
+    rows += [("none", None), ("zero", [0.0] * 16), ("twin", rows[0][1]), ("short", rows[1][1][:9])]
+    df = spark.createDataFrame(rows, "d string, v array<double>").repartition(4)
+    q = df.where("substring(d, 4, 2) = '00' OR d IN ('twin', 'none')")
+    monkeypatch.setattr(vec, "PART", 16)  # lists of several parts
+    index = vec.build_dense_index(df, "d", "v")
+    assert index.rows.count() == 903 and index.rows.select("list", "part").distinct().count() > index.parts.count()
+    names = [d for d, v in rows if v is not None]
+    m = np.zeros((len(names), 16))
+    for i, v in enumerate(v for _, v in rows if v is not None):
+        m[i, : len(v)] = v
+    m /= np.maximum(np.linalg.norm(m, axis=1, keepdims=True), 1e-300)
+    asked = sorted(r["d"] for r in q.where("v IS NOT NULL").collect())
+    want = {}
+    for a in asked:
+        s = np.round(m @ m[names.index(a)], 9)
+        want[a] = sorted(range(len(names)), key=lambda i: (-s[i], names[i]))[:5]
+    exact = vec.search_dense(index, q, "d", "v", 5, probes=10_000)
+    got = {a: [] for a in asked}
+    for r in exact.orderBy("rank").collect():
+        got[r["query_id"]].append(r["doc_id"])
+    assert got == {a: [names[i] for i in w] for a, w in want.items()}
+    assert vec.recall(vec.search_dense(index, q, "d", "v", 5), exact).first()["recall"] >= 0.9
+    none = vec.build_dense_index(df.limit(0), "d", "v")
+    assert vec.search_dense(none, q, "d", "v").count() == 0
+
+
 def test_prompts_without_hits_or_corpus(spark):
     q = spark.createDataFrame([(1, "why")], "q bigint, t string")
     hits = spark.createDataFrame([], "query_id bigint, doc_id bigint, rank int")
