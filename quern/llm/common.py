@@ -43,7 +43,8 @@ def map_rows(
     schema = T.StructType(base.schema.fields + added.fields)
     kinds = [to_arrow_type(f.dataType) for f in added.fields]
     names = schema.names
-    at = [base.columns.index(c) for c in inputs]
+    lower = [c.lower() for c in base.columns]  # names are found as Spark finds them
+    at = [lower.index(c.lower()) for c in inputs]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()

@@ -54,7 +54,7 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_simhash")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    printed = simhash.simhash_groups(docs)
+    printed = simhash.simhash_groups(docs, keep_text=False)
     return printed.select("doc_id", "fingerprint", "component_id")
 
 

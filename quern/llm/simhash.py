@@ -145,17 +145,19 @@ def fingerprint_roots(printed: DataFrame, radius: int = RADIUS) -> DataFrame:
     return roots.withColumnRenamed("node", "_q_fp")
 
 
-def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS) -> DataFrame:
+def simhash_groups(docs: DataFrame, shingle: int = SHINGLE, radius: int = RADIUS, keep_text: bool = True) -> DataFrame:
     """Add ``fingerprint`` (16 hexadecimal digits) and ``component_id`` to every document.
 
     Documents are linked when their fingerprints differ in at most ``radius`` bits; ``component_id`` is the smallest
     ``doc_id`` that links reach. Texts without words (null and empty ones too) have fingerprint zero and are linked
     like any other. Rows with a null ``doc_id`` take part and never name a component that has another id (a component
     of null ids alone has a null one). Equal rows are rows of one component. An empty table stays empty. Work beyond
-    the texts is on distinct fingerprints, so copies cost nothing. Columns read: ``doc_id, text``.
+    the texts is on distinct fingerprints, so copies cost nothing. Without ``keep_text`` texts are neither written nor
+    returned. Columns read: ``doc_id, text``.
     """
     base = docs.drop("fingerprint", "component_id")
-    printed = written(with_fingerprint(base, shingle), "fingerprints")
+    printed = with_fingerprint(base, shingle)
+    printed = written(printed if keep_text else printed.drop("text"), "fingerprints")
     least = written(printed.groupBy("_q_fp").agg(F.min("doc_id").alias("_q_least")), "least-ids")
     roots = written(fingerprint_roots(printed, radius), "roots")
     named = least.join(roots, "_q_fp", "left").withColumn("root", F.coalesce("root", "_q_fp"))

@@ -19,10 +19,12 @@ FIRST_DEPTH = 16
 def integer_vectors(vectors: DataFrame, scale: int = SCALE) -> DataFrame:
     """``vec_id, v, copies``: floor(scale * x) of each component; equal rows together.
 
-    Rows whose id or vector is null, or whose vector holds a null or non-finite component, take no part.
+    Rows whose id or vector is null, or whose vector holds a null or non-finite component, take no part; nor do vectors
+    with a scaled component of ``2**31`` divided by the root of their length, or more, so that every score fits 64 bits.
     """
     x = F.col("embedding").cast("array<double>")
-    odd = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) == float("inf")))
+    most = F.lit(float(1 << 31)) / F.sqrt(F.greatest(F.size("embedding"), F.lit(1)))
+    odd = F.exists(x, lambda c: c.isNull() | F.isnan(c) | (F.abs(c) * scale >= most))
     good = vectors.filter(F.col("vec_id").isNotNull() & ~F.coalesce(odd, F.lit(True)))
     v = F.transform(x, lambda c: F.floor(c * scale).cast("long"))
     return good.select(F.col("vec_id").cast("long").alias("vec_id"), v.alias("v")).groupBy("vec_id", "v").agg(F.count("*").alias("copies"))
@@ -95,7 +97,7 @@ def exact_topk(vectors: DataFrame, is_query: Column, k: int = K, scale: int = SC
     ``is_query`` chooses the queries by ``vec_id``; candidates are all rows but those of the query's own id. Ties go to
     the smaller ``vec_id``; equal rows count each, a query id that occurs in several rows is asked once per distinct
     vector and its answers are ranked together; shorter vectors count as filled up with zeros; fewer candidates give
-    fewer ranks; an empty table or no queries give no rows.
+    fewer ranks; an empty table or no queries give no rows. Too large components: see :func:`integer_vectors`.
 
     Vectors are dealt into blocks by hash, queries into blocks of their own, and each pair of blocks is one task's work
     of bounded size that leaves ``k`` rows per query. Columns read: ``vec_id, embedding``.

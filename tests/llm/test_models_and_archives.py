@@ -7,7 +7,8 @@ import numpy as np
 import xxhash
 from pyspark.sql import functions as F
 
-from quern.llm import language, quality_model, warc
+from quern.llm import language, quality_model, simhash, topk, warc
+from quern.llm.common import map_rows
 
 
 def plain_states(net, data):
@@ -127,3 +128,21 @@ def test_archives_are_bounded_and_read_by_many_tasks(spark):
     tasks = chunks.select(F.spark_partition_id().alias("t")).distinct().count()
     assert tasks > n // 2
     assert warc.read_pages(archives, root).agg(F.count_distinct("page_id")).first()[0] == 600
+
+
+def test_vectors_too_large_for_a_score_take_no_part(spark):
+    rows = [(0, [1.0, 0.5]), (1, [1e30, 1.0]), (2, [1e20, 2.0]), (3, [5.0e6, 1.0]), (4, [-5.9e6, 1.0]), (5, [6.0e6, 0.0]), (6, [0.0, 2.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [tuple(r) for r in topk.exact_topk(df, F.col("vec_id") == 0).orderBy("rank").collect()]
+    assert [(r[2], r[3]) for r in got] == [(3, 256 * 1280000000 + 128 * 256), (6, 128 * 512), (4, -256 * 1510400000 + 128 * 256)]
+
+
+def test_columns_are_found_whatever_their_case(spark):
+    df = spark.createDataFrame([(1, "a b")], "doc_id long, Text string")
+    assert map_rows(df, ["text"], "n int", lambda: lambda t: (len(t),)).first()["n"] == 3
+
+
+def test_groups_without_texts_are_the_same(spark):
+    df = spark.createDataFrame([(1, "a b c d e"), (2, "a b c d e"), (3, None), (4, "other words " * 5)], "doc_id long, text string")
+    whole, narrow = simhash.simhash_groups(df), simhash.simhash_groups(df, keep_text=False)
+    assert "text" not in narrow.columns and sorted(map(tuple, whole.drop("text").collect())) == sorted(map(tuple, narrow.collect()))
