@@ -376,3 +376,25 @@ def shift_pairs(preds: Column, labels: Column) -> Column:
         F.slice(labels, F.lit(2), n),
         lambda p, y: F.struct(p.alias("pred"), y.alias("label")),
     )
+
+
+# ---------------------------------------------------------------- length sketches
+
+#: Size parameter of the length sketches; their ranks are off by 1.33 % of the rows at most, nearly always.
+SKETCH_K, SKETCH_ERROR = 400, 0.0133
+
+
+def length_sketches(df: DataFrame, length: str, by: list[str]) -> DataFrame:
+    """``by, sketch``: a mergeable quantile sketch of the lengths of each group, some kilobytes each.
+
+    A stored table of them gives the percentiles of any union of groups without the texts being read again. Null
+    lengths take no part.
+    """
+    return df.groupBy(*by).agg(F.kll_sketch_agg_bigint(F.col(length).cast("bigint"), SKETCH_K).alias("sketch"))
+
+
+def merged_profile(sketches: DataFrame, quantiles: list[float]) -> DataFrame:
+    """One row: ``n`` lengths under all given sketches and their approximate quantiles ``q_<percent>``."""
+    merged = sketches.agg(F.kll_merge_agg_bigint("sketch").alias("s"))
+    found = [F.kll_sketch_get_quantile_bigint("s", F.lit(q)).alias(f"q_{round(100 * q)}") for q in quantiles]
+    return merged.select(F.kll_sketch_get_n_bigint("s").alias("n"), *found)

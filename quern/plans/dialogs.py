@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from quern.functions import replies
 from quern.functions.text import tokens
-from quern.operators import dialog, filters, roleplay, templates
+from quern.operators import dialog, expand, filters, roleplay, templates
 from quern.operators.ordering import dense_index
 from quern.plans.fixtures import QA_SQL, WS_SQL, chat_turns, qa_pairs, sql_hash, sql_strip, sql_tokens
 from quern.plans.registry import query, spread_table, sql_text, table
@@ -132,6 +132,15 @@ def dialog_prompts_rl(spark, sf):
     return rows.select("conv_id", "pair_idx", F.col("prompt_text").alias("prompt"))
 
 
+@query("dialog_prompts_callback", f"WITH {RL_SQL}")
+def dialog_prompts_callback(spark, sf):
+    """The same prompts, the pairs made by a callback over each dialog's turns."""
+    turns = rough_turns(spark, sf).select("conv_id", "turn", "role", "text", "system_prompt")
+    pairs = expand.expand_dialogs(turns, "conv_id", "turn", "pair_idx bigint, query string, response string, system string", expand.prompts_of_dialog)
+    rows = dialog.render_pairs(templates.with_named_template(pairs, "qwen"), F.col("system"))
+    return rows.select("conv_id", "pair_idx", F.col("prompt_text").alias("prompt"))
+
+
 @query("filter_prompt_nonempty", f"WITH q AS (WITH {RL_SQL}) SELECT conv_id, count(*) AS n_prompts FROM q WHERE length(prompt) > 0 GROUP BY 1")
 def filter_prompt_nonempty(spark, sf):
     rows = dialog_prompts_rl(spark, sf).where(F.length("prompt") > 0)

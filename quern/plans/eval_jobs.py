@@ -14,7 +14,7 @@ from quern.plans.registry import query, spread_table, sql_text, table
 from quern.operators import convert
 from quern.session import scratch_dir
 from quern.sources import readers, writers
-from quern.streaming import jobs
+from quern.streaming import jobs, progress
 
 # ---------------------------------------------------------------- completions made from orders
 
@@ -459,3 +459,28 @@ def stream_resume_scoring(spark, sf):
         said.where(F.col("sample_id") % 2 == side).write.mode("append").parquet(path)
         _, summary = jobs.stream_scores(eval_samples(spark, sf), path, schema, state)
     return summary
+
+
+@query("stream_accuracy", f"WITH {SCORED_SQL} SELECT * FROM summary")
+def stream_accuracy(spark, sf):
+    path, state = scratch_dir(spark, "predictions"), scratch_dir(spark, "accuracy")
+    said = predictions(spark, sf)
+    schema = "sample_id bigint, model_label string, eval_dataset string, prediction string"
+    for side in (0, 1):  # files come in between the two calls
+        said.where(F.col("sample_id") % 2 == side).write.mode("append").parquet(path)
+        totals = progress.stream_accuracy(eval_samples(spark, sf), path, schema, state)
+    return totals
+
+
+@query(
+    "stream_progress",
+    """SELECT count(*) AS scanned, count(CASE WHEN length(text) BETWEEN 500 AND 8000 THEN 1 END) AS collected,
+round(100.0::DOUBLE * count(CASE WHEN length(text) BETWEEN 500 AND 8000 THEN 1 END) / count(*), 6) AS yield_pct,
+count(CASE WHEN length(text) BETWEEN 500 AND 8000 THEN 1 END) AS written FROM documents""",
+)
+def stream_progress(spark, sf):
+    docs = jobs.stream_table(spark, sf, "documents", jobs.DOCUMENTS)
+    kept, counters = progress.collect_accepted(docs, F.length("text").between(500, 8000), "accepted")
+    seen = counters.summary()
+    figures = [F.lit(seen["scanned"]).cast("bigint").alias("scanned"), F.lit(seen["collected"]).cast("bigint").alias("collected")]
+    return kept.agg(F.count(F.lit(1)).alias("written")).select(*figures, F.round(F.lit(seen["yield_pct"]), 6).alias("yield_pct"), "written")

@@ -11,7 +11,7 @@ from quern.operators.ordering import dense_index
 from quern.plans.dialogs import RENDERED_SQL, rendered_dialogs
 from quern.plans.fixtures import sql_tokens
 from quern.plans.registry import query, spread_table
-from quern.session import ensure_checkpoint_dir
+from quern.session import ensure_checkpoint_dir, scratch_dir
 
 COUNTS_SQL = f"counts AS (SELECT piece, count(*) AS freq FROM (SELECT unnest({sql_tokens('text')}) AS piece FROM documents) GROUP BY piece)"
 VOCAB_SQL = f"""{COUNTS_SQL},
@@ -268,6 +268,23 @@ def length_percentiles(spark, sf):
     return tok.length_profile(rows, "n", [1024, 2048])
 
 
+@query("length_sketches", "SELECT count(*) AS n, TRUE AS p50_near, TRUE AS p90_near FROM documents")
+def length_sketches(spark, sf):
+    """Stored sketches per source, merged, and whether the ranks of their percentiles are as near as they promise."""
+    rows = corpus(spark, sf).select("source", F.size(tokens(F.col("text"))).alias("n_tokens"))
+    path = scratch_dir(spark, "length-sketches")
+    tok.length_sketches(rows, "n_tokens", ["source"]).write.parquet(path)
+    found = tok.merged_profile(spark.read.parquet(path), [0.5, 0.9])
+    lengths = rows.crossJoin(F.broadcast(found))  # one row
+
+    def near(q: float, at: str):
+        # equal lengths hold a range of ranks; the wanted one must lie in it or within the error of it
+        below, upto = (F.avg(c.cast("double")) for c in (F.col("n_tokens") < F.col(at), F.col("n_tokens") <= F.col(at)))
+        return (below - tok.SKETCH_ERROR <= q) & (upto + tok.SKETCH_ERROR >= q)
+
+    return lengths.groupBy("n").agg(near(0.5, "q_50").alias("p50_near"), near(0.9, "q_90").alias("p90_near"))
+
+
 @query(
     "left_truncate_context",
     f"""WITH {ENC_SQL}, t AS (SELECT doc_id, list_slice(ids, greatest(len(ids) - 120, 0) + 1, len(ids)) AS t FROM docs)
