@@ -93,36 +93,90 @@ def _pair_sums(found: DataFrame) -> DataFrame:
     return found.where("p.b is not null").groupBy("p.a", "p.b").agg(F.sum("p.k").alias("n"))
 
 
-def train_bpe_merges(spark: SparkSession, counts: DataFrame, n_merges: int, rewrite_every: int = 8) -> DataFrame:
+#: Most frequent pairs that a round of training looks at, and pairs that it joins at most.
+TOP_PAIRS, MAX_BATCH = 64, 32
+
+
+def merge_batch(top: list[tuple[str, str, int]], whole: bool, formed: set[str], room: int = MAX_BATCH) -> list[tuple[str, str, int]]:
+    """The first pairs of ``top`` (most frequent first, ties in order; ``whole`` if these are all) that can be joined in
+    one round with the result of joining one after another.
+
+    No symbol is the first of one pair and the second of another, so no join changes another's count. A pair that a join
+    makes is at most as frequent as a pair that overlaps the joined one, and the first such pair ends the list: what
+    comes before it and is more frequent stays ahead of all new pairs. At equal counts a new pair comes later if the
+    joined symbols, which may stand first in it, come behind the pair's own first symbol. A symbol that was ``formed``
+    before ends the list, as its pairs are counted together with older ones.
+    """
+    firsts: set[str] = set()
+    seconds: set[str] = set()
+    apart = []
+    cut = 0 if whole else top[-1][2]
+    for a, b, n in top:
+        if a in seconds or b in firsts or a == b:
+            cut = n
+            break
+        firsts.add(a)
+        seconds.add(b)
+        apart.append((a, b, n))
+    out: list[tuple[str, str, int]] = []
+    known = set(formed)
+    for a, b, n in apart[: min(room, MAX_BATCH)] or top[:1]:
+        if out and n <= cut and any(x + y <= a for x, y, _ in out):
+            break
+        out.append((a, b, n))
+        if a + b in known:
+            break
+        known.add(a + b)
+    return out
+
+
+def merges_to_size(counts: DataFrame, size: int = VOCAB_SIZE) -> int:
+    """Merges that fill a vocabulary of ``size`` pieces beside the reserved ids and the alphabet."""
+    letters = counts.select(F.explode(F.split("piece", "")).alias("c")).where("c <> ''").distinct().count()
+    return max(0, size - RESERVED - letters)
+
+
+def train_bpe_merges(
+    spark: SparkSession, counts: DataFrame, n_merges: int | None = None, rewrite_every: int = 8, size: int = VOCAB_SIZE
+) -> DataFrame:
     """``round, first, second, freq``: the most frequent neighbouring pair of each round, joined before the next.
 
-    Works on the word-frequency table. Pair counts are taken once; a round then only recounts the words that hold the
-    winning pair and adds the difference. Word and pair tables are cut from their lineage through the checkpoint
-    folder, and the single winning row of a round is all that reaches the driver. Ties go to the smaller pair.
+    Works on the word-frequency table; without ``n_merges`` up to a vocabulary of ``size`` pieces. Pair counts are taken
+    once. A pass joins all pairs of :func:`merge_batch`, so several rounds are one pass; it recounts only the words that
+    hold one of them and adds the difference. Word and pair tables are cut from their lineage through the checkpoint
+    folder, and the few most frequent pairs are all that reaches the driver. Ties go to the smaller pair.
     """
     ensure_checkpoint_dir(spark)
+    n_merges = merges_to_size(counts, size) if n_merges is None else n_merges
     spread = counts.repartition(shuffle_width(spark), "piece")
     words = spread.select(_spaced(F.split("piece", "")).alias("w"), "freq").checkpoint()
     every = words.select(_symbols(F.col("w")).alias("s"), "freq")
     pairs = _pair_sums(every.select(F.explode(_pairs("s", F.col("freq"))).alias("p"))).checkpoint()
     merges: list[tuple[int, str, str, int]] = []
+    formed: set[str] = set()
+    since = 0
     while len(merges) < n_merges:
-        best = pairs.orderBy(F.desc("n"), "a", "b").first()
-        if best is None:
+        top = [tuple(r) for r in pairs.orderBy(F.desc("n"), "a", "b").limit(TOP_PAIRS).collect()]
+        if not top:
             break
-        a, b, n = best
-        merges.append((len(merges), a, b, n))
-        apart, joined = F.lit(f" {a}{SYMBOL_GAP}{b} "), F.lit(f" {a}{b} ")
-        held = words.where(F.col("w").contains(apart)).select(
-            "freq", _symbols(F.col("w")).alias("s"), _symbols(F.replace("w", apart, joined)).alias("t")
-        )
+        batch = merge_batch(top, len(top) < TOP_PAIRS, formed, n_merges - len(merges))
+        merges += [(len(merges) + i, a, b, n) for i, (a, b, n) in enumerate(batch)]
+        formed |= {a + b for a, b, _ in batch}
+        if len(merges) >= n_merges:
+            break
+        held, joined = F.lit(False), F.col("w")
+        for a, b, _ in batch:
+            apart = F.lit(f" {a}{SYMBOL_GAP}{b} ")
+            held = held | F.col("w").contains(apart)
+            joined = F.replace(joined, apart, F.lit(f" {a}{b} "))
+        changed = words.where(held).select("freq", _symbols(F.col("w")).alias("s"), _symbols(joined).alias("t"))
         change = F.concat(_pairs("s", -F.col("freq")), _pairs("t", F.col("freq")))
-        delta = _pair_sums(held.select(F.explode(change).alias("p")))
-        summed = pairs.unionByName(delta).groupBy("a", "b").agg(F.sum("n").alias("n")).where("n > 0")
-        pairs = summed.checkpoint()
-        words = words.withColumn("w", F.replace("w", apart, joined))
-        if len(merges) % rewrite_every == 0:
-            words = words.checkpoint()
+        delta = _pair_sums(changed.select(F.explode(change).alias("p")))
+        pairs = pairs.unionByName(delta).groupBy("a", "b").agg(F.sum("n").alias("n")).where("n > 0").checkpoint()
+        words = words.withColumn("w", joined)
+        since += len(batch)
+        if since >= rewrite_every:
+            words, since = words.checkpoint(), 0
     return spark.createDataFrame(merges, "round int, first string, second string, freq bigint")
 
 

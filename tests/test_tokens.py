@@ -45,6 +45,61 @@ def test_bpe_merges(spark):
     assert sorted(got) == brute_merges(freqs, 9)
 
 
+def plain_pairs(words):
+    n = Counter()
+    for s, f in words:
+        for x, y in zip(s, s[1:], strict=False):
+            n[x, y] += f
+    return n
+
+
+def plain_join(s, a, b):
+    out, i = [], 0
+    while i < len(s):
+        hit = i + 1 < len(s) and s[i] == a and s[i + 1] == b
+        out.append(a + b if hit else s[i])
+        i += 2 if hit else 1
+    return out
+
+
+def test_batches_of_merges_equal_single_merges():
+    singles = batches = 0
+    for seed in range(120):
+        rng = random.Random(seed)
+        letters = "abcdefgh"[: rng.randrange(2, 9)]
+        most = rng.choice([1, 3, 50, 10_000])  # small counts give many ties
+        texts = {"".join(rng.choices(letters, k=rng.randrange(1, 9))): rng.randrange(1, most + 1) for _ in range(rng.randrange(2, 60))}
+        want, words = [], [(list(w), f) for w, f in texts.items()]
+        while n := plain_pairs(words):
+            a, b = min(n, key=lambda p: (-n[p], p))
+            want.append((a, b, n[a, b]))
+            words = [(plain_join(s, a, b), f) for s, f in words]
+        got, words, formed = [], [(list(w), f) for w, f in texts.items()], set()
+        while n := plain_pairs(words):
+            top = sorted(((a, b, c) for (a, b), c in n.items()), key=lambda r: (-r[2], r[0], r[1]))
+            shown = top[: rng.choice([1, 4, 64])]
+            batch = tok.merge_batch(shown, len(shown) == len(top), formed)
+            got += batch
+            formed |= {a + b for a, b, _ in batch}
+            for a, b, _ in batch:
+                words = [(plain_join(s, a, b), f) for s, f in words]
+            batches += 1
+        assert got == want
+        singles += len(want)
+    assert batches < 0.8 * singles
+
+
+def test_merges_to_the_size_of_a_vocabulary(spark):
+    rng = random.Random(6)
+    syllables = ["ba", "ke", "tin", "sor", "mu", "la", "del", "fi"]
+    freqs = {"".join(rng.choices(syllables, k=rng.randrange(1, 4))): rng.randrange(1, 40) for _ in range(80)}
+    counts = spark.createDataFrame(list(freqs.items()), "piece string, freq bigint")
+    letters = len(set("".join(freqs)))
+    assert tok.merges_to_size(counts, 60) == 60 - tok.RESERVED - letters
+    got = sorted(tuple(r) for r in tok.train_bpe_merges(spark, counts, size=letters + tok.RESERVED + 24).collect())
+    assert got == brute_merges(freqs, 24)
+
+
 def test_bpe_stops_when_nothing_is_left(spark):
     counts = spark.createDataFrame([("ab", 1)], "piece string, freq bigint")
     assert tok.train_bpe_merges(spark, counts, 5).count() == 1
