@@ -67,4 +67,4 @@ def test_length_sketches_merge_to_the_percentiles_of_any_union(spark):
         assert got["n"] == len(lengths)
         for q in (0.5, 0.9):
             rank = sum(x <= got[f"q_{round(100 * q)}"] for x in lengths) / len(lengths)
-            assert abs(rank - q) <= 2 * tok.SKETCH_ERROR
+            assert abs(rank - q) <= tok.SKETCH_ERROR + 0.001  # equal lengths
