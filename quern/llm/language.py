@@ -21,7 +21,7 @@ MAX_PER_LANG, MAX_CHARS = 400, 2000
 EPOCHS, LEAST_STEPS, BATCH, RATE = 1, 150, 128, 0.02
 SEED = 42
 #: Stretches worked on at a time.
-WIDE = 4096
+WIDE = 2048
 UNKNOWN = "und"
 
 
@@ -46,22 +46,34 @@ class ByteNetwork:
         """States after each byte; where ``mask`` is 0 the state is zero. ``keep`` gets what the way back needs."""
         n, length = codes.shape
         h, x, u = self.h, self.p["x"], self.p["u"]
-        both = np.stack((codes, codes[:, ::-1])).transpose(2, 0, 1)
-        on = np.stack((mask, mask[:, ::-1])).transpose(2, 0, 1)[..., None].astype(np.float32)
-        whole = bool(mask.all())
+        by_time = np.ascontiguousarray(codes.T)
+        there = np.ascontiguousarray(mask.T).astype(x.dtype)
+        whole = there.all(axis=1)
         state = np.zeros((2, n, h), np.float32)
         out = np.empty((length, 2, n, h), np.float32)
+        a = np.empty((2, n, 3 * h), x.dtype)
         for t in range(length):
-            a = np.stack((x[0][both[t, 0]], x[1][both[t, 1]]))
+            back = length - 1 - t
+            np.take(x[0], by_time[t], axis=0, out=a[0], mode="clip")
+            np.take(x[1], by_time[back], axis=0, out=a[1], mode="clip")
+            on = np.stack((there[t], there[back]))[..., None]
             s = np.matmul(state, u)
-            gate = 0.5 + 0.5 * np.tanh(0.5 * (a[..., : 2 * h] + s[..., : 2 * h]))
+            gate = a[..., : 2 * h] + s[..., : 2 * h]
+            gate *= 0.5
+            np.tanh(gate, out=gate)
+            gate *= 0.5
+            gate += 0.5
             z, r = gate[..., :h], gate[..., h:]
-            c = np.tanh(a[..., 2 * h :] + r * s[..., 2 * h :])
-            new = c + z * (state - c)
-            if not whole:
-                new *= on[t]
+            c = r * s[..., 2 * h :]
+            c += a[..., 2 * h :]
+            np.tanh(c, out=c)
+            new = state - c
+            new *= z
+            new += c
+            if not (whole[t] and whole[back]):
+                new *= on
             if keep is not None:
-                keep.append((state, z, r, c, s[..., 2 * h :], on[t]))
+                keep.append((state, z, r, c, s[..., 2 * h :], on))
             out[t] = state = new
         return out
 
