@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import hashlib
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -94,10 +96,44 @@ def fingerprint(content: Column) -> Column:
     return F.md5(F.substring(content, 1, MIB))
 
 
+def _located(name: str, stores: dict[str, tuple[fs.FileSystem, str]]) -> tuple[fs.FileSystem, str]:
+    """The file system of a full path and the path inside it."""
+    scheme, host, inner = re.fullmatch(r"([A-Za-z][\w+.-]*):(?://([^/]*))?(/.*)", name, re.DOTALL).groups()
+    root = f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{host or ''}/"
+    if root not in stores:
+        stores[root] = fs.FileSystem.from_uri(root)
+    store, base = stores[root]
+    return store, base.rstrip("/") + inner
+
+
+def _head(name: str, stores: dict[str, tuple[fs.FileSystem, str]]) -> bytes:
+    store, inner = _located(name, stores)
+    with store.open_input_file(inner) as f:
+        return f.read(MIB)
+
+
 def _heads(spark: SparkSession, path: str) -> DataFrame:
-    """``path, head``: the first MiB of every file below ``path``."""
+    """``path, head``: the first MiB of every file below ``path``; empty files are not listed.
+
+    The scan lists files without reading them, and each task reads the first MiB of its own, however large they are. A
+    store that Python cannot open (tried with one file) is read by Spark instead, which holds a file whole and takes
+    none beyond 2 GB.
+    """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path)
-    return files.select("path", F.substring("content", 1, MIB).alias("head"))
+    names = files.select("path")
+    one = names.first()
+    try:
+        _head(one["path"], {}) if one else b""
+    except (pa.ArrowException, OSError):
+        return files.select("path", F.substring("content", 1, MIB).alias("head"))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        stores: dict[str, tuple[fs.FileSystem, str]] = {}
+        for b in batches:
+            for name in b.column(0).to_pylist():
+                yield pa.RecordBatch.from_arrays([pa.array([name]), pa.array([_head(name, stores)])], ["path", "head"])
+
+    return names.mapInArrow(read, "path string, head binary")
 
 
 def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:

@@ -1,5 +1,6 @@
 """Chunkers, retrieval, sinks and streams against plain loops."""
 
+import hashlib
 import math
 import random
 import re
@@ -256,6 +257,31 @@ def test_fingerprint_uses_the_first_mebibyte(spark):
     assert df.select(readers.fingerprint(F.col("b")).alias("f")).distinct().count() == 1
 
 
+def test_files_beyond_two_gigabytes_are_fingerprinted_by_their_head(spark, tmp_path):
+    (tmp_path / "a b").mkdir()
+    large, small = tmp_path / "a b" / "large.bin", tmp_path / "é%20#.txt"
+    small.write_bytes(b"hello")
+    with large.open("wb") as f:
+        f.write(b"start")
+        f.truncate(3 << 30)  # sparse: takes no room on disk
+    head = b"start" + bytes((1 << 20) - 5)
+    got = {r["path"].rsplit("/", 1)[1]: r["fingerprint"] for r in readers.file_fingerprints(spark, str(tmp_path)).collect()}
+    assert got == {"large.bin": hashlib.md5(head).hexdigest(), "é%20#.txt": hashlib.md5(b"hello").hexdigest()}
+    plan = readers._heads(spark, str(tmp_path))._jdf.queryExecution().toString()
+    assert "ReadSchema: struct<path:string>" in plan
+    assert tuple(readers.file_set_fingerprint(spark, str(tmp_path)).first()) == (hashlib.md5(head + b"hello").hexdigest(), 2)
+
+
+def test_a_store_that_python_cannot_open_is_read_by_spark(spark, tmp_path, monkeypatch):
+    (tmp_path / "x.txt").write_bytes(b"hello")
+
+    def refuse(name, stores):
+        raise OSError("no such store")
+
+    monkeypatch.setattr(readers, "_head", refuse)
+    assert readers.file_fingerprints(spark, str(tmp_path)).first()["fingerprint"] == hashlib.md5(b"hello").hexdigest()
+
+
 def test_files_as_a_set_have_one_fingerprint(spark):
     import hashlib
 
