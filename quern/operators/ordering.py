@@ -107,3 +107,37 @@ def first_n(
     n = F.lit(n) if isinstance(n, int) else n
     rows = _placed(_bucketed(df, key, by, hashed, bounds_from), by, [key, *ties], n)
     return rows.withColumnRenamed("_pos", name).where(F.col(name) < n).select(*df.columns, name)
+
+
+def _numbers(values: Sequence, kind: str) -> Column:
+    """A constant array of numbers, however many, as one literal."""
+    return F.split(F.lit(" ".join(str(x) for x in values)), " ").cast(f"array<{kind}>")
+
+
+def dense_runs(df: DataFrame, key: str, rows: int, name: str = "idx", run: str = "run", part: str = "part") -> DataFrame:
+    """Append the position of each row in ``key`` order, its ``run`` of ``rows`` consecutive rows, and its ``part``, which
+    is made of whole runs.
+
+    The positions of the keys alone tell where parts begin, so the rows themselves are shuffled once, by part: what is
+    then grouped by part and run stays where it is. ``key`` is a number and unique; a null key comes first.
+    """
+    keys = df.select(key)
+    n = keys.count()
+    wanted = max(n // MAX_BUCKETS + 1, min(BUCKET_ROWS, n // max(4, 2 * shuffle_width(df.sparkSession))))
+    size = -(-wanted // rows) * rows
+    starts, firsts = [0], []
+    if n > size:
+        begins = dense_index(keys, key, name="_i").where((F.col("_i") % size == 0) & F.col(key).isNotNull() & (F.col("_i") > 0))
+        for r in begins.orderBy("_i").collect():  # at most MAX_BUCKETS
+            if not firsts or float(r[key]) > float(firsts[-1]):
+                starts.append(r["_i"])
+                firsts.append(r[key])
+    placed = with_bucket(df, key, firsts, "_b")
+    if firsts:
+        # Large whole numbers can round up to the first key of the next part.
+        beyond = F.get(_numbers(firsts, df.schema[key].dataType.simpleString()), F.col("_b") - 1) > F.col(key)
+        placed = placed.withColumn("_b", F.when(beyond, F.col("_b") - 1).otherwise(F.greatest("_b", F.lit(0))))
+    inside = F.row_number().over(Window.partitionBy("_b").orderBy(F.col(key).asc_nulls_first()))
+    at = (F.get(_numbers(starts, "bigint"), F.col("_b")) + inside - 1).cast("bigint")
+    out = placed.withColumn(name, at).withColumn(run, F.floor(F.col(name) / rows))
+    return out.select(*df.columns, name, run, F.col("_b").alias(part))

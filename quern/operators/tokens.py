@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quern.functions.text import all_cjk, nfkc, tokens
 from quern.operators.filters import IGNORE
-from quern.operators.ordering import dense_index
+from quern.operators.ordering import dense_runs
 from quern.session import ensure_checkpoint_dir, shuffle_width
 
 # Reserved ids and the default vocabulary size.
@@ -334,30 +336,33 @@ def _pieces(offset: Column, ids: Column, block: int) -> Column:
     return F.when(F.size(ids) > 0, F.transform(F.sequence(first, last), piece))
 
 
-def _blocks(rows: DataFrame, block: int) -> DataFrame:
-    """``pack_group, block, input_ids`` from rows with ``pack_group, idx, ids``.
+def _blocks(rows: DataFrame, block: int, kept: Sequence[str] = ()) -> DataFrame:
+    """``pack_group, block, input_ids`` from rows with ``pack_part, pack_group, idx, ids``, and the columns ``kept``, which
+    are the same in all rows of a group.
 
-    A group is a fixed number of documents. Offsets come from a running sum inside the group; each block then
-    gathers at most ``block`` tokens.
+    A group is a fixed number of documents, a part whole groups. Offsets come from a running sum inside the group; each
+    block then gathers at most ``block`` tokens. Rows that are dealt by part stay where they are.
     """
-    in_order = Window.partitionBy("pack_group").orderBy("idx")
+    on = ["pack_part", "pack_group"]
+    in_order = Window.partitionBy(*on).orderBy("idx")
     before = in_order.rowsBetween(Window.unboundedPreceding, -1)
-    whole = Window.partitionBy("pack_group")
+    whole = Window.partitionBy(*on)
     n = F.size("ids").cast("bigint")
     placed = rows.withColumn("_off", F.coalesce(F.sum(n).over(before), F.lit(0))).withColumn(
         "_total", F.sum(n).over(whole)
     )
-    cut = placed.select("pack_group", "_total", F.explode(_pieces(F.col("_off"), F.col("ids"), block)).alias("p"))
+    cut = placed.select(*on, *kept, "_total", F.explode(_pieces(F.col("_off"), F.col("ids"), block)).alias("p"))
     full = (F.col("p.block") + 1) * block <= F.col("_total")
-    kept = cut.where(full | (F.col("_total") < block))
+    left = cut.where(full | (F.col("_total") < block))
     parts = F.array_sort(F.collect_list(F.struct("p.offset", "p.ids")))
-    out = kept.groupBy("pack_group", F.col("p.block").alias("block")).agg(parts.alias("x"))
-    return out.select("pack_group", "block", F.flatten(F.transform("x", lambda p: p["ids"])).alias("input_ids"))
+    out = left.groupBy(*on, F.col("p.block").alias("block")).agg(parts.alias("x"), *(F.first(c).alias(c) for c in kept))
+    return out.select("pack_group", "block", F.flatten(F.transform("x", lambda p: p["ids"])).alias("input_ids"), *kept)
 
 
 def pack_groups(df: DataFrame, key: str, group_rows: int = 1000) -> DataFrame:
-    """Add ``idx`` and ``pack_group``: consecutive runs of ``group_rows`` documents in key order."""
-    return dense_index(df, key, name="idx").withColumn("pack_group", F.floor(F.col("idx") / group_rows))
+    """Add ``idx``, ``pack_group`` (consecutive runs of ``group_rows`` documents in key order) and ``pack_part``, by which
+    the rows are dealt out; keys are unique."""
+    return dense_runs(df, key, group_rows, run="pack_group", part="pack_part")
 
 
 def pack_eos_blocks(grouped: DataFrame, ids: str, block: int) -> DataFrame:
@@ -368,7 +373,7 @@ def pack_eos_blocks(grouped: DataFrame, ids: str, block: int) -> DataFrame:
     doc = F.col(ids)
     ended = F.coalesce(F.get(doc, F.size(doc) - 1) == EOS, F.lit(False))
     closed = F.when(ended, doc).otherwise(F.concat(doc, F.array(F.lit(EOS))))
-    return _blocks(grouped.select("pack_group", "idx", closed.alias("ids")), block)
+    return _blocks(grouped.select("pack_part", "pack_group", "idx", closed.alias("ids")), block)
 
 
 def pack_boundary_blocks(grouped: DataFrame, ids: str, block: int) -> DataFrame:
@@ -376,18 +381,21 @@ def pack_boundary_blocks(grouped: DataFrame, ids: str, block: int) -> DataFrame:
     the boundary tokens of its group's first document."""
     doc = F.col(ids)
     inner = F.slice(doc, F.lit(2), F.greatest(F.size(doc) - 2, F.lit(0)))
-    blocks = _blocks(grouped.select("pack_group", "idx", inner.alias("ids")), block - 2)
-    first = grouped.groupBy("pack_group").agg(
-        F.min_by(F.struct(F.get(doc, F.lit(0)).alias("a"), F.get(doc, F.size(doc) - 1).alias("z")), "idx").alias("_w")
-    )
+    ends = F.struct(F.get(doc, F.lit(0)).alias("a"), F.get(doc, F.size(doc) - 1).alias("z"))
+    first = F.first(ends).over(Window.partitionBy("pack_part", "pack_group").orderBy("idx"))
+    rows = grouped.select("pack_part", "pack_group", "idx", inner.alias("ids"), first.alias("_w"))
+    blocks = _blocks(rows, block - 2, ["_w"])
     wrapped = F.concat(F.array("_w.a"), F.col("input_ids"), F.array("_w.z"))
-    return blocks.join(first, "pack_group").select("pack_group", "block", wrapped.alias("input_ids"))
+    return blocks.select("pack_group", "block", wrapped.alias("input_ids"))
 
 
 def pad_batches(
-    df: DataFrame, batch: str, ids: str, labels: str, multiple: int = 4, max_length: int | None = None
+    df: DataFrame, batch: str | list[str], ids: str, labels: str, multiple: int = 4, max_length: int | None = None
 ) -> DataFrame:
-    """Pad every row to its batch's width: the longest row rounded up to ``multiple``, or ``max_length``."""
+    """Pad every row to its batch's width: the longest row rounded up to ``multiple``, or ``max_length``.
+
+    Batches of :func:`dense_runs` are named by part and run; their rows then stay where they are.
+    """
     widest = F.max(F.size(ids)).over(Window.partitionBy(batch))
     width = F.lit(max_length) if max_length else (F.ceil(widest / multiple) * multiple).cast("int")
     rows = df.withColumn("width", width)

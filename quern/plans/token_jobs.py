@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from quern.functions.text import nfkc, tokens
 from quern.operators import filters
 from quern.operators import tokens as tok
-from quern.operators.ordering import dense_index
+from quern.operators.ordering import dense_runs
 from quern.plans.dialogs import RENDERED_SQL, rendered_dialogs
 from quern.plans.fixtures import sql_tokens
 from quern.plans.registry import query, spread_table
@@ -248,9 +248,9 @@ SELECT doc_id, batch_id, width, (width - len(ids))::INTEGER AS n_pad, (list_sum(
 (list_sum(ids) - 100 * (width - len(ids)))::BIGINT AS label_sum, len(ids)::BIGINT AS mask_sum FROM w""",
 )
 def pad_batch(spark, sf):
-    rows = dense_index(encoded(spark, sf), "doc_id", name="idx").withColumn("batch_id", F.floor(F.col("idx") / 8))
+    rows = dense_runs(encoded(spark, sf), "doc_id", 8, run="batch_id")
     rows = rows.withColumn("n", F.size("ids")).withColumn("labels", F.col("ids"))
-    out = tok.pad_batches(rows, "batch_id", "ids", "labels")
+    out = tok.pad_batches(rows, ["part", "batch_id"], "ids", "labels")
     return out.select(
         "doc_id", "batch_id", "width", (F.size("ids") - F.col("n")).alias("n_pad"), total(F.col("ids")).alias("id_sum"),
         total(F.col("labels")).alias("label_sum"), total(F.col("attention_mask")).alias("mask_sum"),

@@ -140,3 +140,32 @@ def test_splits_of_ids_beyond_double_precision(spark):
     text = df.select(F.concat(F.lit("id"), F.col("k").cast("string")).alias("k")).unionByName(spark.createDataFrame([(None,)], "k string"))
     assert sampling.cap_samples(text, "k", 3).agg(F.count("*"), F.max("k")).first() == (3, f"id{2**53 + 1}")
     assert sampling.split_head_percent(df.limit(0), "k", 1).count() == 0 and sampling.cap_samples(df, "k", 99_999).count() == 2000
+
+
+@pytest.mark.parametrize("step, base", [(1, 0), (3, 2**53 - 700), (1, 2**62)])
+@pytest.mark.parametrize("rows", [1, 7, 5000])
+def test_runs_are_whole_in_their_part(spark, step, base, rows):
+    keys = [None, *range(base, base + 2000 * step, step)]
+    df = spark.createDataFrame([(k,) for k in keys], "k bigint").repartition(5)
+    got = ordering.dense_runs(df, "k", rows).collect()
+    assert sorted((r["idx"], r["k"]) for r in got) == list(enumerate(keys))
+    assert all(r["run"] == r["idx"] // rows for r in got)
+    parts = {}
+    for r in got:
+        parts.setdefault(r["run"], set()).add(r["part"])
+    assert all(len(p) == 1 for p in parts.values())
+    assert ordering.dense_runs(df.limit(0), "k", rows).count() == 0
+
+
+def test_rows_in_runs_are_shuffled_once(spark):
+    from quern.operators import tokens as tok
+
+    df = spark.range(3000).select(F.col("id").alias("k"), F.expr("sequence(0, int(id % 40))").alias("ids"))
+    grouped = tok.pack_groups(df, "k", 10)
+    batches = ordering.dense_runs(df, "k", 8).withColumn("labels", F.col("ids"))
+    plans = [
+        tok.pack_eos_blocks(grouped, "ids", 16), tok.pack_boundary_blocks(grouped, "ids", 16),
+        tok.pad_batches(batches, ["part", "run"], "ids", "labels"),
+    ]
+    for p in plans:
+        assert p._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning") == 1
