@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyarrow import fs
@@ -13,8 +14,11 @@ from pyspark.sql import functions as F
 
 from quern.functions.answers import extract_number
 from quern.functions.text import strip, strip_lines
+from quern.session import scratch_dir
 
 MIB = 1 << 20
+#: Bytes that one task of a digest over many rows reads, about.
+PART_BYTES = 128 * MIB
 
 
 def read_jsonl_dir(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -141,22 +145,76 @@ def file_fingerprints(spark: SparkSession, path: str) -> DataFrame:
     return _heads(spark, path).select("path", fingerprint(F.col("head")).alias("fingerprint"))
 
 
+class _Md5:
+    """An MD5 whose state can be taken to another task, by the C library that Python's own one calls."""
+
+    def __init__(self, state: bytes = b"") -> None:
+        self.lib = _md5_library()
+        self.state = ctypes.create_string_buffer(state, 256)
+        if not state:
+            self.lib.MD5_Init(self.state)
+
+    def update(self, data: bytes) -> None:
+        self.lib.MD5_Update(self.state, data, ctypes.c_size_t(len(data)))
+
+    def hexdigest(self) -> str:
+        digest = ctypes.create_string_buffer(16)
+        self.lib.MD5_Final(digest, self.state)
+        return digest.raw.hex()
+
+
+def _md5_library() -> ctypes.CDLL | None:
+    """The C library, or nothing where Python was built without it."""
+    try:
+        import _hashlib
+
+        lib = ctypes.CDLL(_hashlib.__file__)
+        return lib if lib.MD5_Init and lib.MD5_Update and lib.MD5_Final else None
+    except (ImportError, AttributeError, OSError):
+        return None
+
+
 def set_fingerprint(heads: DataFrame, order: str, head: str) -> DataFrame:
     """``fingerprint, n``: one MD5 over the first MiB of every row's content, joined in the order of ``order``.
 
-    A digest over a sequence is taken from front to back: the heads pass one task in order, one at a time.
+    A digest over a sequence is taken from front to back. The heads are written in parts of about ``PART_BYTES``, each a
+    range of ``order``; the parts pass one task after another, and what goes from task to task is the state of the digest,
+    some hundred bytes. Where Python has no digest whose state can be taken along, all heads pass one task.
     """
-
-    def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        md5, n = hashlib.md5(), 0
-        for b in batches:
-            for value in b.column(1):
-                md5.update(value.as_py() or b"")
-                n += 1
-        yield pa.RecordBatch.from_arrays([pa.array([md5.hexdigest()]), pa.array([n], pa.int64())], ["fingerprint", "n"])
+    spark = heads.sparkSession
+    kinds = "fingerprint string, n bigint, state binary"
+
+    def digest(state: bytes, before: int, whole: bool) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            md5, n = hashlib.md5() if whole else _Md5(state), before
+            for b in batches:
+                for value in b.column(1):
+                    md5.update(value.as_py() or b"")
+                    n += 1
+            left = b"" if whole else md5.state.raw
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([md5.hexdigest()]), pa.array([n], pa.int64()), pa.array([left], pa.binary())], ["fingerprint", "n", "state"]
+            )
+
+        return run
+
+    def step(rows: DataFrame, state: bytes = b"", before: int = 0, whole: bool = False) -> DataFrame:
+        return rows.repartition(1).sortWithinPartitions(order).mapInArrow(digest(state, before, whole), kinds)
 
     rows = heads.select(order, F.substring(F.col(head).cast("binary"), 1, MIB).alias("_h"))
-    return rows.repartition(1).sortWithinPartitions(order).mapInArrow(digest, "fingerprint string, n bigint")
+    size = rows.select(F.sum(F.octet_length("_h"))).first()[0] or 0
+    parts = -(-size // PART_BYTES)
+    if parts <= 1 or _md5_library() is None:
+        return step(rows, whole=True).drop("state")
+    path = scratch_dir(spark, "heads")
+    dealt = rows.repartitionByRange(parts, order).withColumn("_part", F.spark_partition_id())
+    dealt.write.partitionBy("_part").parquet(path)
+    written = spark.read.schema(dealt.schema).parquet(path)
+    state, n = b"", 0
+    for i in range(parts - 1):
+        row = step(written.where(F.col("_part") == i).drop("_part"), state, n).first()
+        state, n = bytes(row["state"]), row["n"]
+    return step(written.where(F.col("_part") == parts - 1).drop("_part"), state, n).drop("state")
 
 
 def file_set_fingerprint(spark: SparkSession, path: str) -> DataFrame:

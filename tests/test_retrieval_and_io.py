@@ -400,3 +400,13 @@ def test_stream_packing_equals_batch(spark):
     flow = jobs.stream_pack(spark, sf, vocab, 64, 50).select("pack_group", "block", "input_ids").collect()
     batch = tok.pack_eos_blocks(tok.pack_groups(tj.encoded(spark, sf), "doc_id", 50), "ids", 64).collect()
     assert sorted(map(tuple, flow)) == sorted(map(tuple, batch))
+
+
+def test_a_set_of_files_is_digested_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(readers, "PART_BYTES", 40)
+    rows = [(i, None if i % 7 == 0 else f"text {i}") for i in range(60)] + [(None, "first")]
+    df = spark.createDataFrame(rows, "k bigint, c string").repartition(3)
+    got = readers.set_fingerprint(df, "k", "c")
+    want = hashlib.md5(("first" + "".join(c or "" for _, c in rows[:-1])).encode()).hexdigest()
+    assert tuple(got.first()) == (want, 61)
+    assert got.inputFiles() and all("/_part=" in f for f in got.inputFiles()) and len({f.split("/_part=")[1].split("/")[0] for f in got.inputFiles()}) == 1
