@@ -2,7 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quern.functions.text import explode_indexed, strip_lines, tokens
 from quern.operators import lexical as lex
@@ -185,11 +191,19 @@ deep AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER
 
 
 def hashed_vectors(df):
-    """Token counts in ``VEC`` hash buckets, counted inside the row."""
-    bucket = F.transform(tokens(F.col("text")), lambda t: F.conv(F.substring(F.md5(t), 1, 4), 16, 10).cast("int") % VEC)
-    held = df.withColumn("_s", bucket)
-    n = F.transform(F.sequence(F.lit(0), F.lit(VEC - 1)), lambda d: F.size(F.filter("_s", lambda x: x == d)).cast("double"))
-    return held.withColumn("v", n).drop("_s")
+    """Token counts in ``VEC`` hash buckets, a batch of rows at a time; a token is hashed once per batch."""
+
+    @F.arrow_udf(T.ArrayType(T.DoubleType()))
+    def counted(rows: pa.Array) -> pa.Array:
+        found = rows.flatten().dictionary_encode()
+        bucket = np.array([int(hashlib.md5(t.encode()).hexdigest()[:4], 16) % VEC for t in found.dictionary.to_pylist()], np.int64)
+        sizes = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)
+        cells = np.repeat(np.arange(len(rows)) * VEC, sizes) + bucket[found.indices.to_numpy(zero_copy_only=False)]
+        none = np.repeat(rows.is_null().to_numpy(zero_copy_only=False), VEC)
+        n = pa.array(np.bincount(cells, minlength=len(rows) * VEC).astype(float), mask=none)
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(rows) + 1) * VEC, pa.int32()), n)
+
+    return df.withColumn("v", counted(tokens(F.col("text"))))
 
 
 @query(

@@ -410,3 +410,15 @@ def test_a_set_of_files_is_digested_in_parts(spark, monkeypatch):
     want = hashlib.md5(("first" + "".join(c or "" for _, c in rows[:-1])).encode()).hexdigest()
     assert tuple(got.first()) == (want, 61)
     assert got.inputFiles() and all("/_part=" in f for f in got.inputFiles()) and len({f.split("/_part=")[1].split("/")[0] for f in got.inputFiles()}) == 1
+
+
+def test_hashed_vectors_cut_a_text_into_tokens_once(spark):
+    from quern.plans import retrieval_jobs as jobs
+
+    got = jobs.hashed_vectors(spark.createDataFrame([(0, "a b a"), (1, ""), (2, None)], "k bigint, text string"))
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("regexp_extract_all") == 1 and "lambdafunction" not in plan  # a lambda runs once per bucket
+    want = [0.0] * jobs.VEC
+    for t in "aba":
+        want[int(hashlib.md5(t.encode()).hexdigest()[:4], 16) % jobs.VEC] += 1
+    assert {r["k"]: r["v"] for r in got.collect()} == {0: want, 1: [0.0] * jobs.VEC, 2: [None] * jobs.VEC}
