@@ -5,7 +5,10 @@ from __future__ import annotations
 import unicodedata
 from collections.abc import Callable
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -25,6 +28,19 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), use), F.lit(0))
 
 
+def starts(sizes: np.ndarray) -> np.ndarray:
+    """Where each of neighbouring runs of the given sizes starts, and where the last one ends."""
+    return np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64)
+
+
+def relisted(rows: pa.Array, values: pa.Array, at: np.ndarray | None = None) -> pa.Array:
+    """Lists like those of ``rows``, null where they are, of new values; ``at`` tells where those of each old value start,
+    by default one stands for each."""
+    ends = starts(pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False))
+    ends = ends if at is None else at[ends]
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values, mask=rows.is_null())
+
+
 def explode_indexed(df: DataFrame, keys: list[str], array: str, idx: str, value: str) -> DataFrame:
     """One row per element of a computed array column, numbered from 0.
 

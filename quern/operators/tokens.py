@@ -4,10 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quern.functions.text import all_cjk, nfkc, tokens
+from quern.functions.text import all_cjk, let, nfkc, relisted, starts, tokens
 from quern.operators.filters import IGNORE
 from quern.operators.ordering import dense_runs
 from quern.session import ensure_checkpoint_dir, shuffle_width
@@ -215,19 +219,29 @@ def encode(token_array: Column, table: Column, buckets: int = 1024, unknown: int
     )
 
 
-def byte_ids(token: Column) -> Column:
-    """Ids of a token's UTF-8 bytes."""
-    digits = F.hex(F.encode(token, "UTF-8"))
-    starts = F.sequence(F.lit(1), F.greatest(F.length(digits) - 1, F.lit(1)), F.lit(2))
-    return F.transform(starts, lambda i: F.conv(F.substr(digits, i, F.lit(2)), 16, 10).cast("int") + RESERVED)
-
-
 def encode_or_bytes(token_array: Column, table: Column, buckets: int = 1024) -> Column:
-    """Ids of a token array where an unknown token becomes the ids of its bytes."""
-    found = F.transform(
-        token_array, lambda t: F.struct(t.alias("t"), encode(F.array(t), table, buckets, -1)[0].alias("id"))
+    """Ids of a token array where an unknown token becomes the ids of its UTF-8 bytes; an empty or null one is a null id.
+
+    Bytes are spelt out a batch of rows at a time, and stand in where the table has no id.
+    """
+    ids = T.ArrayType(T.IntegerType())
+
+    @F.arrow_udf(T.StructType([T.StructField("t", T.ArrayType(T.StringType())), T.StructField("b", T.ArrayType(ids))]))
+    def spelt(rows: pa.Array) -> pa.Array:
+        raw = rows.flatten().cast(pa.large_binary())
+        size = pc.fill_null(pc.binary_length(raw), 0).to_numpy(zero_copy_only=False)
+        at = starts(np.maximum(size, 1))
+        void = np.zeros(at[-1], bool)
+        void[at[:-1][size == 0]] = True
+        out = np.zeros(at[-1], np.int32)
+        out[~void] = np.frombuffer(b"".join(raw.drop_null().to_pylist()), np.uint8).astype(np.int32) + RESERVED
+        spelling = pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(out, mask=void))
+        return pa.StructArray.from_arrays([rows, relisted(rows, spelling)], ["t", "b"])
+
+    return let(
+        spelt(token_array),
+        lambda x: F.flatten(F.zip_with(encode(x["t"], table, buckets, -1), x["b"], lambda i, b: F.when(i >= 0, F.array(i)).otherwise(b))),
     )
-    return F.flatten(F.transform(found, lambda x: F.when(x["id"] >= 0, F.array(x["id"])).otherwise(byte_ids(x["t"]))))
 
 
 def encode_columns(df: DataFrame, texts: dict[str, str], vocab: DataFrame) -> DataFrame:
