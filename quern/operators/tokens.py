@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from quern.functions.text import all_cjk, let, nfkc, relisted, starts, tokens
 from quern.operators.filters import IGNORE
 from quern.operators.ordering import dense_runs
-from quern.session import ensure_checkpoint_dir, shuffle_width
+from quern.session import ensure_checkpoint_dir, scratch_dir, shuffle_width
 
 # Reserved ids and the default vocabulary size.
 UNK, BOS, EOS, PAD = 0, 1, 2, 3
@@ -22,16 +22,17 @@ RESERVED, BYTES = 4, 256
 VOCAB_SIZE = 2236
 
 MAX_LOOKUP = 200_000  # largest vocabulary that is shipped to every task
-HOT_SHARE = 1 / 65_536  # pieces above this share of the tokens are hot, so there are at most 65 536
+HOT_SHARE = 1 / 16_777_216  # pieces above this share of the tokens are hot, ``MAX_LOOKUP`` of them at most
 
 
 # ---------------------------------------------------------------- vocabularies
 
 
-def piece_counts(df: DataFrame, text: str = "text", normalize: bool = False) -> DataFrame:
-    """Frequency of every token of a corpus, in compatibility form if asked; counts are combined before the exchange."""
+def piece_counts(df: DataFrame, text: str = "text", normalize: bool = False, by: Sequence[str] = ()) -> DataFrame:
+    """Frequency of every token of a corpus (for each value of ``by``, if given), in compatibility form if asked; counts
+    are combined before the exchange."""
     c = nfkc(F.col(text)) if normalize else F.col(text)
-    return df.select(F.explode(tokens(c)).alias("piece")).groupBy("piece").agg(F.count(F.lit(1)).alias("freq"))
+    return df.select(*by, F.explode(tokens(c)).alias("piece")).groupBy(*by, "piece").agg(F.count(F.lit(1)).alias("freq"))
 
 
 def build_vocab(counts: DataFrame, size: int = VOCAB_SIZE, byte_fallback: bool = False) -> DataFrame:
@@ -256,33 +257,53 @@ def encode_column(df: DataFrame, text: str, vocab: DataFrame, name: str = "ids")
     return encode_columns(df, {name: text}, vocab)
 
 
-def encode_joined(df: DataFrame, key: str, text: str, vocab: DataFrame, name: str = "ids") -> DataFrame:
-    """Add the id array of a text column under a vocabulary of any size. Keys are unique and not null.
+def encode_joined(
+    df: DataFrame, key: str, text: str, vocab: DataFrame, name: str = "ids", counts: DataFrame | None = None,
+    keep: Sequence[str] | None = None,
+) -> DataFrame:
+    """Add the id array of a text column under a vocabulary of any size; null texts stay null.
 
-    Hot pieces (``HOT_SHARE``) are looked up in place. The others meet the vocabulary by a shuffle on the piece, where
-    none is more than a small part of the tokens, and are put back at their places per document. Null texts stay null.
+    The most frequent pieces of the texts, ``MAX_LOOKUP`` at most, are hot and looked up in place. Texts are cut into
+    tokens once for that and the result is written. The other tokens meet the vocabulary by a shuffle on the piece, where
+    none is more than a small part of the tokens, and are put back into their row. ``counts`` may hold the
+    :func:`piece_counts` of the texts, ``keep`` the columns wanted beside the key (by default all).
     """
-    ensure_checkpoint_dir(df.sparkSession)
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
     entries = vocab.select("piece", F.col("id").cast("int").alias("id"))
-    counts = piece_counts(df, text)
-    heavy = counts.where(F.col("freq") >= counts.select(F.sum("freq")).scalar() * F.lit(HOT_SHARE)).select("piece")
-    hot = heavy.join(entries, "piece", "left").select("piece", F.coalesce("id", F.lit(UNK)).alias("id")).checkpoint()
-    met = df.withColumn("_t", tokens(F.col(text))).withColumn("_table", lookup_table(hot))
-    met = met.withColumn("_h", encode(F.col("_t"), F.col("_table"), unknown=-1)).drop("_table")
-    here = F.transform("_h", lambda h, i: F.struct(i.alias("pos"), h.alias("id")))
-    known = F.filter(here, lambda x: x["id"] >= 0)
-    left = F.filter(
-        F.zip_with(here, "_t", lambda x, t: F.struct(x["pos"].alias("pos"), x["id"].alias("id"), t.alias("piece"))),
-        lambda x: x["id"] < 0,
-    )
-    rare = met.select(key, F.explode(left).alias("x")).select(key, "x.pos", "x.piece")
-    found = rare.join(entries.hint("merge"), "piece", "left")
+    counts = piece_counts(df, text).checkpoint() if counts is None else counts
+    often = F.col("freq") >= counts.select(F.sum("freq")).scalar() * F.lit(HOT_SHARE)
+    heavy = counts.where(often).orderBy(F.desc("freq"), "piece").limit(MAX_LOOKUP).select("piece")
+    hot = heavy.join(entries, "piece", "left").select("piece", F.coalesce("id", F.lit(UNK)).alias("id")).toArrow()
+    pieces, hot_ids = (hot[c].combine_chunks() for c in ("piece", "id"))
+    kept = df.columns if keep is None else [key, *keep]
+    parts = T.StructType([T.StructField("h", T.ArrayType(T.IntegerType())), T.StructField("r", T.ArrayType(T.StringType()))])
+
+    @F.arrow_udf(parts)
+    def looked_up(rows: pa.Array) -> pa.Array:
+        words = rows.flatten()
+        ids = pc.fill_null(hot_ids.take(pc.index_in(words, pieces)), -1)
+        rare = ids.to_numpy(zero_copy_only=False) < 0
+        others = relisted(rows, words.filter(pa.array(rare)), starts(rare))
+        return pa.StructArray.from_arrays([relisted(rows, ids), others], ["h", "r"])
+
+    met = df.select(*kept, looked_up(tokens(F.col(text))).alias("_x"))
+    met = met.select(*kept, F.monotonically_increasing_id().alias("_i"), F.col("_x.h").alias("_h"), F.col("_x.r").alias("_r"))
+    path = scratch_dir(spark, "looked-up")
+    met.write.parquet(path)
+    met = spark.read.schema(met.schema).parquet(path)
+    asked = met.select("_i", F.posexplode("_r").alias("pos", "piece"))
     place = F.struct("pos", F.coalesce("id", F.lit(UNK)).alias("id"))
-    back = found.groupBy(key).agg(F.collect_list(place).alias("_r"))
-    none = F.array().cast("array<struct<pos:int,id:int>>")
-    every = F.array_sort(F.concat(known, F.coalesce("_r", none)))
-    ids = F.transform(every, lambda x: x["id"]).alias(name)
-    return met.join(back.hint("merge"), key, "left").select(*df.columns, ids)
+    back = asked.join(entries.hint("merge"), "piece", "left").groupBy("_i").agg(F.array_sort(F.collect_list(place)).alias("_p"))
+
+    @F.arrow_udf(T.ArrayType(T.IntegerType()))
+    def filled(hot_ids: pa.Array, others: pa.Array) -> pa.Array:
+        ids = hot_ids.flatten().to_numpy(zero_copy_only=False).copy()
+        ids[ids < 0] = others.flatten().to_numpy(zero_copy_only=False)
+        return relisted(hot_ids, pa.array(ids, pa.int32()))
+
+    others = F.coalesce(F.transform("_p", lambda x: x["id"]), F.array().cast("array<int>"))
+    return met.join(back.hint("merge"), "_i", "left").select(*kept, filled("_h", others).alias(name))
 
 
 def encode_dialogs(

@@ -76,14 +76,15 @@ merged AS (SELECT (row_number() OVER (ORDER BY stage, score DESC, piece) + 3)::I
 
 
 @query("merge_vocab", f"WITH {MERGED_SQL} SELECT id, piece, stage, score FROM merged")
-def merge_vocab(spark, sf):
+def merge_vocab(spark, sf, by_lang=None):
     docs = corpus(spark, sf)
+    by_lang = tok.piece_counts(docs, by=["lang"]) if by_lang is None else by_lang
 
     def han(c):
         return F.decode(F.unhex(F.lpad(F.hex(F.lit(19968) + c % 20992), 4, "0")), "UTF-16BE")
 
     def counts(lang):
-        return tok.piece_counts(docs.where(F.col("lang") == lang))
+        return by_lang.where(F.col("lang") == lang).select("piece", "freq")
 
     made = docs.select(F.concat(han(F.col("doc_id")), han(F.col("doc_id") * 7)).alias("piece"))
     listed = counts("de").select("piece").unionByName(made)
@@ -99,9 +100,12 @@ FROM documents LEFT JOIN w USING (doc_id) LEFT JOIN merged USING (piece) GROUP B
 )
 def encode_merged(spark, sf):
     ensure_checkpoint_dir(spark)
-    merged = merge_vocab(spark, sf).checkpoint()
+    by_lang = tok.piece_counts(corpus(spark, sf), by=["lang"]).checkpoint()
+    merged = merge_vocab(spark, sf, by_lang).checkpoint()
     first_added = merged.where("stage > 0").select(F.min("id")).scalar()
-    ids = tok.encode_joined(corpus(spark, sf).select("doc_id", "text"), "doc_id", "text", merged).withColumn("_first", first_added)
+    counts = by_lang.groupBy("piece").agg(F.sum("freq").alias("freq"))
+    ids = tok.encode_joined(corpus(spark, sf).select("doc_id", "text"), "doc_id", "text", merged, counts=counts, keep=[])
+    ids = ids.withColumn("_first", first_added)
     added = F.size(F.filter("ids", lambda i: i >= F.col("_first")))
     return ids.select("doc_id", F.size("ids").cast("bigint").alias("n"), total(F.col("ids")).alias("id_sum"), added.cast("bigint").alias("n_added"))
 
