@@ -20,10 +20,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from quern.functions.text import tokens
+from quern.functions.text import starts, tokens
 from quern.session import scratch_dir
 
 # The ranking constants.
@@ -44,20 +48,23 @@ MAX_SENT = 500_000
 
 
 def term_counts(words: Column) -> Column:
-    """``(term, tf)`` of a token array, counted inside the row: sorted, each run of equal tokens is one term."""
-    s = F.array_sort(words)
-    runs = F.transform(
-        F.array(s),
-        lambda t: F.struct(t.alias("t"), F.filter(F.sequence(F.lit(0), F.size(t)), lambda i: (i == 0) | (i == F.size(t)) | (F.get(t, i) != F.get(t, i - 1))).alias("at")),
-    )[0]
-    filled = F.transform(
-        F.array(runs),
-        lambda r: F.transform(
-            F.slice(r["at"], F.lit(1), F.size(r["at"]) - 1),
-            lambda p, i: F.struct(F.get(r["t"], p).alias("term"), (F.get(r["at"], i + 1) - p).alias("tf")),
-        ),
-    )[0]
-    return F.when(F.size(words) > 0, filled).otherwise(F.array().cast("array<struct<term:string,tf:int>>"))
+    """``(term, tf)`` of a token array in the order of the terms, none of a null one; rows are counted a batch at a time."""
+
+    @F.arrow_udf(T.ArrayType(T.StructType([T.StructField("term", T.StringType()), T.StructField("tf", T.IntegerType())])))
+    def counted(rows: pa.Array) -> pa.Array:
+        found = rows.flatten().dictionary_encode()
+        by_name = pc.sort_indices(found.dictionary)
+        place = np.empty(len(by_name), np.int64)
+        place[by_name.to_numpy()] = np.arange(len(by_name))
+        sizes = pc.fill_null(pc.list_value_length(rows), 0).to_numpy(zero_copy_only=False)
+        width = max(len(by_name), 1)
+        cells = np.repeat(np.arange(len(rows)) * width, sizes) + place[found.indices.to_numpy(zero_copy_only=False)]
+        held, tf = np.unique(cells, return_counts=True)
+        terms = found.dictionary.take(by_name).take(pa.array(held % width))
+        entries = pa.StructArray.from_arrays([terms, pa.array(tf, pa.int32())], ["term", "tf"])
+        return pa.ListArray.from_arrays(pa.array(starts(np.bincount(held // width, minlength=len(rows))), pa.int32()), entries)
+
+    return counted(words)
 
 
 def impact(tf: Column, length: Column, average: Column) -> Column:
@@ -75,10 +82,17 @@ class LexicalIndex:
     n: int
     average: float
 
-    def postings(self) -> DataFrame:
-        """``term, doc_id, tf, length``, a row per document and term."""
-        p = self.blocks.select("term", F.explode_outer("postings").alias("p"))
-        return p.select("term", "p.doc_id", "p.tf", "p.length")
+    def postings(self, *figures: str) -> DataFrame:
+        """``term, doc_id, tf, length``, a row per document and term, with ``figures`` of the term.
+
+        Whole blocks meet the figures, by term and salt, and are unfolded after that.
+        """
+        blocks = self.blocks
+        if figures:
+            salt = F.explode(F.sequence(F.lit(0), F.col("salts") - 1)).alias("salt")
+            blocks = blocks.join(self.terms.select("term", *figures, salt), ["term", "salt"])
+        p = blocks.select("term", *figures, F.explode_outer("postings").alias("p"))
+        return p.select("term", "p.doc_id", "p.tf", "p.length", *figures)
 
 
 def _stored(df: DataFrame, path: str) -> DataFrame:
@@ -114,9 +128,13 @@ def build_index(docs: DataFrame, key: str, text: str, path: str | None = None, o
     n, total, entries = documents.agg(F.count(F.lit(1)), F.sum("length"), F.sum(F.size("terms"))).first()
     average = (total or 0) / n if n else 0.0
 
-    flat = documents.select("doc_id", "length", _ranges(documents).alias("range"), F.explode("terms").alias("term", "tf"))
-    flat = flat if only is None else flat.join(only.select("term").distinct(), "term", "left_semi")
-    flat = flat.withColumn("tf", F.col("tf").cast("long")).withColumn("w", impact(F.col("tf"), F.col("length"), F.lit(average)))
+    def unfolded(rows: DataFrame) -> DataFrame:
+        flat = rows.select("doc_id", "length", "range", F.explode("terms").alias("term", "tf"))
+        flat = flat if only is None else flat.join(only.select("term").distinct(), "term", "left_semi")
+        return flat.withColumn("tf", F.col("tf").cast("long")).withColumn("w", impact(F.col("tf"), F.col("length"), F.lit(average)))
+
+    ranged = documents.withColumn("range", _ranges(documents))
+    flat = unfolded(ranged)
     idf = F.log(1 + (F.lit(n) - F.col("df") + 0.5) / (F.col("df") + 0.5))
     terms = flat.groupBy("term").agg(F.count(F.lit(1)).alias("df"), F.sum("tf").alias("cf"), F.max("w").alias("top"))
     most = max(HOT_LEAST, int((entries or 0) * HOT_SHARE))
@@ -125,10 +143,12 @@ def build_index(docs: DataFrame, key: str, text: str, path: str | None = None, o
 
     hot = F.broadcast(terms.where("salts > 1").select("term", "salts"))  # at most 65 536
     salt = F.pmod("range", F.coalesce("salts", F.lit(1))).cast("int")
-    cut = flat.join(hot, "term", "left").withColumn("salt", salt)
     posting = F.struct("doc_id", "tf", "length", "w")
-    # Dealt by range, so that a task that reads blocks later has all terms of its documents and adds them up there.
-    blocks = cut.repartition("range").groupBy("term", "salt", "range").agg(F.max("w").alias("top"), F.collect_list(posting).alias("postings"))
+    # Dealt by range, so that a task that reads blocks later has all terms of its documents and adds them up there: whole
+    # documents, or the few postings that are asked for.
+    dealt = unfolded(ranged.repartition("range")) if only is None else flat.repartition("range")
+    cut = dealt.join(hot, "term", "left").withColumn("salt", salt)
+    blocks = cut.groupBy("term", "salt", "range").agg(F.max("w").alias("top"), F.collect_list(posting).alias("postings"))
     return LexicalIndex(documents, terms, _stored(blocks, f"{path}/blocks"), n, average)
 
 

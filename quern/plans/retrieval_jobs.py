@@ -115,8 +115,8 @@ SELECT term, doc_id, tf, length, df, cf, round(ln(1 + (n - df + 0.5) / (df + 0.5
 )
 def bm25_index(spark, sf):
     index = lex.build_index(corpus(spark, sf), "doc_id", "text")
-    stats = index.terms.select("term", "df", "cf", F.round("idf", 6).alias("idf"))
-    return index.postings().join(stats, "term").withColumn("average", F.lit(round(index.average, 6)))
+    posts = index.postings("df", "cf", "idf").withColumn("idf", F.round("idf", 6))
+    return posts.withColumn("average", F.lit(round(index.average, 6)))
 
 
 BM25_SQL = f"""dt AS (SELECT doc_id, {sql_tokens('text')} AS t FROM documents),

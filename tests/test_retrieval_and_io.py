@@ -422,3 +422,18 @@ def test_hashed_vectors_cut_a_text_into_tokens_once(spark):
     for t in "aba":
         want[int(hashlib.md5(t.encode()).hexdigest()[:4], 16) % jobs.VEC] += 1
     assert {r["k"]: r["v"] for r in got.collect()} == {0: want, 1: [0.0] * jobs.VEC, 2: [None] * jobs.VEC}
+
+
+def test_postings_come_with_the_figures_of_their_term(spark, monkeypatch):
+    monkeypatch.setattr(lex, "HOT_LEAST", 2)
+    texts = {0: "a b a", 1: "a c", 2: "a", 3: None, 4: "c a a"}
+    index = lex.build_index(spark.createDataFrame(list(texts.items()), "d bigint, t string"), "d", "t")
+    got = {(r["term"], r["doc_id"]): (r["tf"], r["length"], r["df"], r["cf"]) for r in index.postings("df", "cf").collect()}
+    words = {d: (t or "").split() for d, t in texts.items()}
+    held = {w: [d for d in words if w in words[d]] for w in "abc"}
+    assert got == {
+        (w, d): (words[d].count(w), len(words[d]), len(held[w]), sum(x.count(w) for x in words.values())) for w in held for d in held[w]
+    }
+    counted = spark.createDataFrame([(["b", "a", "b"],), ([],), (None,)], "w array<string>").select(lex.term_counts(F.col("w")).alias("t"))
+    assert "lambdafunction" not in counted._jdf.queryExecution().optimizedPlan().toString()  # no step per token in the plan
+    assert [[tuple(x) for x in r["t"]] for r in counted.collect()] == [[("a", 1), ("b", 2)], [], []]
